@@ -30,8 +30,7 @@ def na_text_to_null(c: str | Column, na_strings=K.NA_STRINGS) -> Column:
 
 def parse_date(c: str | Column, fmt: str = K.DATE_FORMAT) -> Column:
     """Lenient date parse; a bad value becomes NULL."""
-    return F.try_to_date(col_(c), F.lit(fmt)) if hasattr(F, "try_to_date") else \
-        F.expr(f"try_to_date({c}, '{fmt}')")
+    return F.try_to_date(col_(c), fmt)
 
 
 def to_double(c: str | Column) -> Column:

@@ -29,6 +29,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # import for side effect: each module registers its queries
     from plumbline.plans import (  # noqa: F401
+        q_clean,
         q_entity,
     )
     return REGISTRY

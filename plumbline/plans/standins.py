@@ -156,3 +156,47 @@ logx AS (
 )"""
 
 RID_ORDER_SQL = "r1, r2, r3, r4, r5"
+
+
+# --- raw text version of the log (what the CSV scan would deliver) -------------
+
+def raw_inspection_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as raw strings with padding, placeholders and bad values."""
+    log = inspection_log(spark, sf_dir)
+    k = F.col("rid.o_orderkey")
+    return log.select(
+        F.when(F.col("camis") % 5 == 0, F.concat(F.lit(" "), F.col("camis").cast("string"),
+                                                 F.lit(" ")))
+         .otherwise(F.col("camis").cast("string")).alias("CAMIS"),
+        F.when(k % 4 == 0, F.concat(F.lit("  "), F.col("dba"), F.lit("\t")))
+         .otherwise(F.col("dba")).alias("DBA"),
+        F.upper("boro").alias("BORO"),
+        F.when(k % 13 == 0, F.lit("01/01/1900")).when(k % 17 == 0, F.lit("not a date"))
+         .otherwise(F.date_format("inspection_date", "M/d/yyyy")).alias("INSPECTION DATE"),
+        F.when(F.col("score").isNull(), F.lit("NA"))
+         .otherwise(F.col("score").cast("string")).alias("SCORE"),
+        F.coalesce(F.lower("critical_flag"), F.lit("")).alias("CRITICAL FLAG"),
+        F.coalesce(F.lower("grade"), F.lit(" ")).alias("GRADE"),
+        F.when(k % 19 == 0, F.lit("n/a")).otherwise(F.col("latitude").cast("string"))
+         .alias("Latitude"),
+        F.col("violation_code").alias("VIOLATION CODE"),
+        F.lit("x").alias("UNKNOWN EXTRA"),
+        F.col("rid"),
+    )
+
+
+RAW_TEXT_SQL = INSPECTION_LOG_SQL + """,
+raw AS (
+  SELECT CASE WHEN camis % 5 = 0 THEN ' ' || CAST(camis AS VARCHAR) || ' '
+              ELSE CAST(camis AS VARCHAR) END AS "CAMIS",
+         CASE WHEN r1 % 4 = 0 THEN '  ' || dba || chr(9) ELSE dba END AS "DBA",
+         upper(boro) AS "BORO",
+         CASE WHEN r1 % 13 = 0 THEN '01/01/1900' WHEN r1 % 17 = 0 THEN 'not a date'
+              ELSE strftime(inspection_date, '%-m/%-d/%Y') END AS "INSPECTION DATE",
+         CASE WHEN score IS NULL THEN 'NA' ELSE CAST(score AS VARCHAR) END AS "SCORE",
+         coalesce(lower(critical_flag), '') AS "CRITICAL FLAG",
+         coalesce(lower(grade), ' ') AS "GRADE",
+         CASE WHEN r1 % 19 = 0 THEN 'n/a' ELSE CAST(latitude AS VARCHAR) END AS "Latitude",
+         violation_code AS "VIOLATION CODE"
+  FROM logx
+)"""
