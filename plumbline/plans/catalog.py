@@ -31,5 +31,6 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     from plumbline.plans import (  # noqa: F401
         q_clean,
         q_entity,
+        q_profile,
     )
     return REGISTRY
