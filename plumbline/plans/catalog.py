@@ -32,6 +32,7 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
         q_clean,
         q_entity,
         q_eval,
+        q_knn,
         q_profile,
     )
     return REGISTRY
