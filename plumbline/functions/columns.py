@@ -137,13 +137,14 @@ def char_wb_grams(text: str | Column, n_min: int = 2, n_max: int = 4) -> Column:
     """
     words = F.filter(F.split(col_(text), r"(?U)\s+"), lambda w: F.length(w) > 0)
     padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    per_n = []
-    for n in range(n_min, n_max + 1):
-        per_n.append(F.flatten(F.transform(
-            padded,
-            lambda w, n=n: F.when(
-                F.length(w) < n,
-                F.when(F.lit(n) == F.lit(n_min), F.array(w)).otherwise(F.array().cast("array<string>")))
-            .otherwise(F.transform(F.sequence(F.lit(1), F.length(w) - F.lit(n - 1)),
-                                   lambda i: F.substring(w, i, n))))))
+    def grams_of(n: int):
+        # one-argument lambda: a second parameter would receive the index
+        def f(w):
+            short = F.array(w) if n == n_min else F.array().cast("array<string>")
+            slide = F.transform(F.sequence(F.lit(1), F.length(w) - F.lit(n - 1)),
+                                lambda i: F.substring(w, i, n))
+            return F.when(F.length(w) < n, short).otherwise(slide)
+        return f
+
+    per_n = [F.flatten(F.transform(padded, grams_of(n))) for n in range(n_min, n_max + 1)]
     return F.flatten(F.array(*per_n))

@@ -34,5 +34,6 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
         q_eval,
         q_knn,
         q_profile,
+        q_text,
     )
     return REGISTRY

@@ -200,3 +200,49 @@ raw AS (
          violation_code AS "VIOLATION CODE"
   FROM logx
 )"""
+
+
+# --- request table (batch of location / text requests) --------------------------
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per supplier: position, free text, preset, strictness."""
+    from plumbline.functions.constants import WALK_PRESETS
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    d = s.join(c, s.s_suppkey == c.c_custkey, "left")
+    k = F.col("s_suppkey")
+    m = k % 6
+    q = (F.when(m == 0, F.lit(""))
+         .when(m == 1, F.concat(F.lit("i want furniture near "), F.col("s_name")))
+         .when(m == 2, F.concat(F.lit("ramen or pizza by "), F.lower("c_name")))
+         .when(m == 3, F.lit("household machinery"))
+         .when(m == 4, F.lit("sushi bbq tacos"))
+         .otherwise(F.concat(F.lit("dinner at "), F.substring(F.lower("c_name"), 1, 17))))
+    preset = F.element_at(F.array(*[F.lit(p[0]) for p in WALK_PRESETS]), (k % 6 + 1).cast("int"))
+    lat, lng = entity_coordinates(k * F.lit(13) + F.lit(5))
+    return d.select(k.alias("req_id"), lat.alias("lat"), lng.alias("lng"), q.alias("query"),
+                    preset.alias("preset"), ((k % 4).cast("double") * F.lit(0.25)).alias("importance"),
+                    (k % 2 == 0).alias("danger_filter"))
+
+
+def _presets_sql() -> str:
+    from plumbline.functions.constants import WALK_PRESETS
+    return "CASE s_suppkey % 6 " + " ".join(
+        f"WHEN {i} THEN '{p[0]}'" for i, p in enumerate(WALK_PRESETS)) + " END"
+
+
+REQUESTS_SQL = f"""
+req AS (
+  SELECT s_suppkey AS req_id, {_sql_lat('(s_suppkey * 13 + 5)')} AS lat,
+         {_sql_lng('(s_suppkey * 13 + 5)')} AS lng,
+         CASE s_suppkey % 6 WHEN 0 THEN ''
+              WHEN 1 THEN 'i want furniture near ' || s_name
+              WHEN 2 THEN 'ramen or pizza by ' || lower(c_name)
+              WHEN 3 THEN 'household machinery'
+              WHEN 4 THEN 'sushi bbq tacos'
+              ELSE 'dinner at ' || substr(lower(c_name), 1, 17) END AS query,
+         {_presets_sql()} AS preset,
+         CAST(s_suppkey % 4 AS DOUBLE) * CAST(0.25 AS DOUBLE) AS importance,
+         s_suppkey % 2 = 0 AS danger_filter
+  FROM supplier LEFT JOIN customer ON c_custkey = s_suppkey
+)"""
