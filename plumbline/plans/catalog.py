@@ -33,6 +33,7 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
         q_entity,
         q_eval,
         q_knn,
+        q_model,
         q_profile,
         q_text,
     )
