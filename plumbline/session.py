@@ -22,6 +22,7 @@ def get_session(master: str | None = None, partitions: int | None = None,
     builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
