@@ -94,7 +94,7 @@ def reward_from_grades(requests: DataFrame, gcells: DataFrame, factors: DataFram
         "label_key", F.when(F.col("_known"), F.col("label_key")).otherwise(F.lit(NO_LABEL))) \
         .drop("_known")
     f = factors.join(requests.select("req_id", "danger_filter"), "req_id")
-    j = gc.join(F.broadcast(f) if f.count() <= 2_000_000 else f, "label_key")
+    j = gc.join(f, "label_key")  # AQE broadcasts the factor side when it is small
     w = F.when(~F.col("keep"), F.lit(0.0)).when(
         (F.col("gclass") == "C") & F.col("danger_filter"), F.lit(0.0)).otherwise(
         F.col("safety_sum") * F.col("match"))

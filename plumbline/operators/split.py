@@ -50,33 +50,44 @@ def temporal_split(df: DataFrame, date: str, id_col: str, test_fraction: float =
                    clamp: bool = False, min_rows: int = 0):
     """Sort by (date, id); the first ``int(n*(1-f))`` rows train, the rest test.
 
-    Returns ``(frame with a 'split' column, cutoff_date, n_train, n_test)``.
-    Only the per-date count table (one row per distinct date) is windowed;
-    rows of dates other than the cutoff date are assigned directly, and the
-    cutoff date is ranked with :func:`rank_in_groups`.
+    Returns ``(frame with a 'split' column, info)`` where ``info`` is a
+    one-row frame (cutoff_date, n_train, n_test).  Everything stays lazy:
+    only the per-date count table (one row per distinct date) is windowed,
+    rows of other dates are assigned by comparing with the cutoff date, and
+    the cutoff date itself is ranked with :func:`rank_in_groups`.
+    ``clamp`` keeps at least one row on each side; ``min_rows`` raises
+    when fewer rows are available.
     """
     if not 0 < test_fraction < 1:
         raise ValueError("test_fraction must be between 0 and 1")
     per_date = df.groupBy(date).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = per_date.select(date, "_n", F.sum("_n").over(w).alias("_cum"))
-    n = int(df.count())
-    if n < max(min_rows, 1):
-        raise ValueError("Not enough rows with complete features to split.")
-    cut = int(n * (1.0 - test_fraction))
+    tot = per_date.agg(F.sum("_n").alias("_tot"))
+    cut = F.floor(F.col("_tot") * F.lit(1.0 - test_fraction)).cast("long")
     if clamp:
-        cut = min(max(cut, 1), n - 1)
-    row = cum.where(F.col("_cum") > cut).orderBy(date).select(
-        date, (F.col("_cum") - F.col("_n")).alias("_before")).first()
-    cutoff_date, before = row[0], int(row[1])
-    k_in = cut - before  # rows of the cutoff date that go to train
-    on_cut = df.where(F.col(date) == F.lit(cutoff_date))
-    ranked = rank_in_groups(on_cut, [], id_col, id_col)
-    cut_rows = ranked.select("*", F.when(F.col("_rank") <= k_in, "train").otherwise("test")
-                             .alias("split")).drop("_rank")
-    rest = df.where(F.col(date) != F.lit(cutoff_date)).withColumn(
-        "split", F.when(F.col(date) < F.lit(cutoff_date), "train").otherwise("test"))
-    return rest.unionByName(cut_rows), cutoff_date, cut, n - cut
+        cut = F.least(F.greatest(cut, F.lit(1)), F.col("_tot") - 1)
+    tot = tot.select("_tot", cut.alias("_cut"), F.lit(1).alias("_k"))
+    info = cum.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k") \
+              .where(F.col("_cum") > F.col("_cut")).groupBy().agg(
+                  F.min_by(F.struct(F.col(date).alias("cutoff_date"),
+                                    (F.col("_cut") - F.col("_cum") + F.col("_n")).alias("_kin"),
+                                    "_cut", "_tot"), F.col(date)).alias("s")).select("s.*")
+    if min_rows > 0:
+        n = df.count()
+        if n < min_rows:
+            raise ValueError("Not enough rows with complete features to split.")
+    d = df.withColumn("_k", F.lit(1)).join(
+        F.broadcast(info.select("cutoff_date", "_kin", F.lit(1).alias("_k"))), "_k").drop("_k")
+    rest = d.where(F.col(date) != F.col("cutoff_date")).withColumn(
+        "split", F.when(F.col(date) < F.col("cutoff_date"), "train").otherwise("test"))
+    on_cut = rank_in_groups(d.where(F.col(date) == F.col("cutoff_date")), [], id_col, id_col)
+    cut_rows = on_cut.withColumn("split", F.when(F.col("_rank") <= F.col("_kin"), "train")
+                                 .otherwise("test")).drop("_rank")
+    out = rest.unionByName(cut_rows).drop("cutoff_date", "_kin")
+    info = info.select("cutoff_date", F.col("_cut").alias("n_train"),
+                       (F.col("_tot") - F.col("_cut")).alias("n_test"))
+    return out, info
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from plumbline.functions import constants as K
 from plumbline.functions.columns import char_wb_grams, trim_all_space
 
-BROADCAST_MAX_ROWS = 2_000_000  # query-side rows we allow to broadcast
-
 
 def doc_grams(docs: DataFrame, id_col: str, text_col: str, n_min=2, n_max=4) -> DataFrame:
     """T2 + T3 (raw counts): (id, gram, tf) over the whole text."""
@@ -34,13 +32,15 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_min=2, n_max=4,
     with the largest corpus term frequency (ties -> smaller gram).
     """
     tf = doc_grams(docs, id_col, text_col, n_min, n_max)
-    n_docs = docs.count()
     stats = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
     if max_features is not None:
         stats = stats.orderBy(F.col("ttf").desc(), F.col("gram")).limit(max_features)
-    model = stats.select("gram", (F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df")))
-                                  + F.lit(1.0)).alias("idf"))
-    return model, n_docs
+    # the document count stays lazy: a one-row aggregate joined on a constant
+    n = docs.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
+    model = stats.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k").select(
+        "gram", (F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
+        .alias("idf"))
+    return model, n.select("_n")
 
 
 def tfidf_weights(tf: DataFrame, model: DataFrame, sublinear: bool = True) -> DataFrame:
@@ -60,15 +60,14 @@ def tfidf_transform(docs: DataFrame, id_col: str, text_col: str, model: DataFram
 def sparse_cosine(q: DataFrame, d: DataFrame, q_id="qid", d_id="did") -> DataFrame:
     """(qid, did, sim) for pairs sharing at least one gram.
 
-    Inputs are L2-normalised long tables (doc, gram, w).  The query side is
-    broadcast only when its row count is under a checked bound; otherwise
-    Spark plans a shuffle join.  Pairs without overlap are absent (callers
-    left-join back and fill 0).
+    Inputs are L2-normalised long tables (doc, gram, w).  The join strategy
+    is left to adaptive execution: the query side is broadcast when its
+    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
+    otherwise the join stays a shuffle join.  Pairs without overlap are
+    absent (callers left-join back and fill 0).
     """
     qq = q.select(F.col("doc").alias(q_id), "gram", F.col("w").alias("wq"))
     dd = d.select(F.col("doc").alias(d_id), "gram", F.col("w").alias("wd"))
-    if q.count() <= BROADCAST_MAX_ROWS:
-        qq = F.broadcast(qq)
     return dd.join(qq, "gram").groupBy(q_id, d_id).agg(F.sum(F.col("wq") * F.col("wd")).alias("sim"))
 
 

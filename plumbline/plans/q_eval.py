@@ -32,8 +32,8 @@ SELECT camis, CASE WHEN rn <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE '
 FROM (SELECT camis, row_number() OVER (ORDER BY latest_inspection_date, camis) AS rn,
              count(*) OVER () AS n FROM gc)""")
 def temporal_split(spark, sf_dir):
-    df, _cut, _ntr, _nte = S.temporal_split(graded_complete(spark, sf_dir),
-                                            "latest_inspection_date", "camis", 0.2)
+    df, _info = S.temporal_split(graded_complete(spark, sf_dir), "latest_inspection_date",
+                                 "camis", 0.2)
     return df.select("camis", "split")
 
 

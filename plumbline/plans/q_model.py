@@ -20,8 +20,8 @@ GRADE_DEPTH = 4
 
 def _grade_tree(spark, sf_dir):
     base = graded_complete(spark, sf_dir)
-    d, _cut, _a, _b = S.temporal_split(base, "latest_inspection_date", "camis", 0.2, clamp=True,
-                                       min_rows=10)
+    d, _info = S.temporal_split(base, "latest_inspection_date", "camis", 0.2, clamp=True,
+                                min_rows=10)
     df, feats = T.engineer_features(d)
     train = df.where(F.col("split") == "train")
     nodes, classes = T.fit_tree(train.select("camis", *feats, "latest_grade"), feats,
