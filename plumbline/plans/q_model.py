@@ -123,3 +123,50 @@ def blend_agreement(spark, sf_dir):
     ent, model = _blend(spark, sf_dir)
     pt = B.prediction_table(model, ent)
     return M.agreement_rates(pt, "combined_pred", "knn_pred", "dt_pred")
+
+
+# --- M11 / M12: text -> label ---------------------------------------------------------
+
+def _part_names(spark, sf_dir):
+    from plumbline.functions.columns import normalise_name
+    from plumbline.operators.profile import rare_class_filter
+    p = table(spark, sf_dir, "part").select("p_partkey", normalise_name("p_name").alias("name"),
+                                            F.col("p_type").alias("label"))
+    return rare_class_filter(p, "label", K.MIN_LABEL_COUNT)
+
+
+def _label_eval(spark, sf_dir):
+    from plumbline.operators import labels as L
+    d = S.stratified_split(_part_names(spark, sf_dir), "label", "p_partkey", 0.2, 42)
+    m = L.fit_label_classifier(d.where(F.col("split") == "train"), "p_partkey", "name", "label")
+    test = d.where(F.col("split") == "test")
+    pred = L.predict_top3(m, test, "p_partkey", "name").join(
+        test.select("p_partkey", F.col("label").alias("actual")), "p_partkey")
+    return pred
+
+
+@register("label_classifier_metrics")
+def label_classifier_metrics(spark, sf_dir):
+    return M.class_metrics(_label_eval(spark, sf_dir), "actual", "predicted")
+
+
+@register("label_classifier_top3")
+def label_classifier_top3(spark, sf_dir):
+    pred = _label_eval(spark, sf_dir)
+    return M.topk_hit_rate(pred, "actual", "top_labels").join(
+        M.macro_summary(pred, "actual", "predicted").select("accuracy"))
+
+
+@register("label_classifier_documents")
+def label_classifier_documents(spark, sf_dir):
+    """Whole document texts -> language, area hold-out on the source."""
+    from plumbline.operators import labels as L
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"),
+                                                    "source")
+    d = S.area_split(docs, "source", "label", "src3")
+    m = L.fit_label_classifier(d.where(F.col("split") == "train"), "doc_id", "text", "label",
+                               max_iter=200)
+    test = d.where(F.col("split") == "test")
+    pred = L.predict_top3(m, test, "doc_id", "text").join(
+        test.select("doc_id", F.col("label").alias("actual")), "doc_id")
+    return M.report_rows(pred, "actual", "predicted")
