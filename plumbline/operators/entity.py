@@ -69,6 +69,7 @@ def build_entity_table(
     that ``days_since_last_inspection`` is reproducible.
     """
     identity = _present(log, identity_cols or K.IDENTITY_COLUMNS)
+    log = log.where(F.col(key).isNotNull())  # rows without a key belong to no entity
     has = set(log.columns)
     letter = F.col("grade").isin(*K.LETTER_GRADES) if "grade" in has else F.lit(False)
     code_ok = F.col("violation_code").isNotNull() if "violation_code" in has else F.lit(False)
