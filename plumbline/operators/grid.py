@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
+from plumbline.session import cut_lineage
 from plumbline.functions.columns import (col_to_lng, flat_distance_km, grade_safety, hop_km,
                                          in_bbox, lat_to_row, lng_to_col, row_to_lat, walk_minutes)
 
@@ -115,13 +116,17 @@ def _blur_axis(cells: DataFrame, axis: str, n: int, kernel: list[float], val: st
     radius = len(kernel) // 2
     other = "col" if axis == "row" else "row"
     s = F.col(axis)
-    # source s feeds target t with weight k[d] when mirror(t + d) == s
-    cands = []
+    # source s feeds target t with weight k[d] when mirror(t + d) == s; the two
+    # mirrored candidates can only exist within ``radius`` of a border
+    direct, mirrored = [], []
     for d in range(-radius, radius + 1):
         wgt = F.lit(kernel[d + radius])
-        for t in (s - d, -s - 1 - d, F.lit(2 * n - 1) - s - d):
-            cands.append(F.struct(t.alias("t"), wgt.alias("w")))
-    x = cells.select("req_id", other, val, F.explode(F.array(*cands)).alias("c"))
+        direct.append(F.struct((s - d).alias("t"), wgt.alias("w")))
+        for t in (-s - 1 - d, F.lit(2 * n - 1) - s - d):
+            mirrored.append(F.struct(t.alias("t"), wgt.alias("w")))
+    near_border = (s < radius) | (s > n - 1 - radius)
+    cands = F.when(near_border, F.array(*(direct + mirrored))).otherwise(F.array(*direct))
+    x = cells.select("req_id", other, val, F.explode(cands).alias("c"))
     x = x.where((F.col("c.t") >= 0) & (F.col("c.t") < n))
     return x.groupBy("req_id", F.col("c.t").alias(axis), other).agg(
         F.sum(F.col(val) * F.col("c.w")).alias(val))
@@ -162,7 +167,7 @@ PLAN_SCHEMA = ("req_id long, kind string, step int, row int, col int, v double,
                "vmin double, vmax double")
 
 
-def _plan_one(pdf: pd.DataFrame) -> pd.DataFrame:
+def _plan_one(pdf: pd.DataFrame, heat: bool = False) -> pd.DataFrame:
     meta = pdf[pdf["row"] < 0].iloc[0]
     rid = int(meta["req_id"])
     gamma, steps = float(meta["gamma"]), int(meta["max_steps"])
@@ -199,20 +204,34 @@ def _plan_one(pdf: pd.DataFrame) -> pd.DataFrame:
         seen.add(nxt)
     vmin, vmax = float(V.min()), float(V.max())
     rows = [(rid, "path", i, pr, pc, float(V[pr, pc]), vmin, vmax) for i, (pr, pc) in enumerate(path)]
+    cols = ["req_id", "kind", "step", "row", "col", "v", "vmin", "vmax"]
+    types = {"req_id": "int64", "step": "int32", "row": "int32", "col": "int32"}
+    if not heat:
+        return pd.DataFrame(rows, columns=cols).astype(types)
     hr, hc = np.meshgrid(np.arange(0, H, 2), np.arange(0, W, 2), indexing="ij")
     hv = V[hr, hc]
-    heat = pd.DataFrame({"req_id": rid, "kind": "heat", "step": -1, "row": hr.ravel(),
-                         "col": hc.ravel(), "v": hv.ravel(), "vmin": vmin, "vmax": vmax})
-    out = pd.concat([pd.DataFrame(rows, columns=heat.columns), heat], ignore_index=True)
-    return out.astype({"req_id": "int64", "step": "int32", "row": "int32", "col": "int32"})
+    heat_rows = pd.DataFrame({"req_id": rid, "kind": "heat", "step": -1, "row": hr.ravel(),
+                              "col": hc.ravel(), "v": hv.ravel(), "vmin": vmin, "vmax": vmax})
+    out = pd.concat([pd.DataFrame(rows, columns=cols), heat_rows], ignore_index=True)
+    return out.astype(types)
 
 
-def plan_paths(reward: DataFrame, params: DataFrame) -> DataFrame:
+def _plan_path_only(pdf: pd.DataFrame) -> pd.DataFrame:
+    return _plan_one(pdf, False)
+
+
+def _plan_with_heat(pdf: pd.DataFrame) -> pd.DataFrame:
+    return _plan_one(pdf, True)
+
+
+def plan_paths(reward: DataFrame, params: DataFrame, heat: bool = False) -> DataFrame:
     """G7 + G8: value iteration and the greedy walk per request.
 
     ``reward``: (req_id, row, col, r) normalised; ``params`` carries gamma,
     max_steps, start_row, start_col.  Output rows of kind 'path' (step
-    order) and 'heat' (every second cell, with the grid min / max).
+    order) and, with ``heat``, 'heat' (every second cell, with the grid
+    min / max).  The result is checkpointed: later steps read it several
+    times and it is small (a few rows per request).
     """
     meta = params.select("req_id", F.lit(-1).alias("row"), F.lit(-1).alias("col"),
                          F.lit(0.0).alias("r"), "gamma", "max_steps", "start_row", "start_col")
@@ -221,7 +240,10 @@ def plan_paths(reward: DataFrame, params: DataFrame) -> DataFrame:
                          F.lit(None).cast("int").alias("max_steps"),
                          F.lit(None).cast("int").alias("start_row"),
                          F.lit(None).cast("int").alias("start_col"))
-    return meta.unionByName(body).groupBy("req_id").applyInPandas(_plan_one, PLAN_SCHEMA)
+    # one-argument functions: applyInPandas passes the key to two-argument ones
+    fn = _plan_with_heat if heat else _plan_path_only
+    out = meta.unionByName(body).groupBy("req_id").applyInPandas(fn, PLAN_SCHEMA)
+    return cut_lineage(out)
 
 
 # --- path metrics (G9, G10, G2) ---------------------------------------------------------

@@ -127,8 +127,8 @@ def neighbour_cells(spark, sf_dir):
         "row", "col", F.coalesce("occupied_neighbours", F.lit(0)).alias("occupied_neighbours"))
 
 
-def _area_grades(spark, sf_dir):
-    return SR.area_search_grades(requests(spark, sf_dir), entity_table(spark, sf_dir))
+def _area_grades(spark, sf_dir, heat=False):
+    return SR.area_search_grades(requests(spark, sf_dir), entity_table(spark, sf_dir), heat=heat)
 
 
 def _flat(res):
@@ -157,7 +157,7 @@ def value_paths(spark, sf_dir):
 
 @register("heat_map")
 def heat_map(spark, sf_dir):
-    _res, plan = _area_grades(spark, sf_dir)
+    _res, plan = _area_grades(spark, sf_dir, heat=True)
     return G.heat_extract(plan).withColumn("v", F.round("v", 9))
 
 
