@@ -15,6 +15,7 @@ from plumbline.plans.q_profile import sql_col, sql_row
 from plumbline.plans.q_text import (REQUESTS_SQL, _LAB_SQL, sql_blank, sql_expand, sql_model,
                                     sql_scale, sql_tf, sql_vec)
 from plumbline.plans.standins import entity_coordinates, requests, table
+from plumbline.session import cut_lineage
 from plumbline.sources.files import edges_from_rings
 
 _ROWS, _COLS = K.GRID_ROWS, K.GRID_COLS
@@ -166,16 +167,21 @@ def _safety(spark, sf_dir, ent):
     return B.safety_scores(model, ent)
 
 
+def _entities(spark, sf_dir):
+    """The entity table, written once: the model queries read it many times."""
+    return cut_lineage(entity_table(spark, sf_dir))
+
+
 @register("area_search_model")
 def area_search_model(spark, sf_dir):
-    ent = entity_table(spark, sf_dir)
+    ent = _entities(spark, sf_dir)
     res, _plan = SR.area_search_model(requests(spark, sf_dir), ent, _safety(spark, sf_dir, ent))
     return _flat(res)
 
 
 @register("direct_ranking")
 def direct_ranking(spark, sf_dir):
-    ent = entity_table(spark, sf_dir)
+    ent = _entities(spark, sf_dir)
     r = SR.direct_ranking(requests(spark, sf_dir), ent, _safety(spark, sf_dir, ent))
     return r.select("req_id", "rank", "camis", F.round("combined_score", 9).alias("combined_score"),
                     F.round("dist_km", 9).alias("dist_km"), "n_candidates")
@@ -183,7 +189,7 @@ def direct_ranking(spark, sf_dir):
 
 @register("direct_route")
 def direct_route(spark, sf_dir):
-    ent = entity_table(spark, sf_dir)
+    ent = _entities(spark, sf_dir)
     req = requests(spark, sf_dir)
     r = SR.direct_ranking(req, ent, _safety(spark, sf_dir, ent))
     out = SR.direct_route(r, req, current=0)

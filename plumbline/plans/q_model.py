@@ -102,7 +102,8 @@ BLEND_DEPTH = 6
 
 
 def _blend(spark, sf_dir):
-    ent = entity_table(spark, sf_dir)
+    from plumbline.session import cut_lineage
+    ent = cut_lineage(entity_table(spark, sf_dir))
     return ent, B.fit_blend(ent, max_depth=BLEND_DEPTH)
 
 
