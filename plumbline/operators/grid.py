@@ -91,7 +91,7 @@ def reward_from_grades(requests: DataFrame, gcells: DataFrame, factors: DataFram
     """G3 raw grid: sum over entities of safety x match (grade C zeroed when
     the request's danger filter is on; low matches zeroed by strictness)."""
     kl = known_labels.select(F.col("label").alias("label_key"), F.lit(True).alias("_known"))
-    gc = gcells.join(F.broadcast(kl), "label_key", "left").withColumn(
+    gc = gcells.join(kl, "label_key", "left").withColumn(
         "label_key", F.when(F.col("_known"), F.col("label_key")).otherwise(F.lit(NO_LABEL))) \
         .drop("_known")
     f = factors.join(requests.select("req_id", "danger_filter"), "req_id")

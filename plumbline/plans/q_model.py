@@ -171,3 +171,74 @@ def label_classifier_documents(spark, sf_dir):
     pred = L.predict_top3(m, test, "doc_id", "text").join(
         test.select("doc_id", F.col("label").alias("actual")), "doc_id")
     return M.report_rows(pred, "actual", "predicted")
+
+
+# --- exact SQL twin of a depth-1 tree (a stump) ------------------------------------------
+
+def _stump_sql() -> str:
+    import numpy as np
+    from plumbline.plans.q_entity import ENTITY_CTES
+    from plumbline.plans.q_eval import _GRADED_SQL
+    feats = K.TREE_ALL_FEATURES
+    expr = {
+        "score_range": "greatest(max_score - min_score, CAST(0 AS DOUBLE))",
+        "critical_rate": "critical_violations / greatest(total_violations, 1)",
+        "violations_per_inspection": "total_violations / greatest(inspection_count, 1)",
+    }
+    xs = ", ".join(f"CAST({expr.get(f, f)} AS DOUBLE) AS x{i}" for i, f in enumerate(feats))
+    qs = "[" + ", ".join(f"CAST({float(v)!r} AS DOUBLE)" for v in np.linspace(0.01, 0.99, 50)) + "]"
+    th = " UNION ALL ".join(
+        f"SELECT {i} AS f, unnest(list_distinct(quantile_cont(x{i}, {qs}))) AS t FROM x "
+        f"HAVING min(x{i}) <> max(x{i})" for i in range(len(feats)))
+    pick = "CASE th.f " + " ".join(f"WHEN {i} THEN x.x{i}" for i in range(len(feats))) + " END"
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(feats)) + " END"
+    cls = ["A", "B", "C"]
+    lcw = [f"(l{c} * w.w{c})" for c in cls]
+    lw = " + ".join(lcw)
+    sq = lambda parts, den: " + ".join(f"({p} / ({den} + CAST(1e-12 AS DOUBLE))) * ({p} / ({den} + CAST(1e-12 AS DOUBLE)))" for p in parts)
+    rcw = [f"(p.pw{c} - {lcw[k]})" for k, c in enumerate(cls)]
+    return ENTITY_CTES + _GRADED_SQL + f""",
+x AS (SELECT camis, latest_grade AS y, {xs} FROM gc),
+w AS (SELECT """ + ", ".join(
+        f"(SELECT count(*) FROM x) / (3 * (SELECT count(*) FROM x WHERE y = '{c}')) AS w{c}"
+        for c in cls) + """),
+p AS (SELECT """ + ", ".join(f"(SELECT count(*) FROM x WHERE y = '{c}') * w.w{c} AS pw{c}"
+                             for c in cls) + """, (SELECT count(*) FROM x) AS pn FROM w),
+p2 AS (SELECT *, pwA + pwB + pwC AS tw FROM p),
+p3 AS (SELECT *, CAST(1.0 AS DOUBLE) - ((pwA / tw) * (pwA / tw) + (pwB / tw) * (pwB / tw)
+                                         + (pwC / tw) * (pwC / tw)) AS pg FROM p2),
+th AS (""" + th + f"""),
+ev AS (SELECT th.f, th.t, """ + ", ".join(
+        f"count(*) FILTER (WHERE {pick} <= th.t AND x.y = '{c}') AS l{c}" for c in cls) + f"""
+       FROM th, x GROUP BY th.f, th.t),
+cand AS (
+  SELECT ev.f, ev.t, lA + lB + lC AS ln, p.pn - (lA + lB + lC) AS rn,
+         {lw} AS lw, p.tw - ({lw}) AS rw, lA, lB, lC,
+         p.pg - (({lw}) * (CAST(1.0 AS DOUBLE) - ({sq(lcw, lw)}))
+                 + (p.tw - ({lw})) * (CAST(1.0 AS DOUBLE) - ({sq(rcw, f"(p.tw - ({lw}))")}))) / p.tw
+           AS dec
+  FROM ev, p3 p, w),
+best AS (SELECT * FROM cand WHERE ln >= 5 AND rn >= 5 AND lw > 0 AND rw > 0
+         ORDER BY dec DESC, f, t LIMIT 1),
+kids AS (SELECT 2 AS node_id, lA AS cA, lB AS cB, lC AS cC, ln AS n FROM best
+         UNION ALL SELECT 3, p.cA - lA, p.cB - lB, p.cC - lC, rn FROM best,
+           (SELECT count(*) FILTER (WHERE y = 'A') AS cA, count(*) FILTER (WHERE y = 'B') AS cB,
+                   count(*) FILTER (WHERE y = 'C') AS cC FROM x) p),
+kw AS (SELECT node_id, n, cA * wA AS a, cB * wB AS b, cC * wC AS c FROM kids, w)
+SELECT CAST(1 AS BIGINT) AS node_id, 0 AS depth, false AS is_leaf, {names} AS feature,
+       round(t, 6) AS threshold, (SELECT pn FROM p) AS n_samples, round(dec, 9) AS gain,
+       CAST(NULL AS VARCHAR) AS label, CAST(NULL AS DOUBLE) AS P_A, CAST(NULL AS DOUBLE) AS P_B,
+       CAST(NULL AS DOUBLE) AS P_C FROM best
+UNION ALL
+SELECT CAST(node_id AS BIGINT), 1, true, NULL, NULL, n, 0.0,
+       CASE WHEN a >= b AND a >= c THEN 'A' WHEN b >= c THEN 'B' ELSE 'C' END,
+       round(a / (a + b + c + CAST(1e-12 AS DOUBLE)), 6), round(b / (a + b + c + CAST(1e-12 AS DOUBLE)), 6),
+       round(c / (a + b + c + CAST(1e-12 AS DOUBLE)), 6) FROM kw"""
+
+
+@register("tree_stump_grades", _stump_sql())
+def tree_stump_grades(spark, sf_dir):
+    df, feats = T.engineer_features(graded_complete(spark, sf_dir))
+    nodes, classes = T.fit_tree(df.select(*feats, "latest_grade"), feats, "latest_grade",
+                                max_depth=1)
+    return _node_view(nodes, classes)
