@@ -20,8 +20,8 @@ def request_label_pairs(requests: DataFrame, labels: DataFrame, req_id="req_id",
     """Every (request, label) pair — the output itself is this product.
 
     When the label vocabulary is at most ``LABEL_BROADCAST_MAX`` (checked),
-    the labels become one array in a one-row frame that is broadcast and
-    each request row explodes it: the request side is never shuffled.
+    the labels become one array (a scalar subquery, evaluated once) that
+    each request row explodes: the request side is never shuffled.
     Above that bound, labels are hashed into buckets of about that size,
     each request is repeated once per bucket, and the two sides meet in an
     equi-join on the bucket, so the product is spread over many tasks.
@@ -29,10 +29,8 @@ def request_label_pairs(requests: DataFrame, labels: DataFrame, req_id="req_id",
     labs = labels.select(F.col(label).alias("label")).distinct()
     n = labs.count()
     if n <= LABEL_BROADCAST_MAX:
-        arr = labs.agg(F.sort_array(F.collect_list("label")).alias("_labels")) \
-                  .withColumn("_k", F.lit(1))
-        return (requests.withColumn("_k", F.lit(1)).join(F.broadcast(arr), "_k")
-                .select(*requests.columns, F.explode("_labels").alias("label")))
+        arr = labs.agg(F.sort_array(F.collect_list("label"))).scalar()
+        return requests.select(*requests.columns, F.explode(arr).alias("label"))
     buckets = -(-n // LABEL_BROADCAST_MAX)
     lb = labs.withColumn("_b", F.pmod(F.xxhash64("label"), F.lit(buckets)))
     rb = requests.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

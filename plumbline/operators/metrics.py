@@ -85,20 +85,21 @@ def class_metrics(pred: DataFrame, actual: str, predicted: str, labels=None) ->
 def macro_summary(pred: DataFrame, actual: str, predicted: str, labels=None) -> DataFrame:
     """Macro means of the *rounded* class values, accuracy (4 dp), n.
 
-    Both halves come from the small pair-count table; they are single-row
-    aggregates joined on a constant key.
+    Both halves come from the small pair-count table; the accuracy side is
+    a scalar subquery.
     """
     per = class_metrics(pred, actual, predicted, labels)
     c = pair_counts(pred, actual, predicted)
     acc = c.agg(F.sum("n").alias("n"),
                 F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
-                .alias("_ok")).withColumn("_k", F.lit(1))
+                .alias("_ok"))
+    n = acc.select("n").scalar()
+    ok = acc.select("_ok").scalar()
     mac = per.agg(F.round(F.avg("precision"), 4).alias("macro_precision"),
                   F.round(F.avg("recall"), 4).alias("macro_recall"),
-                  F.round(F.avg("f1"), 4).alias("macro_f1")).withColumn("_k", F.lit(1))
-    return mac.join(acc, "_k").select(
-        "macro_precision", "macro_recall", "macro_f1",
-        F.round(F.col("_ok") / F.col("n"), 4).alias("accuracy"), F.col("n").alias("support"))
+                  F.round(F.avg("f1"), 4).alias("macro_f1"))
+    return mac.select("macro_precision", "macro_recall", "macro_f1",
+                      F.round(ok / n, 4).alias("accuracy"), n.alias("support"))
 
 
 def report_rows(pred: DataFrame, actual: str, predicted: str, labels=None) -> DataFrame:
@@ -149,6 +150,7 @@ def evaluation_report(split_pred: DataFrame, actual: str, predicted: str, cutoff
     sizes = split_pred.agg(F.count_if(F.col(split_col) == "train").alias("n_train"),
                            F.count_if(F.col(split_col) == "test").alias("n_test"))
     test = split_pred.where(F.col(split_col) == "test")
-    m = macro_summary(test, actual, predicted).withColumn("_k", F.lit(1))
-    return sizes.withColumn("_k", F.lit(1)).join(m, "_k").drop("_k") \
-                .withColumn("cutoff", F.lit(cutoff))
+    m = macro_summary(test, actual, predicted)
+    return m.select(sizes.select("n_train").scalar().alias("n_train"),
+                    sizes.select("n_test").scalar().alias("n_test"), "*",
+                    F.lit(cutoff).alias("cutoff"))

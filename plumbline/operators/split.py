@@ -29,12 +29,14 @@ def rank_in_groups(df: DataFrame, group, key: str, tie: str, buckets: int = 64,
     (dates: pass a day number).
     """
     g = list(group) if group else []
-    d = df if g else df.withColumn("_g", F.lit(1))
-    g = g or ["_g"]
     qs = [i / buckets for i in range(1, buckets)]
-    bounds = d.groupBy(*g).agg(F.percentile_approx(F.col(key).cast("double"), qs, 10000)
-                               .alias("_b"))
-    d = d.join(bounds, g).withColumn(
+    pa = F.percentile_approx(F.col(key).cast("double"), qs, 10000)
+    if g:
+        d = df.join(df.groupBy(*g).agg(pa.alias("_b")), g)
+    else:  # one group: the bounds are a scalar subquery, and the group key a literal
+        d = df.withColumn("_b", df.agg(pa).scalar()).withColumn("_g", F.lit(1))
+        g = ["_g"]
+    d = d.withColumn(
         "_bk", F.size(F.filter("_b", lambda b: b < F.col(key).cast("double")))).drop("_b")
     cnt = d.groupBy(*g, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     off = cnt.select(*g, "_bk", F.coalesce(F.sum("_n").over(
@@ -51,42 +53,43 @@ def temporal_split(df: DataFrame, date: str, id_col: str, test_fraction: float =
     """Sort by (date, id); the first ``int(n*(1-f))`` rows train, the rest test.
 
     Returns ``(frame with a 'split' column, info)`` where ``info`` is a
-    one-row frame (cutoff_date, n_train, n_test).  Everything stays lazy:
-    only the per-date count table (one row per distinct date) is windowed,
-    rows of other dates are assigned by comparing with the cutoff date, and
-    the cutoff date itself is ranked with :func:`rank_in_groups`.
-    ``clamp`` keeps at least one row on each side; ``min_rows`` raises
-    when fewer rows are available.
+    one-row frame (cutoff_date, n_train, n_test).  Everything stays lazy.
+    Only the per-date count table (one row per distinct date) is windowed;
+    it tells each date whether all its rows train, all test, or — for the
+    one date the cut falls in — how many of its rows train.  Rows meet that
+    table in an equi-join on the date, and the cut date alone is ranked with
+    :func:`rank_in_groups` (skew-safe).  ``clamp`` keeps at least one row on
+    each side; ``min_rows`` raises when fewer rows are available.
     """
     if not 0 < test_fraction < 1:
         raise ValueError("test_fraction must be between 0 and 1")
     per_date = df.groupBy(date).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = per_date.select(date, "_n", F.sum("_n").over(w).alias("_cum"))
-    tot = per_date.agg(F.sum("_n").alias("_tot"))
+    w_cum = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_all = Window.partitionBy()
+    pd = per_date.select(date, "_n", F.sum("_n").over(w_cum).alias("_cum"),
+                         F.sum("_n").over(w_all).alias("_tot"))
     cut = F.floor(F.col("_tot") * F.lit(1.0 - test_fraction)).cast("long")
     if clamp:
         cut = F.least(F.greatest(cut, F.lit(1)), F.col("_tot") - 1)
-    tot = tot.select("_tot", cut.alias("_cut"), F.lit(1).alias("_k"))
-    info = cum.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k") \
-              .where(F.col("_cum") > F.col("_cut")).groupBy().agg(
-                  F.min_by(F.struct(F.col(date).alias("cutoff_date"),
-                                    (F.col("_cut") - F.col("_cum") + F.col("_n")).alias("_kin"),
-                                    "_cut", "_tot"), F.col(date)).alias("s")).select("s.*")
+    pd = pd.withColumn("_cut", cut)
+    before = F.col("_cum") - F.col("_n")
+    pd = pd.select(date, "_cum", "_cut", "_tot",
+                   F.when(F.col("_cum") <= F.col("_cut"), "train")
+                    .when(before >= F.col("_cut"), "test").otherwise("cut").alias("_side"),
+                   (F.col("_cut") - before).alias("_kin"))
     if min_rows > 0:
         n = df.count()
         if n < min_rows:
             raise ValueError("Not enough rows with complete features to split.")
-    d = df.withColumn("_k", F.lit(1)).join(
-        F.broadcast(info.select("cutoff_date", "_kin", F.lit(1).alias("_k"))), "_k").drop("_k")
-    rest = d.where(F.col(date) != F.col("cutoff_date")).withColumn(
-        "split", F.when(F.col(date) < F.col("cutoff_date"), "train").otherwise("test"))
-    on_cut = rank_in_groups(d.where(F.col(date) == F.col("cutoff_date")), [], id_col, id_col)
+    d = df.join(pd.select(date, "_side", "_kin"), date)
+    rest = d.where(F.col("_side") != "cut").withColumn("split", F.col("_side"))
+    on_cut = rank_in_groups(d.where(F.col("_side") == "cut"), [date], id_col, id_col)
     cut_rows = on_cut.withColumn("split", F.when(F.col("_rank") <= F.col("_kin"), "train")
                                  .otherwise("test")).drop("_rank")
-    out = rest.unionByName(cut_rows).drop("cutoff_date", "_kin")
-    info = info.select("cutoff_date", F.col("_cut").alias("n_train"),
-                       (F.col("_tot") - F.col("_cut")).alias("n_test"))
+    out = rest.unionByName(cut_rows).drop("_side", "_kin")
+    info = pd.where(F.col("_cum") > F.col("_cut")).groupBy().agg(
+        F.min(date).alias("cutoff_date"), F.first("_cut").alias("n_train"),
+        F.first(F.col("_tot") - F.col("_cut")).alias("n_test"))
     return out, info
 
 

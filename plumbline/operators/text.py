@@ -35,12 +35,11 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, n_min=2, n_max=4,
     stats = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
     if max_features is not None:
         stats = stats.orderBy(F.col("ttf").desc(), F.col("gram")).limit(max_features)
-    # the document count stays lazy: a one-row aggregate joined on a constant
-    n = docs.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    model = stats.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k").select(
-        "gram", (F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
-        .alias("idf"))
-    return model, n.select("_n")
+    # the document count is a scalar subquery: computed once, no join
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    model = stats.select(
+        "gram", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
+    return model, n
 
 
 def tfidf_weights(tf: DataFrame, model: DataFrame, sublinear: bool = True) -> DataFrame:

@@ -154,8 +154,8 @@ def label_classifier_metrics(spark, sf_dir):
 @register("label_classifier_top3")
 def label_classifier_top3(spark, sf_dir):
     pred = _label_eval(spark, sf_dir)
-    return M.topk_hit_rate(pred, "actual", "top_labels").join(
-        M.macro_summary(pred, "actual", "predicted").select("accuracy"))
+    acc = M.macro_summary(pred, "actual", "predicted").select("accuracy").scalar()
+    return M.topk_hit_rate(pred, "actual", "top_labels").select("*", acc.alias("accuracy"))
 
 
 @register("label_classifier_documents")
