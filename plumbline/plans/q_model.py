@@ -165,8 +165,7 @@ def label_classifier_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"),
                                                     "source")
     d = S.area_split(docs, "source", "label", "src3")
-    m = L.fit_label_classifier(d.where(F.col("split") == "train"), "doc_id", "text", "label",
-                               max_iter=200)
+    m = L.fit_label_classifier(d.where(F.col("split") == "train"), "doc_id", "text", "label")
     test = d.where(F.col("split") == "test")
     pred = L.predict_top3(m, test, "doc_id", "text").join(
         test.select("doc_id", F.col("label").alias("actual")), "doc_id")
