@@ -2,7 +2,7 @@
 P10, P16-P20).
 
 All reports are single aggregates or small windows over aggregate results:
-nothing is collected except scalar bounds (histogram edges).
+one-row values (histogram edges) are scalar subqueries, never collected.
 """
 
 from __future__ import annotations
@@ -152,21 +152,17 @@ def describe(df: DataFrame, cols, exact: bool = True, digits: int = 2) -> DataFr
 def histogram(df: DataFrame, c: str, bins: int, by: str | None = None) -> DataFrame:
     """Equal-width bins over the global [min, max]; optional per class.
 
-    The two bounds are a one-row aggregate, fetched as scalars (no join).
+    The two bounds are scalar subqueries (evaluated once, no join, no
+    driver round trip).
     """
-    lo, hi = df.agg(F.min(c), F.max(c)).first()
-    if lo is None:
-        return df.sparkSession.createDataFrame([], f"bin int, lo double, hi double, n long"
-                                               + (f", {by} string" if by else ""))
-    width = (float(hi) - float(lo)) / bins if hi != lo else 1.0
-    b = F.least(F.floor((F.col(c) - F.lit(float(lo))) / F.lit(width)).cast("int"),
-                F.lit(bins - 1))
+    lo = df.agg(F.min(F.col(c).cast("double"))).scalar()
+    hi = df.agg(F.max(F.col(c).cast("double"))).scalar()
+    width = F.when(hi != lo, (hi - lo) / F.lit(float(bins))).otherwise(F.lit(1.0))
+    b = F.least(F.floor((F.col(c) - lo) / width).cast("int"), F.lit(bins - 1))
     keys = [b.alias("bin")] + ([F.col(by)] if by else [])
     out = df.where(F.col(c).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return out.select(
-        "bin", *([by] if by else []),
-        (F.lit(float(lo)) + F.col("bin") * F.lit(width)).alias("lo"),
-        (F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width)).alias("hi"), "n")
+    return out.select("bin", *([by] if by else []), (lo + F.col("bin") * width).alias("lo"),
+                      (lo + (F.col("bin") + 1) * width).alias("hi"), "n")
 
 
 def weighted_density(df: DataFrame, keys, weight: str, alias="weight") -> DataFrame:
