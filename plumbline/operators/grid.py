@@ -330,8 +330,9 @@ def direct_candidates(params: DataFrame, cells: DataFrame, lat="latitude", lng="
     (an equi-join on the cell; exact because the box covers the circle)."""
     p = params.select("req_id", "lat", "lng", "walk_km", "sigma_km", "danger_filter")
     reach = F.col("walk_km") * 1.5
-    dlat = reach * 1000.0 / K.METRES_PER_DEG_LAT
-    dlng = reach * 1000.0 / K.METRES_PER_DEG_LNG
+    # a hair wider than the circle; the exact distance test below decides
+    dlat = reach * 1000.0 / K.METRES_PER_DEG_LAT + F.lit(1e-9)
+    dlng = reach * 1000.0 / K.METRES_PER_DEG_LNG + F.lit(1e-9)
     r0 = F.greatest(lat_to_row(F.col("lat") - dlat), F.lit(0))
     r1 = F.least(lat_to_row(F.col("lat") + dlat), F.lit(K.GRID_ROWS - 1))
     c0 = F.greatest(lng_to_col(F.col("lng") - dlng), F.lit(0))

@@ -233,3 +233,56 @@ SELECT camis, coalesce(max(k % 2 = 1), false) AS inside FROM cr GROUP BY camis""
 def point_in_area(spark, sf_dir):
     ent = entity_table(spark, sf_dir)
     return G.point_in_polygons(ent, region_edges(spark, sf_dir), "camis", "latitude", "longitude")
+
+
+# --- G15-G17 with grade-only safety: exact SQL twin -------------------------------------------
+
+def _grade_safety_frame(ent):
+    from plumbline.functions.columns import grade_safety
+    return ent.select("camis", F.coalesce(grade_safety("latest_grade"), F.lit(K.NEUTRAL_SAFETY))
+                      .alias("safety_score"))
+
+
+def _direct_sql() -> str:
+    from plumbline.plans.q_text import _ENT_MATCH_SQL
+    return _ENT_MATCH_SQL + f""",
+em AS (SELECT req_id, camis, {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} AS match
+       FROM esims),
+dparams AS (SELECT *, {_preset_sql(1)} AS walk_km, {_preset_sql(4)} AS sigma_km FROM req),
+dcand AS (
+  SELECT p.req_id, e.camis, e.latest_grade, p.query, p.danger_filter, p.walk_km, p.sigma_km,
+         sqrt(((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
+                * ((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
+              + ((e.longitude - p.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE))
+                * ((e.longitude - p.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE)))
+           / CAST(1000.0 AS DOUBLE) AS dist_km
+  FROM dparams p CROSS JOIN ent e
+  WHERE e.latitude IS NOT NULL AND e.longitude IS NOT NULL
+    AND e.latitude BETWEEN {K.LAT_MIN} AND {K.LAT_MAX}
+    AND e.longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX}),
+dsc AS (
+  SELECT c.req_id, c.camis, c.dist_km,
+         (CASE WHEN c.latest_grade = 'C' AND c.danger_filter THEN CAST(0.0 AS DOUBLE)
+               ELSE coalesce(CASE c.latest_grade WHEN 'A' THEN 3.0 WHEN 'B' THEN 2.0
+                                  WHEN 'C' THEN 1.0 END, 2.0)::DOUBLE END)
+         * coalesce(em.match, CASE WHEN {sql_blank('c.query')} THEN CAST(1.0 AS DOUBLE)
+                                   ELSE CAST(0.05 AS DOUBLE) END)
+         * CASE WHEN c.dist_km > c.walk_km * CAST(1.5 AS DOUBLE) THEN CAST(0.0 AS DOUBLE)
+                ELSE exp(-(c.dist_km * c.dist_km)
+                         / (CAST(2.0 AS DOUBLE) * greatest(c.sigma_km, CAST(0.1 AS DOUBLE))
+                            * greatest(c.sigma_km, CAST(0.1 AS DOUBLE)))) END AS score
+  FROM dcand c LEFT JOIN em ON em.req_id = c.req_id AND em.camis = c.camis
+  WHERE c.dist_km <= c.walk_km * CAST(1.5 AS DOUBLE)),
+drk AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY score DESC, camis) AS rank
+       FROM dsc WHERE score > 0)
+SELECT req_id, rank, camis, round(score, 9) AS combined_score, round(dist_km, 9) AS dist_km,
+       count(*) OVER (PARTITION BY req_id) AS n_candidates
+FROM drk WHERE rank <= 30"""
+
+
+@register("direct_ranking_grade_safety", _direct_sql())
+def direct_ranking_grade_safety(spark, sf_dir):
+    ent = _entities(spark, sf_dir)
+    r = SR.direct_ranking(requests(spark, sf_dir), ent, _grade_safety_frame(ent))
+    return r.select("req_id", "rank", "camis", F.round("combined_score", 9).alias("combined_score"),
+                    F.round("dist_km", 9).alias("dist_km"), "n_candidates")
