@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
-from plumbline.functions.columns import col_to_lng, lat_to_row, lng_to_col, row_to_lat
+from plumbline.functions.columns import col_to_lng, row_to_lat
 from plumbline.operators import blend as B
 from plumbline.operators import grid as G
 from plumbline.operators import search as SR

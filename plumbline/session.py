@@ -36,13 +36,21 @@ def get_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when unset."""
-    sc = spark.sparkContext
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder; set a scratch one only when unset.
+
+    Reads ``spark.checkpoint.dir`` (the folder the cluster names) and the
+    context's current setting; only when neither is set (tests, local runs)
+    is a fresh scratch folder created.
+    """
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="plumbline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)

@@ -1,4 +1,3 @@
-import numpy as np
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import char_wb_grams, normalise_name
