@@ -1,6 +1,7 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-usage: python tools/compare.py [sf_dir] [name-prefix ...]
+usage: python tools/compare.py [sf_dir] [--strict] [name-prefix ...]
+(--strict compares floats exactly instead of at 6 decimals)
 """
 from __future__ import annotations
 
@@ -18,11 +19,14 @@ from plumbline.plans.standins import TABLES  # noqa: E402
 from plumbline.session import get_session  # noqa: E402
 
 
+STRICT = "--strict" in sys.argv
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return (v + 0.0) if STRICT else round(v, 6) + 0.0
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
@@ -39,7 +43,7 @@ def rows_of(cols, rows):
 
 
 def main():
-    args = sys.argv[1:]
+    args = [a for a in sys.argv[1:] if a != "--strict"]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     prefixes = [a for a in args if not a.startswith("/")]
     reg = load_all()
