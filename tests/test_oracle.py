@@ -1,4 +1,5 @@
-"""Every query with an SQL twin equals DuckDB on the sf0.001 tables."""
+"""Every query with an SQL twin equals DuckDB on the sf0.001 tables, exactly
+(floats compared bit for bit)."""
 import math
 
 import duckdb
@@ -14,7 +15,7 @@ WITH_SQL = sorted(n for n, (_f, s) in REG.items() if s is not None)
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6) + 0.0
+        return "nan" if math.isnan(v) else v + 0.0  # exact: no rounding
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v
