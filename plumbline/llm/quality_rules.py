@@ -32,7 +32,7 @@ from plumbline.llm.common import in_arrow, mix, slices, table, text_frame
 GRAM = 4
 BUCKETS = 1 << 16
 ALPHA = 1.0
-THRESHOLD = -0.05
+THRESHOLD = -0.4
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
