@@ -1,7 +1,7 @@
 """Quality classifier: gated attention over passages (multiple instances).
 
 A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded
-from hashed byte trigrams and a few shares of its characters, by one learned
+from hashed byte trigrams and a few shares of its characters and repeats, by one learned
 hidden layer: ``h = tanh(x W + c)``.  Gated attention gives each passage a
 weight, the softmax over the document of ``w . (tanh(h V) * sigmoid(h U))``;
 the document's representation is the weighted sum of its ``h``, and the score
@@ -35,7 +35,7 @@ from plumbline.llm.common import fields, fresh, in_arrow, own_columns, remainder
 
 PASSAGE = 64
 HASHED = 256
-EXTRA = 8
+EXTRA = 10
 FEATURES = HASHED + EXTRA
 HIDDEN, GATE = 24, 12
 SAMPLE_ROWS = 1500
@@ -52,6 +52,7 @@ _KIND[[ord(c) for c in "!\"'()+,-./:;=?@[\\]^_`{}~"]] = 4
 _KIND[128:] = 5
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+_WEIGHT = np.random.default_rng(23).integers(1, 1 << 32, 64, dtype=np.uint64).astype(np.uint32)
 
 
 def features(text: str | None) -> np.ndarray:
@@ -84,6 +85,15 @@ def features(text: str | None) -> np.ndarray:
     out[:, HASHED + 5] = words / PASSAGE
     out[:, HASHED + 6] = words * 6.0 / size
     out[:, HASHED + 7] = min(1.0, len(starts) / 400)
+    # words that repeat the word before them, or any earlier word of the passage
+    spans = np.diff(np.concatenate(([0], starts[1:], [len(raw)])))
+    place = np.arange(len(raw)) - np.repeat(starts, spans)
+    name = np.add.reduceat(np.where(blank, np.uint32(0), code * _WEIGHT[place & 63]), starts, dtype=np.uint32)
+    bag = np.arange(len(starts)) // PASSAGE
+    same = np.append(False, (name[1:] == name[:-1]) & (bag[1:] == bag[:-1]))
+    out[:, HASHED + 8] = np.bincount(bag, same, n) / words
+    distinct = np.unique(bag.astype(np.uint64) << np.uint64(32) | name)
+    out[:, HASHED + 9] = 1 - np.bincount((distinct >> np.uint64(32)).astype(np.int64), minlength=n) / words
     return out
 
 
