@@ -44,8 +44,10 @@ def to_bigint_key(c: str | Column) -> Column:
 
 
 def title_case(c: str | Column) -> Column:
-    """Upper-case the first letter of every blank-separated word."""
-    return F.initcap(col_(c))
+    """Upper-case every letter that follows no letter, lower-case the others
+    (so words split at blanks, hyphens, apostrophes and digits alike)."""
+    runs = F.regexp_extract_all(F.lower(col_(c)), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
 
 
 # --- encodings (P9, P17, P20) -------------------------------------------------

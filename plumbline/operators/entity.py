@@ -1,7 +1,7 @@
 """Violation log -> one row per entity.
 
-Plan shape (checked with ``explain``): two hash aggregates with map-side
-partial aggregation and no sort.
+Plan shape (checked with ``explain``): two aggregates with map-side partial
+aggregation; the log is read and joined once.
 
 1. ``groupBy(key, date)`` reduces every (entity, day) to one row: the first
    row of the day in source order (``min_by(..., rid)``) for every value the
@@ -12,9 +12,8 @@ partial aggregation and no sort.
 
 A hot entity holding a third of all rows is split over its days by step 1
 and arrives at step 2 as one partial row per map task, so no task ever holds
-the whole group.  The sorted list of distinct codes (A7) goes through its own
-``(key, code)`` de-duplication, so its per-entity size is bounded by the
-code vocabulary, not by the row count.
+the whole group.  The distinct codes (A7) of a day travel with it, so the list
+of an entity is bounded by its days and the code vocabulary, not by its rows.
 """
 
 from __future__ import annotations
@@ -49,9 +48,13 @@ def latest_row(df: DataFrame, key: str, date: str, order: str, cols, prefix="lat
 
 
 def most_common(df: DataFrame, key: str, c: str, alias: str | None = None) -> DataFrame:
-    """Most frequent non-null value per key; ties -> smallest value."""
-    return df.where(F.col(c).isNotNull()).groupBy(key).agg(
-        F.mode(c, deterministic=True).alias(alias or c))
+    """Most frequent non-null value per key; ties -> smallest value.
+
+    Values are counted per (key, value) first, so no task holds the rows or the
+    value map of a key; the winner is picked from the counts."""
+    counts = df.where(F.col(c).isNotNull()).groupBy(key, c).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.groupBy(key).agg(F.max("_n").alias("_n"))
+    return counts.join(top, [key, "_n"]).groupBy(key).agg(F.min(c).alias(alias or c))
 
 
 def build_entity_table(
@@ -114,6 +117,7 @@ def build_entity_table(
         F.sum("_nv").cast("int").alias("total_violations"),
         F.sum("_nc").cast("int").alias("critical_violations"),
         F.sum("_nn").cast("int").alias("non_critical_violations"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_codes")))).alias("_codes"),
     )
 
     grade_pick = F.coalesce(F.col("_graded"), F.col("_any"))
@@ -129,18 +133,8 @@ def build_entity_table(
         F.datediff(F.lit(reference_date).cast("date"), F.col("latest_inspection_date"))
          .alias("days_since_last_inspection"),
         "total_violations", "critical_violations", "non_critical_violations",
+        F.when(F.size("_codes") > 0, F.array_join("_codes", ",")).alias("unique_violation_codes"),
     ).withColumn("latest_grade_encoded", grade_encode("latest_grade"))
 
-    if "violation_code" in has:
-        # Same per-day aggregate feeds both branches, so Spark reuses its
-        # shuffle: the log is read and joined once.
-        codes = (day.select(key, F.explode("_codes").alias("violation_code")).distinct()
-                 .groupBy(key)
-                 .agg(F.array_join(F.sort_array(F.collect_list("violation_code")), ",")
-                      .alias("unique_violation_codes")))
-        ent = ent.join(codes, key, "left")
-    else:
-        ent = ent.withColumn("unique_violation_codes", F.lit(None).cast("string"))
-
     ordered = [c for c in K.ENTITY_COLUMN_ORDER if c in ent.columns]
     return ent.select(key, *ordered)

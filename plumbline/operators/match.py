@@ -12,28 +12,20 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import text as X
 
-LABEL_BROADCAST_MAX = 100_000
+LABEL_BUCKETS = 32
 
 
 def request_label_pairs(requests: DataFrame, labels: DataFrame, req_id="req_id",
                         label="label") -> DataFrame:
-    """Every (request, label) pair — the output itself is this product.
-
-    When the label vocabulary is at most ``LABEL_BROADCAST_MAX`` (checked),
-    the labels become one array (a scalar subquery, evaluated once) that
-    each request row explodes: the request side is never shuffled.
-    Above that bound, labels are hashed into buckets of about that size,
-    each request is repeated once per bucket, and the two sides meet in an
-    equi-join on the bucket, so the product is spread over many tasks.
+    """Every (request, label) pair: the output itself is this product.
+
+    Labels are hashed into ``LABEL_BUCKETS`` buckets and each request meets every
+    bucket in an equi-join, so the product is spread over the buckets and
+    neither side is collected anywhere.
     """
     labs = labels.select(F.col(label).alias("label")).distinct()
-    n = labs.count()
-    if n <= LABEL_BROADCAST_MAX:
-        arr = labs.agg(F.sort_array(F.collect_list("label"))).scalar()
-        return requests.select(*requests.columns, F.explode(arr).alias("label"))
-    buckets = -(-n // LABEL_BROADCAST_MAX)
-    lb = labs.withColumn("_b", F.pmod(F.xxhash64("label"), F.lit(buckets)))
-    rb = requests.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    lb = labs.withColumn("_b", F.pmod(F.xxhash64("label"), F.lit(LABEL_BUCKETS)).cast("int"))
+    rb = requests.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(LABEL_BUCKETS - 1))))
     return rb.join(lb, "_b").drop("_b")
 
 
@@ -57,7 +49,7 @@ def label_matcher(requests: DataFrame, labels: DataFrame, req_id="req_id", query
     return out.select(F.col("req").alias(req_id), "label", "match")
 
 
-def entity_text_model(entities: DataFrame, id_col="camis", max_features: int = 100_000):
+def entity_text_model(entities: DataFrame, id_col="camis", max_features: int | None = None):
     """T11 + fit: entity documents, their model and their vectors."""
     docs = entities.select(F.col(id_col).alias("doc_id"), X.entity_document().alias("text"))
     model, _n = X.tfidf_fit(docs, "doc_id", "text", max_features=max_features)

@@ -110,9 +110,10 @@ def area_split(df: DataFrame, area: str, label: str, test_area: str,
                min_count: int = K.MIN_LABEL_COUNT) -> DataFrame:
     """One area is the test set (names trimmed + title-cased); classes
     with fewer than ``min_count`` train rows are removed from both sides."""
-    norm = title_case(trim_all_space(F.col(area)))
-    target = test_area.strip().title()
-    d = df.withColumn("split", F.when(norm == F.lit(target), "test").otherwise("train"))
+    def norm(c: Column) -> Column:
+        return title_case(trim_all_space(c))
+
+    d = df.withColumn("split", F.when(norm(F.col(area)) == norm(F.lit(test_area)), "test").otherwise("train"))
     keep = (d.where(F.col("split") == "train").groupBy(label).count()
             .where(F.col("count") >= min_count).select(label))
     return d.join(keep, label, "left_semi")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import constants as K
 from plumbline.operators.clean import clean_raw, rename_known
 from plumbline.plans.catalog import register
-from plumbline.plans.standins import RAW_TEXT_SQL, inspection_log, raw_inspection_text
+from plumbline.plans.standins import RAW_TEXT_SQL, raw_inspection_text
 from plumbline.sources.files import preview
 
 _NA = ", ".join("'" + s.replace("'", "''") + "'" for s in K.NA_STRINGS)
@@ -67,7 +67,3 @@ def raw_preview(spark, sf_dir):
     return preview(raw, 200, "rid").select(F.col("CAMIS").alias("camis_raw"),
                                            F.col("`INSPECTION DATE`").alias("inspection_date_raw"))
 
-
-def cleaned_log(spark, sf_dir):
-    """The stand-in log after a raw-text round trip (for ad-hoc use)."""
-    return inspection_log(spark, sf_dir)

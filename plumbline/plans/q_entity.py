@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from plumbline.functions import constants as K
 from plumbline.operators import entity as E
 from plumbline.plans.catalog import register
@@ -107,6 +105,3 @@ SELECT camis, violation_code AS common_code FROM (
 def entity_most_common(spark, sf_dir):
     return E.most_common(inspection_log(spark, sf_dir), "camis", "violation_code", "common_code")
 
-
-def _flagship_cols():
-    return [F.col(c) for c in ["camis"] + K.ENTITY_COLUMN_ORDER]

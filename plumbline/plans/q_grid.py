@@ -163,7 +163,7 @@ def heat_map(spark, sf_dir):
 
 
 def _safety(spark, sf_dir, ent):
-    model = B.fit_blend(ent, max_depth=4)
+    model = B.fit_blend(ent)
     return B.safety_scores(model, ent)
 
 

@@ -15,7 +15,7 @@ from plumbline.plans.q_eval import graded_complete
 from plumbline.operators import split as S
 from plumbline.plans.standins import table
 
-GRADE_DEPTH = 4
+GRADE_DEPTH = 10
 
 
 def _grade_tree(spark, sf_dir):
@@ -93,12 +93,12 @@ def doc_features(spark, sf_dir):
 def tree_document_quality(spark, sf_dir):
     d = doc_features(spark, sf_dir)
     feats = ["n_chars", "n_words", "n_lines", "digit_share"]
-    nodes, classes = T.fit_tree(d, feats, "quality", max_depth=3)
+    nodes, classes = T.fit_tree(d, feats, "quality")
     pred = T.predict(nodes, d, classes, "doc_id").join(d.select("doc_id", "quality"), "doc_id")
     return M.class_metrics(pred, "quality", "predicted")
 
 
-BLEND_DEPTH = 6
+BLEND_DEPTH = 12
 
 
 def _blend(spark, sf_dir):

@@ -80,6 +80,8 @@ def name_normalise(spark, sf_dir):
     return c.unionByName(p)
 
 
+TFIDF_CAP = 50_000  # the vocabulary limit is operator T4 and applies in tfidf_model alone
+
 _PART_DOCS = "pd AS (SELECT p_partkey AS doc, p_name AS text FROM part)"
 
 
@@ -103,19 +105,19 @@ def char_grams_words(spark, sf_dir):
 
 
 @register("tfidf_model", "WITH " + _PART_DOCS + "," + sql_tf("p", "pd") + ","
-          + sql_model("p", "pd", 500) + "\nSELECT gram, round(idf, 9) AS idf FROM p_model")
+          + sql_model("p", "pd", TFIDF_CAP) + "\nSELECT gram, round(idf, 9) AS idf FROM p_model")
 def tfidf_model(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    model, _n = X.tfidf_fit(part, "p_partkey", "p_name", max_features=500)
+    model, _n = X.tfidf_fit(part, "p_partkey", "p_name", max_features=TFIDF_CAP)
     return model.select("gram", F.round("idf", 9).alias("idf"))
 
 
 @register("tfidf_vectors", "WITH " + _PART_DOCS + "," + sql_tf("p", "pd") + ","
-          + sql_model("p", "pd", 500) + "," + sql_vec("p", "p_model")
+          + sql_model("p", "pd") + "," + sql_vec("p", "p_model")
           + "\nSELECT doc, gram, round(w, 9) AS w FROM p_vec")
 def tfidf_vectors(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    model, _n = X.tfidf_fit(part, "p_partkey", "p_name", max_features=500)
+    model, _n = X.tfidf_fit(part, "p_partkey", "p_name")
     v = X.tfidf_transform(part, "p_partkey", "p_name", model)
     return v.select("doc", "gram", F.round("w", 9).alias("w"))
 

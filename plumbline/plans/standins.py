@@ -215,8 +215,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The query kinds cycle over the supplier key: blank, free text with the
     supplier name, a full customer name (reference found by "name inside
-    token"), label words, dish words (keyword rules) and the first 17
-    characters of a customer name (reference found by "token inside name").
+    token"), label words, dish words (keyword rules) and the number in a customer
+    name (reference found by "token inside name").
     """
     from plumbline.functions.constants import WALK_PRESETS
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -229,7 +229,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(m == 2, F.concat(F.lit("ramen or pizza by "), F.lower("c_name")))
          .when(m == 3, F.lit("household machinery"))
          .when(m == 4, F.lit("sushi bbq tacos"))
-         .otherwise(F.concat(F.lit("dinner at "), F.substring(F.lower("c_name"), 1, 17))))
+         .otherwise(F.concat(F.lit("dinner at "), F.split_part(F.lower("c_name"), F.lit("#"), F.lit(2)))))
     preset = F.element_at(F.array(*[F.lit(p[0]) for p in WALK_PRESETS]), (k % 6 + 1).cast("int"))
     lat, lng = entity_coordinates(k * F.lit(13) + F.lit(5))
     return d.select(k.alias("req_id"), lat.alias("lat"), lng.alias("lng"), q.alias("query"),
@@ -252,7 +252,7 @@ req AS (
               WHEN 2 THEN 'ramen or pizza by ' || lower(c_name)
               WHEN 3 THEN 'household machinery'
               WHEN 4 THEN 'sushi bbq tacos'
-              ELSE 'dinner at ' || substr(lower(c_name), 1, 17) END AS query,
+              ELSE 'dinner at ' || split_part(lower(c_name), '#', 2) END AS query,
          {_presets_sql()} AS preset,
          CAST(s_suppkey % 4 AS DOUBLE) * CAST(0.25 AS DOUBLE) AS importance,
          s_suppkey % 2 = 0 AS danger_filter

@@ -24,6 +24,7 @@ def get_session(master: str | None = None, partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -40,8 +41,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder; set a scratch one only when unset.
 
     Reads ``spark.checkpoint.dir`` (the folder the cluster names) and the
-    context's current setting; only when neither is set (tests, local runs)
-    is a fresh scratch folder created.
+    context's current setting; only when neither is set and Spark runs in one
+    process (tests, local runs) is a fresh scratch folder created.  On a
+    cluster a missing setting is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -52,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if current:
         return current
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="plumbline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)

@@ -7,22 +7,25 @@ schema.  Writers are plain ``DataFrameWriter`` calls.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import constants as K
 
 
+#: Quotes inside a quoted value are doubled; a quoted value may hold commas and
+#: line breaks.  Such a file is read by one task; many files are read in parallel.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "PERMISSIVE"}
+
+
 def read_raw_csv(spark: SparkSession, path: str, with_order: bool = True) -> DataFrame:
     """IO1: header row, all columns as strings, nothing inferred.
 
-    ``rid`` (file name, byte-ordered row position inside the split) keeps the
-    source order used for "first row wins" ties.
+    ``rid`` (file name, row position) keeps the source order used for "first
+    row wins" ties.
     """
-    df = (spark.read.option("header", True).option("multiLine", False)
-          .option("nullValue", None).option("emptyValue", "")
-          .option("mode", "PERMISSIVE").csv(path))
+    df = spark.read.options(**CSV_OPTIONS, emptyValue="").csv(path)
     if with_order:
         df = df.withColumn("rid", F.struct(F.input_file_name().alias("f"),
                                            F.monotonically_increasing_id().alias("i")))
@@ -31,7 +34,7 @@ def read_raw_csv(spark: SparkSession, path: str, with_order: bool = True) -> Dat
 
 def raw_header(spark: SparkSession, path: str) -> list[str]:
     """IO5 (header only): column names without reading the body."""
-    return spark.read.option("header", True).csv(path).columns
+    return spark.read.options(**CSV_OPTIONS).csv(path).columns
 
 
 def preview(df: DataFrame, n: int = 200, order: str = "rid") -> DataFrame:
@@ -66,7 +69,7 @@ ENTITY_SCHEMA = T.StructType([
 def read_entity_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """IO2: entity table with an explicit schema (dates typed, nothing inferred)."""
     if fmt == "csv":
-        raw = spark.read.option("header", True).csv(path)
+        raw = spark.read.options(**CSV_OPTIONS).csv(path)
         cols = []
         for f in ENTITY_SCHEMA.fields:
             if f.name not in raw.columns:
@@ -88,25 +91,25 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+                  ignoreTrailingWhiteSpace=False).csv(path)
     else:
         w.format(fmt).save(path)
 
 
 def run_build_job(spark: SparkSession, in_path: str, out_path: str, reference_date: str,
                   out_fmt: str = "parquet") -> dict:
-    """IO4: raw CSV -> cleaned log -> entity table -> sink; returns counts."""
+    """IO4: raw CSV -> cleaned log -> entity table -> sink; the counts are taken
+    while the one job runs, so nothing is read twice."""
     from plumbline.operators.clean import clean_raw
     from plumbline.operators.entity import build_entity_table
 
-    raw = read_raw_csv(spark, in_path)
-    log = clean_raw(raw, keep=["rid"])
-    stats = log.agg(F.count(F.lit(1)).alias("rows"),
-                    F.count_distinct("camis").alias("entities")).first()
-    ent = build_entity_table(log, reference_date)
+    rows, entities = Observation("rows"), Observation("entities")
+    count = F.count(F.lit(1)).alias("n")
+    log = clean_raw(read_raw_csv(spark, in_path), keep=["rid"]).observe(rows, count)
+    ent = build_entity_table(log, reference_date).observe(entities, count)
     write_table(ent, out_path, out_fmt)
-    n_out = spark.read.format(out_fmt).option("header", True).load(out_path).count()
-    return {"rows": stats["rows"], "entities": stats["entities"], "written": n_out}
+    return {"rows": rows.get["n"], "entities": entities.get["n"], "written": entities.get["n"]}
 
 
 # --- IO6: polygons -------------------------------------------------------------
@@ -163,14 +166,6 @@ def presets_table(spark: SparkSession) -> DataFrame:
                                  "sigma_km double")
 
 
-def places_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.PLACES, "name string, lat double, lng double")
-
-
 def keyword_rules_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, p, e) for i, (p, e) in enumerate(K.KEYWORD_RULES)],
                                  "ord int, pattern string, expansion string")
-
-
-def stopwords_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in K.STOPWORDS], "word string")

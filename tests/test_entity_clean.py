@@ -25,6 +25,8 @@ ROWS = [
      "20", "N", "", "Cycle", "40.8", "-73.8", "x"],
     ["3", "No Letter", "queens", "2", "B St", "", "Thai", "6/1/2020", "B2", "", "", "25", "Z", "",
      "Cycle", "40.8", "-73.8", "x"],
+    ["5", 'JOE "THE BEST" PIZZA, INC', "staten-island", "9", "Line one\nLine two", "", 'Pizza, "thin"', "2/2/2020", "Q", "", "",
+     "4", "A", "2/2/2020", "Cycle", "40.6", "-74.1", "x"],
     ["4", "Tie", "bronx", "3", "C St", "", "Deli", "2/2/2020", "X", "", "", "5", "C", "2/2/2020",
      "Cycle", "40.85", "-73.85", "x"],
     ["4", "Tie", "bronx", "3", "C St", "", "Deli", "2/2/2020", "Y", "", "", "7", "C", "2/2/2020",
@@ -48,7 +50,7 @@ def test_clean_and_build(spark, tmpdir_path):
     log = clean_raw(raw, keep=["rid"])
     assert "extra_column" not in log.columns
     got = {r["camis"]: r for r in build_entity_table(log, "2022-01-01").collect()}
-    assert set(got) == {1, 2, 3, 4}  # missing key dropped
+    assert set(got) == {1, 2, 3, 4, 5}  # missing key dropped
     e1 = got[1]
     assert e1["dba"] == "Cafe One" and e1["boro"] == "Manhattan"
     assert e1["phone"] == "555" and e1["street"] == "Main St" and e1["building"] == "10"
@@ -69,6 +71,10 @@ def test_clean_and_build(spark, tmpdir_path):
     assert e2["unique_violation_codes"] is None and e2["boro"] == "0"
     e3 = got[3]
     assert e3["latest_grade"] == "Z" and e3["latest_grade_encoded"] is None
+    e5 = got[5]
+    assert e5["dba"] == 'JOE "THE BEST" PIZZA, INC' and e5["boro"] == "Staten-Island"
+    assert e5["street"] == "Line one\nLine two" and e5["cuisine"] == 'Pizza, "thin"'
+    assert e5["latest_grade"] == "A" and e5["longitude"] == -74.1
     e4 = got[4]
     assert e4["latest_action"] == "X" and e4["latest_score"] == 5.0 and e4["mean_score"] == 5.0
 
@@ -78,11 +84,12 @@ def test_csv_round_trip_and_job(spark, tmpdir_path):
     _write_csv(path)
     out = os.path.join(tmpdir_path, "entities_csv")
     stats = run_build_job(spark, path, out, "2022-01-01", out_fmt="csv")
-    assert stats["rows"] == len(ROWS) and stats["entities"] == 4 and stats["written"] == 4
+    assert stats["rows"] == len(ROWS) and stats["entities"] == 5 and stats["written"] == 5
     back = read_entity_table(spark, out, fmt="csv")
     r = {x["camis"]: x for x in back.collect()}
+    assert r[5]["dba"] == 'JOE "THE BEST" PIZZA, INC' and r[5]["street"] == "Line one\nLine two"
     assert r[1]["latest_inspection_date"] == dt.date(2021, 3, 2)
     pq = os.path.join(tmpdir_path, "entities_pq")
     log = clean_raw(read_raw_csv(spark, path), keep=["rid"])
     write_table(build_entity_table(log, "2022-01-01"), pq)
-    assert read_entity_table(spark, pq).count() == 4
+    assert read_entity_table(spark, pq).count() == 5

@@ -26,13 +26,36 @@ def test_finite_gate(spark):
         T.assert_finite(out, ["mean_score"])
 
 
-def test_label_pairs_bucketed_fallback(spark, monkeypatch):
+def test_label_pairs_are_the_whole_product(spark, monkeypatch):
     req = spark.range(0, 7).withColumnRenamed("id", "req_id")
     labels = spark.range(0, 25).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("label"))
-    monkeypatch.setattr(MT, "LABEL_BROADCAST_MAX", 4)
-    big = MT.request_label_pairs(req, labels)
-    monkeypatch.setattr(MT, "LABEL_BROADCAST_MAX", 100)
-    small = MT.request_label_pairs(req, labels)
-    a = sorted((r["req_id"], r["label"]) for r in big.collect())
-    b = sorted((r["req_id"], r["label"]) for r in small.collect())
-    assert a == b and len(a) == 7 * 25
+    want = sorted((i, f"L{j}") for i in range(7) for j in range(25))
+    for buckets in (1, 4, 32):
+        monkeypatch.setattr(MT, "LABEL_BUCKETS", buckets)
+        got = MT.request_label_pairs(req, labels.unionByName(labels))
+        assert sorted((r["req_id"], r["label"]) for r in got.collect()) == want
+
+
+def test_checkpoint_folder_must_be_shared(spark, monkeypatch):
+    from plumbline import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
+
+
+def test_title_case(spark):
+    from plumbline.functions.columns import title_case
+    words = ["staten-island", "o'neil AND sons", "1st AVENUE", "", None, "ÉCOLE élan", "not critical"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r[0] for r in df.select(title_case("w")).collect()]
+    assert got == [None if w is None else w.title() for w in words]

@@ -13,8 +13,7 @@ def test_language_classifier_beats_majority(spark):
     docs = table(spark, SF001, "documents").select("doc_id", "text", F.col("lang").alias("label"),
                                                    "source")
     d = S.stratified_split(docs, "label", "doc_id", 0.2, 42)
-    m = L.fit_label_classifier(d.where("split = 'train'"), "doc_id", "text", "label",
-                               max_iter=100)
+    m = L.fit_label_classifier(d.where("split = 'train'"), "doc_id", "text", "label")
     test = d.where("split = 'test'")
     pred = L.predict_top3(m, test, "doc_id", "text").join(
         test.select("doc_id", F.col("label").alias("actual")), "doc_id")

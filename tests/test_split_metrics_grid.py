@@ -148,3 +148,13 @@ def test_corner_route_odd_hop(spark):
     r = df.select(G.corner_route(F.col("p")).alias("r")).first()["r"]
     # hop 1 is diagonal and odd: the corner is (lat2, lng1)
     assert [(x["lat"], x["lng"]) for x in r] == [(0, 0), (0, 1), (1, 1), (1, 2)]
+
+
+def test_area_split_names_with_hyphens_and_apostrophes(spark):
+    from plumbline.operators.split import area_split
+    rows = [(i, a, "x") for i, a in enumerate([" staten-island", "Staten-Island ", "STATEN-ISLAND", "o'hara", "O'Hara"] * 10)]
+    df = spark.createDataFrame(rows, "id int, area string, label string")
+    out = area_split(df, "area", "label", "staten-island").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in out} == {"test": 30, "train": 20}
+    out = area_split(df, "area", "label", "O'HARA").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in out} == {"test": 20, "train": 30}
