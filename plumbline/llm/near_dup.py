@@ -177,11 +177,23 @@ def _confirm_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield out.filter(pa.array(keep, pa.bool_()))
 
 
+def _first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For signature pairs that share an index key, the first one's column."""
+    wrong = (x != y).reshape(len(x), CHUNKS, PER)
+    errors = wrong.sum(axis=2)
+    chunk = np.argmax(errors <= 1, axis=1)
+    rows = np.arange(len(x))
+    slot = np.where(errors[rows, chunk] == 0, 0, np.argmax(wrong[rows, chunk], axis=1))
+    return chunk * PER + slot
+
+
 def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of one bucket: rows (key, unit, id, comp, size, first, sig) ->
+    """Blocks of one bucket: rows (key, unit, at, id, comp, size, side, sig) ->
     (id, comp) of documents close to a member of another component.  ``unit``
-    names a pair of blocks (or one block with itself), ``first`` the side."""
+    names a pair of blocks (or one block with itself), ``side`` a block's place
+    in it.  A pair counts in the first bucket it shares, nowhere else."""
     for t in groups(batches, ["key", "unit"]):
+        at = t.column("at")[0].as_py()
         ids, comp, size = (t.column(c).to_numpy() for c in ("id", "comp", "size"))
         side = t.column("side").to_numpy()
         sig = _sigs(t.column("sig"))
@@ -194,6 +206,7 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(j):
                 continue
             j = j[(sig[j] != sig[i]).sum(axis=1) <= CHECK]
+            j = j[_first_shared(sig[j], np.broadcast_to(sig[i], (len(j), SLOTS))) == at]
             for k in j.tolist():
                 # the document of the smaller component is checked against the larger one
                 small, big = (i, k) if (size[i], -comp[i]) < (size[k], -comp[k]) else (k, i)
@@ -259,7 +272,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # multi-index: keys held by several documents
     keys = sets.select("id", "sig").transform(in_arrow, _index, "id long, keys array<long>").select(
-        "id", F.explode("keys").alias("key"))
+        "id", F.posexplode("keys").alias("at", "key"))
     shared = written(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"))
                      .filter("n > 1").select("key", "first"), "buckets")
     rows = written(keys.join(shared, "key"), "bucket_rows")
@@ -282,8 +295,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comp = connected(links)
 
     # rest: buckets that still hold several components
-    placed = rows.select("key", "id").join(comp, "id", "left").select(
-        "key", "id", F.coalesce("comp", "id").alias("comp"))
+    placed = rows.select("key", "at", "id").join(comp, "id", "left").select(
+        "key", "at", "id", F.coalesce("comp", "id").alias("comp"))
     placed = written(placed, "placed")
     open_keys = written(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
                         .filter("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open_keys")
@@ -295,8 +308,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     unit = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         (F.least(F.col("block"), o) * F.col("blocks") + F.greatest(F.col("block"), o)).alias("unit"),
         F.when(o == F.col("block"), 0).when(F.col("block") < o, 1).otherwise(2).alias("side")))
-    blocked = blocked.select("key", "id", "comp", "size", "sig", F.explode(unit).alias("u")).select(
-        "key", F.col("u.unit").cast("long").alias("unit"), "id", "comp", "size", F.col("u.side").cast("int").alias("side"), "sig")
+    blocked = blocked.select("key", "at", "id", "comp", "size", "sig", F.explode(unit).alias("u")).select(
+        "key", F.col("u.unit").cast("long").alias("unit"), "at", "id", "comp", "size", F.col("u.side").cast("int").alias("side"), "sig")
     rest = (blocked.repartition(F.col("key"), F.col("unit")).sortWithinPartitions("key", "unit")
             .transform(in_arrow, _rest, "id long, comp long").distinct())
     rest = written(rest, "rest")
