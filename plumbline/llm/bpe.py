@@ -32,19 +32,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.chunks import CACHED_CHARS, ChunkEncoder, Generations, byte_letters, default_path, id_bytes, read_tokenizer
+from plumbline.llm.chunks import Generations, byte_letters, default_path, id_bytes, read_tokenizer, split_special
 from plumbline.llm.common import in_arrow, slices, table, text_frame
 
 PAIR_CACHE = 600_000
 STEP_CACHE = 500_000
 NEVER = 1 << 60
-PLAIN = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-ASCII = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
-LATIN_END = "ɐ"  # above it, the tokenizer library's own splitter decides the letter classes
+LATIN_END = "\u0250"  # up to here the classes are spelled out; above, the tokenizer library splits
+_LETTER, _NUMBER, _BLANK = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t-\r\x85\xa0"
+SPLIT = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+"
+                   f"|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
+CACHE = 350_000       # words in each of two cache generations
+CACHED_CHARS = 32     # longer words are not kept
 
 
 class SuffixAutomaton:
@@ -122,7 +124,7 @@ class PrefixBPE:
         self.right: dict[int, list[tuple[int, int]]] = {}
         self.left: dict[int, list[tuple[int, int]]] = {}
         self.splitter = None
-        self.known = Generations()
+        self.known = Generations(CACHE)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """(token, rank at which it grows on) up one edge of the token's merge
@@ -205,37 +207,38 @@ class PrefixBPE:
         out.reverse()
         return out
 
-    def words(self, chunk: str) -> list[str]:
-        """The pieces the tokenizer's splitting pattern makes of ``chunk``."""
-        if chunk.isascii():
-            body = chunk[1:]
-            if chunk[0] == " " and body.isalpha():
-                return [chunk]
-            if chunk[0] == " " and chunk[-1] in ".," and body[:-1].isalpha():
-                return [chunk[:-1], chunk[-1]]
-            return ASCII.findall(chunk)
-        if max(chunk) < LATIN_END:
-            return PLAIN.findall(chunk)
+    def words(self, text: str) -> list[str]:
+        """The pieces the tokenizer's splitting pattern makes of ``text``."""
+        if text.isascii() or max(text) < LATIN_END:
+            return SPLIT.findall(text)
         if self.splitter is None:
             from tokenizers.pre_tokenizers import ByteLevel
 
             self.splitter = ByteLevel(add_prefix_space=False)
-        return [chunk[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(chunk)]
+        return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
 
-    def word_ids(self, word: str) -> bytes:
-        known = self.known
-        got = known.new.get(word)
+    def _miss(self, word: str) -> bytes:
+        got = self.known.older(word)
         if got is None:
-            got = known.older(word)
-            if got is None:
-                got = id_bytes(self.encode_word(word.encode("utf-8", "replace")))
-            if len(word) <= CACHED_CHARS:
-                known.put(word, got)
+            got = id_bytes(self.encode_word(word.encode("utf-8", "replace")))
+        if len(word) <= CACHED_CHARS:
+            self.known.put(word, got)
         return got
 
-    def encode_chunk(self, chunk: str) -> bytes:
-        words = self.words(chunk)
-        return self.word_ids(words[0]) if len(words) == 1 else b"".join(map(self.word_ids, words))
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text (null: none)."""
+        out = []
+        for part in split_special(text or "", self.special):
+            if isinstance(part, int):
+                out.append(id_bytes([part]))
+                continue
+            words = self.words(part)
+            got = list(map(self.known.new.get, words))
+            if None in got:
+                miss = self._miss
+                got = [miss(w) if g is None else g for w, g in zip(words, got, strict=True)]
+            out += got
+        return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: list[int]) -> str:
         table = self.token_bytes
@@ -243,10 +246,9 @@ class PrefixBPE:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> tuple[PrefixBPE, ChunkEncoder]:
+def codec(path: str) -> PrefixBPE:
     """One codec per worker process and file."""
-    bpe = PrefixBPE(path)
-    return bpe, ChunkEncoder(bpe.encode_chunk, bpe.special)
+    return PrefixBPE(path)
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -254,10 +256,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, chunks = codec(path)
+        bpe = codec(path)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [chunks.encode(t) for t in part.column(1).to_pylist()]
+                ids = [bpe.encode(t) for t in part.column(1).to_pylist()]
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -271,7 +273,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, _ = codec(path)
+        bpe = codec(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

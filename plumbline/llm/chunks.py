@@ -65,6 +65,22 @@ def id_bytes(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def split_special(text: str, special: dict[str, int]) -> list[str | int]:
+    """``text`` cut at the special tokens written in it, those as their ids."""
+    parts: list[str | int] = [text] if text else []
+    for content, i in special.items():
+        if content in text:
+            cut: list[str | int] = []
+            for p in parts:
+                if isinstance(p, int):
+                    cut.append(p)
+                    continue
+                for k, piece in enumerate(p.split(content)):
+                    cut += ([i] if k else []) + ([piece] if piece else [])
+            parts = cut
+    return parts
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian 32-bit byte strings."""
 
@@ -110,18 +126,6 @@ class ChunkEncoder:
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text (null: none)."""
-        if not text:
-            return np.zeros(0, np.uint32)
-        parts = [text]
-        for content, i in self.special.items():
-            if content in text:
-                cut = []
-                for p in parts:
-                    if isinstance(p, int):
-                        cut.append(p)
-                        continue
-                    for k, piece in enumerate(p.split(content)):
-                        cut += ([i] if k else []) + [piece]
-                parts = cut
+        parts = split_special(text or "", self.special)
         raw = b"".join(id_bytes([p]) if isinstance(p, int) else self._plain(p) for p in parts)
         return np.frombuffer(raw, "<u4")
