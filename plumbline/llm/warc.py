@@ -12,9 +12,10 @@ Of the records with equal payloads of at least ``min_bytes`` the one with the
 largest page id is the ``response``; the others are ``revisit`` records that name
 it and hold no payload.
 
-Reading: every archive file is parsed by its Content-Length fields.  Each
-record becomes chunk rows again; these meet in (record, chunk) order, and the
-digest, length and text checks run over them incrementally.
+Reading: every archive file is parsed by its Content-Length fields.  A record
+of one chunk is checked on the spot; the segments of a longer one, which may
+lie in several files, become chunk rows again that meet in (record, chunk)
+order, and the digest and length checks run over them incrementally.
 
 Defined cases: a null page is an empty payload; a null page id is archived with
 an empty id and never referred to; repeated rows of one id and payload are
@@ -42,7 +43,7 @@ ROWS_PER_FILE = 1024
 RECORD_END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_SCHEMA = ("record string, page_id long, chunk_no int, last boolean, record_type string, refers_to long, "
+_SCHEMA = ("record string, page_id long, chunk_no int, whole boolean, record_type string, refers_to long, "
            "payload_bytes long, payload_digest string, data binary")
 
 
@@ -173,9 +174,13 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 data = bytes(block)
                 if f["warc-type"] == "response":
                     data = data[data.index(b"\r\n\r\n") + 4:]
-                rows.append((record, page, int(no), len(data) == total, "response", None, total, sha, data))
-                held += len(data)
-                if held >= 1 << 20:
+                whole = len(data) == total
+                if whole:  # checked here; its bytes need not travel
+                    check(record, hashlib.sha1(data), total, sha, total)
+                    data = None
+                rows.append((record, page, int(no), whole, "response", None, total, sha, data))
+                held += 0 if whole else len(data)
+                if held >= 1 << 20 or len(rows) >= 4096:
                     yield batch_of(rows)
                     rows, held = [], 0
             if rows:
@@ -188,16 +193,21 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return files.transform(in_arrow, _chunk_rows, _SCHEMA)
 
 
+def check(record: str, sha, size: int, want: str, want_size: int) -> None:
+    if digest_text(sha.digest()) != want or size != want_size:
+        raise ValueError(f"record {record}: payload does not match its digest")
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per record from its chunk rows, which come in order; the digest
     grows with each chunk and only one batch is held."""
-    held, sha, size, row = None, None, 0, None
+    held, sha, size, row, whole = None, None, 0, None, True
     done: list[tuple] = []
 
     def close() -> None:
         if row is not None:
-            if row[3] == "response" and (digest_text(sha.digest()) != row[2] or size != row[1]):
-                raise ValueError(f"record {held}: payload does not match its digest")
+            if not whole:
+                check(held, sha, size, row[2], row[1])
             done.append(row)
 
     def flush() -> pa.RecordBatch:
@@ -214,7 +224,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, record in enumerate(cols[0]):
             if record != held:
                 close()
-                held, sha, size = record, hashlib.sha1(), 0
+                held, sha, size, whole = record, hashlib.sha1(), 0, cols[3][i]
                 row = (cols[1][i], cols[6][i], cols[7][i], cols[4][i], cols[5][i])
             if data[i].is_valid:
                 piece = memoryview(data[i].as_buffer())
