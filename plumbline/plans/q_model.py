@@ -1,22 +1,46 @@
-"""Queries for the tree and the blend (rows-only checks; exactness of the
-tree is tested against a brute-force NumPy tree on small fixtures)."""
+"""Queries for the tree and the blend, with DuckDB twins that unroll the tree
+level by level (``tree_sql``), and for the text label classifier."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
+from plumbline.functions.columns import score_to_label
 from plumbline.operators import blend as B
 from plumbline.operators import metrics as M
 from plumbline.operators import tree as T
 from plumbline.plans.catalog import register
-from plumbline.plans.q_entity import entity_table
-from plumbline.plans.q_eval import graded_complete
+from plumbline.plans.q_entity import ENTITY_CTES, entity_table
+from plumbline.plans.q_eval import _GRADED_SQL, _cm_sql, graded_complete
+from plumbline.plans.q_knn import _DOT, _MO, _NRM, _ZCOLS
+from plumbline.plans.tree_sql import route_ctes, rule_ctes, tree_ctes
 from plumbline.operators import split as S
 from plumbline.plans.standins import table
 
 GRADE_DEPTH = 10
 
+_DERIVED = {
+    "score_range": "greatest(max_score - min_score, CAST(0 AS DOUBLE))",
+    "critical_rate": "critical_violations / greatest(total_violations, 1)",
+    "violations_per_inspection": "total_violations / greatest(inspection_count, 1)",
+}
+_TREE_COLS = ", ".join(f"{_DERIVED.get(f, f)} AS f_{f}" for f in K.TREE_ALL_FEATURES)
+_TREE_FEATS = [f"f_{f}" for f in K.TREE_ALL_FEATURES]
+_GRADE_TREE_SQL = ENTITY_CTES + _GRADED_SQL + f""",
+sp AS MATERIALIZED (SELECT camis, latest_grade, {_TREE_COLS},
+  CASE WHEN rn <= least(greatest(floor(n * CAST(0.8 AS DOUBLE)), 1), n - 1) THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY latest_inspection_date, camis) AS rn, count(*) OVER () AS n FROM gc)),
+trn AS (SELECT * FROM sp WHERE split = 'train'),
+tst AS (SELECT * FROM sp WHERE split = 'test'),
+""" + tree_ctes("trn", _TREE_FEATS, "latest_grade", K.LETTER_GRADES, GRADE_DEPTH)
+_NODE_VIEW_SQL = ("SELECT node_id, depth, is_leaf, substr(feature, 3) AS feature, round(threshold, 6) AS threshold, n_samples, "
+                  "round(gain, 9) AS gain, label, " + ", ".join(f"round(P_{c}, 6) AS P_{c}" for c in K.LETTER_GRADES)
+                  + " FROM t_nodes")
+_PREDICT_SQL = _GRADE_TREE_SQL + ",\n" + route_ctes("tst", _TREE_FEATS, "camis", GRADE_DEPTH) + """,
+pr AS (SELECT l.camis, n.label AS predicted, n.P_A, n.P_B, n.P_C, tst.latest_grade AS actual
+       FROM t_leaf l JOIN t_nodes n ON n.node_id = l.leaf JOIN tst ON tst.camis = l.camis)"""
+
 
 def _grade_tree(spark, sf_dir):
     base = graded_complete(spark, sf_dir)
@@ -35,20 +59,22 @@ def _node_view(nodes, classes):
                         "label", *[F.round(f"P_{c}", 6).alias(f"P_{c}") for c in classes])
 
 
-@register("tree_fit_grades")
+@register("tree_fit_grades", _GRADE_TREE_SQL + "\n" + _NODE_VIEW_SQL)
 def tree_fit_grades(spark, sf_dir):
     _df, _f, nodes, classes = _grade_tree(spark, sf_dir)
     return _node_view(nodes, classes)
 
 
-@register("tree_predict_grades")
+@register("tree_predict_grades", _PREDICT_SQL + "\nSELECT camis, predicted, P_A, P_B, P_C FROM pr")
 def tree_predict_grades(spark, sf_dir):
     df, _f, nodes, classes = _grade_tree(spark, sf_dir)
     test = df.where(F.col("split") == "test")
     return T.predict(nodes, test, classes, "camis")
 
 
-@register("tree_test_metrics")
+@register("tree_test_metrics", _PREDICT_SQL + "," + _cm_sql("predicted", "SELECT * FROM (VALUES ('A'), ('B'), ('C')) v(label)") + """
+SELECT label, precision, recall, f1, support FROM m_predicted
+UNION ALL SELECT 'macro', macro_precision, macro_recall, macro_f1, support FROM mac_predicted""")
 def tree_test_metrics(spark, sf_dir):
     df, _f, nodes, classes = _grade_tree(spark, sf_dir)
     test = df.where(F.col("split") == "test")
@@ -57,19 +83,25 @@ def tree_test_metrics(spark, sf_dir):
     return M.report_rows(pred, "actual", "predicted", K.LETTER_GRADES)
 
 
-@register("tree_importance")
+@register("tree_importance", _GRADE_TREE_SQL + """
+SELECT substr(feature, 3) AS feature, round(sum(weighted_n * gain) / sum(sum(weighted_n * gain)) OVER (), 9) AS importance
+FROM t_nodes WHERE NOT is_leaf GROUP BY feature""")
 def tree_importance(spark, sf_dir):
     _df, _f, nodes, _c = _grade_tree(spark, sf_dir)
     return T.feature_importance(nodes).select("feature", F.round("importance", 9).alias("importance"))
 
 
-@register("tree_rules")
+@register("tree_rules", _GRADE_TREE_SQL + ",\n" + rule_ctes(GRADE_DEPTH) + """
+SELECT node_id, replace(rule, 'f_', '') AS rule, label, n_samples, P_A, P_B, P_C
+FROM t_nodes JOIN t_rules USING (node_id) WHERE is_leaf ORDER BY n_samples DESC, node_id LIMIT 15""")
 def tree_rules(spark, sf_dir):
     _df, _f, nodes, classes = _grade_tree(spark, sf_dir)
     return T.leaf_rules(nodes, classes, 15)
 
 
-@register("tree_summary")
+@register("tree_summary", _GRADE_TREE_SQL + """
+SELECT max(depth) FILTER (WHERE is_leaf) AS depth, count(*) FILTER (WHERE is_leaf) AS n_leaves, count(*) AS n_nodes
+FROM t_nodes""")
 def tree_summary(spark, sf_dir):
     _df, _f, nodes, _c = _grade_tree(spark, sf_dir)
     return T.tree_summary(nodes)
@@ -89,7 +121,20 @@ def doc_features(spark, sf_dir):
                     F.col("quality").cast("string").alias("quality"))
 
 
-@register("tree_document_quality")
+_DOC_FEATS = ["n_chars", "n_words", "n_lines", "digit_share"]
+_DOC_TREE_SQL = """WITH df AS MATERIALIZED (SELECT d.doc_id, CAST(n_chars AS DOUBLE) AS n_chars,
+  CAST(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS DOUBLE) AS n_words,
+  CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines,
+  length(regexp_replace(text, '[^0-9]', '', 'g')) / greatest(length(text), 1) AS digit_share,
+  CAST(quality AS VARCHAR) AS quality FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+""" + tree_ctes("df", _DOC_FEATS, "quality", ["0", "1"], GRADE_DEPTH) + ",\n" + route_ctes(
+    "df", _DOC_FEATS, "doc_id", GRADE_DEPTH) + """,
+pr AS (SELECT df.quality AS actual, n.label AS predicted FROM t_leaf l JOIN t_nodes n ON n.node_id = l.leaf
+       JOIN df ON df.doc_id = l.doc_id),""" + _cm_sql("predicted", "SELECT actual AS label FROM pr UNION SELECT predicted FROM pr") + """
+SELECT * FROM m_predicted"""
+
+
+@register("tree_document_quality", _DOC_TREE_SQL)
 def tree_document_quality(spark, sf_dir):
     d = doc_features(spark, sf_dir)
     feats = ["n_chars", "n_words", "n_lines", "digit_share"]
@@ -99,6 +144,39 @@ def tree_document_quality(spark, sf_dir):
 
 
 BLEND_DEPTH = 12
+_REQUIRED = " AND ".join(f"{c} IS NOT NULL" for c in K.BLEND_REQUIRED)
+_SHARE = lambda c: f"count(*) FILTER (WHERE label = '{c}') / count(*)"
+_BEST = lambda p: (f"CASE WHEN {p}_A = greatest({p}_A, {p}_B, {p}_C) THEN 'A' "
+                   f"WHEN {p}_B = greatest({p}_A, {p}_B, {p}_C) THEN 'B' ELSE 'C' END")
+_MIX = lambda c: f"(CAST(0.35 AS DOUBLE) * k_{c} + CAST({1.0 - 0.35!r} AS DOUBLE) * d_{c})"
+
+
+def blend_ctes() -> str:
+    """CTE ``bl`` (camis, k_*, d_*, b_*, score) for entities with complete
+    features; follows the entity CTEs and the graded ones."""
+    return f""",
+btr AS MATERIALIZED (SELECT *, {_TREE_COLS} FROM gc),
+bsc AS MATERIALIZED (SELECT *, {_TREE_COLS} FROM ent WHERE {_REQUIRED}),
+mo AS MATERIALIZED (SELECT {_MO} FROM btr),
+bzt AS MATERIALIZED (SELECT *, sqrt({_NRM}) + CAST(1e-10 AS DOUBLE) AS nn
+  FROM (SELECT camis AS tid, latest_grade AS label, {_ZCOLS} FROM btr, mo)),
+bzq AS MATERIALIZED (SELECT *, sqrt({_NRM}) + CAST(1e-10 AS DOUBLE) AS nn FROM (SELECT camis AS qid, {_ZCOLS} FROM bsc, mo)),
+btop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, tid) AS r FROM (
+  SELECT q.qid, t.tid, t.label, round(({_DOT}) / (q.nn * t.nn), 10) AS sim FROM bzq q, bzt t)) WHERE r <= 7),
+bk AS MATERIALIZED (SELECT qid AS camis, {_SHARE("A")} AS k_A, {_SHARE("B")} AS k_B, {_SHARE("C")} AS k_C FROM btop GROUP BY qid),
+""" + tree_ctes("btr", _TREE_FEATS, "latest_grade", K.LETTER_GRADES, BLEND_DEPTH) + ",\n" + route_ctes(
+        "bsc", _TREE_FEATS, "camis", BLEND_DEPTH) + f""",
+bd AS (SELECT l.camis, n.P_A AS d_A, n.P_B AS d_B, n.P_C AS d_C FROM t_leaf l JOIN t_nodes n ON n.node_id = l.leaf),
+bl AS MATERIALIZED (SELECT *, b_A * CAST(3.0 AS DOUBLE) + b_B * CAST(2.0 AS DOUBLE) + b_C * CAST(1.0 AS DOUBLE) AS score
+  FROM (SELECT *, {_MIX("A")} AS b_A, {_MIX("B")} AS b_B, {_MIX("C")} AS b_C FROM bk JOIN bd USING (camis))),
+safe AS MATERIALIZED (SELECT e.camis, coalesce(bl.score, CASE e.latest_grade WHEN 'A' THEN 3.0 WHEN 'B' THEN 2.0 WHEN 'C' THEN 1.0 END,
+    2.0)::DOUBLE AS safety_score FROM ent e LEFT JOIN bl USING (camis))"""
+
+
+_BLEND_SQL = ENTITY_CTES + _GRADED_SQL + blend_ctes()
+_BLEND_TABLE_SQL = _BLEND_SQL + f""",
+pt AS (SELECT camis, round(b_A, 4) AS P_A, round(b_B, 4) AS P_B, round(b_C, 4) AS P_C, {_BEST("k")} AS knn_pred,
+       {_BEST("d")} AS dt_pred, {_BEST("b")} AS combined_pred, round(score, 3) AS safety_score FROM bl)"""
 
 
 def _blend(spark, sf_dir):
@@ -107,25 +185,54 @@ def _blend(spark, sf_dir):
     return ent, B.fit_blend(ent, max_depth=BLEND_DEPTH)
 
 
-@register("blend_prediction_table")
+@register("blend_prediction_table", _BLEND_TABLE_SQL + "\nSELECT * FROM pt")
 def blend_prediction_table(spark, sf_dir):
     ent, model = _blend(spark, sf_dir)
     return B.prediction_table(model, ent)
 
 
-@register("blend_safety_scores")
+@register("blend_safety_scores", _BLEND_SQL + """
+SELECT camis, round(safety_score, 6) AS safety_score,
+       CASE WHEN safety_score >= 2.5 THEN 'A' WHEN safety_score >= 1.5 THEN 'B' ELSE 'C' END AS predicted_grade FROM safe""")
 def blend_safety_scores(spark, sf_dir):
     ent, model = _blend(spark, sf_dir)
     return B.safety_scores(model, ent).withColumn("safety_score", F.round("safety_score", 6))
 
 
-@register("blend_agreement")
+@register("blend_agreement", _BLEND_TABLE_SQL + """
+SELECT round(avg(CASE WHEN combined_pred = knn_pred THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) AS agree_a,
+       round(avg(CASE WHEN combined_pred = dt_pred THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) AS agree_b,
+       round(avg(CASE WHEN combined_pred = knn_pred AND combined_pred = dt_pred THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) AS agree_both,
+       count(*) AS n FROM pt""")
 def blend_agreement(spark, sf_dir):
     ent, model = _blend(spark, sf_dir)
     pt = B.prediction_table(model, ent)
     return M.agreement_rates(pt, "combined_pred", "knn_pred", "dt_pred")
 
 
+@register("tree_evaluation", _PREDICT_SQL + "," + _cm_sql("predicted", "SELECT actual AS label FROM pr UNION SELECT predicted FROM pr") + """
+SELECT (SELECT count(*) FROM trn) AS n_train, (SELECT count(*) FROM tst) AS n_test, macro_precision, macro_recall, macro_f1,
+       accuracy, support, (SELECT min(latest_inspection_date) FROM tst JOIN gc USING (camis)) AS cutoff FROM mac_predicted""")
+def tree_evaluation(spark, sf_dir):
+    """M16 on the fitted tree: sizes, cutoff and test metrics of one split."""
+    df, _f, nodes, classes = _grade_tree(spark, sf_dir)
+    pred = df.select("camis", "latest_inspection_date", "split", F.col("latest_grade").alias("actual")).join(
+        T.predict(nodes, df, classes, "camis"), "camis")
+    cutoff = pred.where(F.col("split") == "test").agg(F.min("latest_inspection_date").alias("d")).scalar()
+    return M.evaluation_report(pred, "actual", "predicted", cutoff)
+
+
+@register("mean_grade_labels", ENTITY_CTES + """
+SELECT boro, round(avg(latest_grade_encoded), 9) AS mean_grade,
+       CASE WHEN avg(latest_grade_encoded) >= 2.7 THEN 'A' WHEN avg(latest_grade_encoded) >= 1.7 THEN 'B' ELSE 'C' END AS label
+FROM ent WHERE latest_grade_encoded IS NOT NULL GROUP BY boro""")
+def mean_grade_labels(spark, sf_dir):
+    """P17 with the 2.7 / 1.7 cuts used for means of grades."""
+    m = entity_table(spark, sf_dir).where(F.col("latest_grade_encoded").isNotNull()).groupBy("boro").agg(
+        F.avg("latest_grade_encoded").alias("m"))
+    return m.select("boro", F.round("m", 9).alias("mean_grade"), score_to_label("m", 2.7, 1.7).alias("label"))
+
+
 # --- M11 / M12: text -> label ---------------------------------------------------------
 
 def _part_names(spark, sf_dir):

@@ -189,7 +189,7 @@ def label_matcher(spark, sf_dir):
 
 _ENT_MODEL_SQL = f""",
 edocs AS (SELECT camis AS doc, {_ENT_DOC} AS text FROM ent),""" + sql_tf("e", "edocs") + "," \
-    + sql_model("e", "edocs", 100_000) + "," + sql_vec("e", "e_model")
+    + sql_model("e", "edocs") + "," + sql_vec("e", "e_model")
 
 _ENT_MATCH_SQL = _REF_SQL + _ENT_MODEL_SQL + f""",
 qd AS (SELECT req_id AS doc, {sql_expand('query')} AS text FROM req
