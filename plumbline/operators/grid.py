@@ -11,10 +11,8 @@ only hold non-zero cells.
   does not grow with requests x entities.
 * The Gaussian blur is separable: two scatter passes (explode each cell to
   its 9 kernel targets with mirrored borders, then ``sum``).
-* Value iteration and the greedy walk are sequential per request over a
-  fixed 111 x 113 grid; they run as a small NumPy helper inside
-  ``applyInPandas`` grouped by request (the group size is bounded by the
-  grid, not by the data) and keep the convergence stop of the original.
+* Value propagation and the greedy walk are array expressions over the rows of
+  a request's fixed 111 x 113 grid (``propagate``).
 * Destinations, warnings and direct ranking are cell-keyed equi-joins
   (Chebyshev windows exploded into cells), never requests x entities.
 """
@@ -22,11 +20,11 @@ only hold non-zero cells.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
+from plumbline.operators.propagate import greedy_walk, value_rows
 from plumbline.session import cut_lineage
 from plumbline.functions.columns import (col_to_lng, flat_distance_km, grade_safety, hop_km,
                                          in_bbox, lat_to_row, lng_to_col, row_to_lat, walk_minutes)
@@ -160,89 +158,30 @@ def proximity(cells: DataFrame, params: DataFrame, val: str = "r") -> DataFrame:
                     (F.col(val) * F.exp(-(dkm * dkm) / (F.lit(2.0) * sg * sg))).alias(val))
 
 
-# --- G7 + G8 (+ G19 data): per-request helper ------------------------------------------------
-
-_DIRS = [(-1, 0), (1, 0), (0, -1), (0, 1), (-1, -1), (-1, 1), (1, -1), (1, 1)]
-PLAN_SCHEMA = ("req_id long, kind string, step int, row int, col int, v double, "
-               "vmin double, vmax double")
-
-
-def _plan_one(pdf: pd.DataFrame, heat: bool = False) -> pd.DataFrame:
-    meta = pdf[pdf["row"] < 0].iloc[0]
-    rid = int(meta["req_id"])
-    gamma, steps = float(meta["gamma"]), int(meta["max_steps"])
-    sr, sc = int(meta["start_row"]), int(meta["start_col"])
-    H, W = K.GRID_ROWS, K.GRID_COLS
-    R = np.zeros((H, W))
-    cells = pdf[pdf["row"] >= 0]
-    R[cells["row"].to_numpy(int), cells["col"].to_numpy(int)] = cells["r"].to_numpy(float)
-    V = R.copy()
-    for _ in range(400):  # Bellman update, zero outside the grid
-        P = np.zeros((H + 2, W + 2))
-        P[1:-1, 1:-1] = V
-        best = np.full((H, W), -np.inf)
-        for dr, dc in _DIRS:
-            best = np.maximum(best, P[1 + dr:H + 1 + dr, 1 + dc:W + 1 + dc])
-        Vn = R + gamma * best
-        done = float(np.max(np.abs(Vn - V))) < 1e-5
-        V = Vn
-        if done:
-            break
-    path = [(sr, sc)]
-    seen = {(sr, sc)}
-    r, c = sr, sc
-    for _ in range(steps):  # greedy: strictly better unvisited neighbour, direction order
-        bv, nxt = V[r, c], None
-        for dr, dc in _DIRS:
-            nr, nc = r + dr, c + dc
-            if 0 <= nr < H and 0 <= nc < W and (nr, nc) not in seen and V[nr, nc] > bv:
-                bv, nxt = V[nr, nc], (nr, nc)
-        if nxt is None:
-            break
-        r, c = nxt
-        path.append(nxt)
-        seen.add(nxt)
-    vmin, vmax = float(V.min()), float(V.max())
-    rows = [(rid, "path", i, pr, pc, float(V[pr, pc]), vmin, vmax) for i, (pr, pc) in enumerate(path)]
-    cols = ["req_id", "kind", "step", "row", "col", "v", "vmin", "vmax"]
-    types = {"req_id": "int64", "step": "int32", "row": "int32", "col": "int32"}
-    if not heat:
-        return pd.DataFrame(rows, columns=cols).astype(types)
-    hr, hc = np.meshgrid(np.arange(0, H, 2), np.arange(0, W, 2), indexing="ij")
-    hv = V[hr, hc]
-    heat_rows = pd.DataFrame({"req_id": rid, "kind": "heat", "step": -1, "row": hr.ravel(),
-                              "col": hc.ravel(), "v": hv.ravel(), "vmin": vmin, "vmax": vmax})
-    out = pd.concat([pd.DataFrame(rows, columns=cols), heat_rows], ignore_index=True)
-    return out.astype(types)
-
-
-def _plan_path_only(pdf: pd.DataFrame) -> pd.DataFrame:
-    return _plan_one(pdf, False)
-
-
-def _plan_with_heat(pdf: pd.DataFrame) -> pd.DataFrame:
-    return _plan_one(pdf, True)
-
+# --- G7 + G8 (+ G19 data) ----------------------------------------------------------------
 
 def plan_paths(reward: DataFrame, params: DataFrame, heat: bool = False) -> DataFrame:
-    """G7 + G8: value iteration and the greedy walk per request.
+    """G7 + G8: value propagation and the greedy walk of every request.
 
     ``reward``: (req_id, row, col, r) normalised; ``params`` carries gamma,
-    max_steps, start_row, start_col.  Output rows of kind 'path' (step
-    order) and, with ``heat``, 'heat' (every second cell, with the grid
-    min / max).  The result is checkpointed: later steps read it several
-    times and it is small (a few rows per request).
+    max_steps, start_row, start_col.  Output rows of kind 'path' (step order)
+    and, with ``heat``, 'heat' (every second cell), each with the grid's least and
+    largest value.  The result is checkpointed: later steps read it several times.
     """
-    meta = params.select("req_id", F.lit(-1).alias("row"), F.lit(-1).alias("col"),
-                         F.lit(0.0).alias("r"), "gamma", "max_steps", "start_row", "start_col")
-    body = reward.select("req_id", F.col("row").cast("int"), F.col("col").cast("int"), "r",
-                         F.lit(None).cast("double").alias("gamma"),
-                         F.lit(None).cast("int").alias("max_steps"),
-                         F.lit(None).cast("int").alias("start_row"),
-                         F.lit(None).cast("int").alias("start_col"))
-    # one-argument functions: applyInPandas passes the key to two-argument ones
-    fn = _plan_with_heat if heat else _plan_path_only
-    out = meta.unionByName(body).groupBy("req_id").applyInPandas(fn, PLAN_SCHEMA)
+    params = cut_lineage(params.select("req_id", "gamma", "max_steps", "start_row", "start_col"))
+    values = value_rows(reward, params)
+    walk = cut_lineage(greedy_walk(values, params).select(
+        "req_id", "path", F.transform("path", lambda i: F.col("g")[i]).alias("pv"),
+        F.array_min("g").alias("vmin"), F.array_max("g").alias("vmax")))
+    step = walk.select("req_id", "vmin", "vmax", F.posexplode(F.arrays_zip("path", "pv")).alias("step", "p"))
+    out = step.select("req_id", F.lit("path").alias("kind"), "step",
+                      F.floor(F.col("p.path") / K.GRID_COLS).cast("int").alias("row"),
+                      (F.col("p.path") % K.GRID_COLS).cast("int").alias("col"), F.col("p.pv").alias("v"), "vmin", "vmax")
+    if heat:
+        cells = values.where(F.col("row") % 2 == 0).select("req_id", "row", F.posexplode("v").alias("col", "v"))
+        cells = cells.where(F.col("col") % 2 == 0).join(walk.select("req_id", "vmin", "vmax"), "req_id")
+        out = out.unionByName(cells.select("req_id", F.lit("heat").alias("kind"), F.lit(-1).alias("step"), "row", "col", "v",
+                                           "vmin", "vmax"))
     return cut_lineage(out)
 
 
@@ -315,6 +254,14 @@ def near_path(plan: DataFrame, cells: DataFrame, radius: int = K.WARNING_RADIUS_
               .drop("wrow", "wcol").dropDuplicates(["req_id", "camis"])
 
 
+def near_path_counts(plan: DataFrame, cells: DataFrame, radius: int = K.WARNING_RADIUS_CELLS) -> DataFrame:
+    """(req_id, n): how many entities J9 finds, from counts per cell."""
+    p = plan.where(F.col("kind") == "path").select("req_id", "row", "col")
+    win = cell_window(p, "row", "col", radius).select("req_id", "wrow", "wcol").distinct()
+    per_cell = cells.groupBy(F.col("grid_row").alias("wrow"), F.col("grid_col").alias("wcol")).agg(F.count(F.lit(1)).alias("k"))
+    return win.join(per_cell, ["wrow", "wcol"]).groupBy("req_id").agg(F.sum("k").alias("n"))
+
+
 def neighbours8(cells: DataFrame) -> DataFrame:
     """Each cell with its 8 neighbours (outside the grid dropped = 0)."""
     x = cell_window(cells, "row", "col", 1)

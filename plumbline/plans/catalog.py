@@ -31,6 +31,7 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     from plumbline.plans import (  # noqa: F401
         q_clean,
         q_entity,
+        q_files,
         q_grid,
         q_eval,
         q_knn,

@@ -28,20 +28,20 @@ def _dbl(e: str) -> str:
     return f"CASE WHEN isnan(TRY_CAST({e} AS DOUBLE)) THEN NULL ELSE TRY_CAST({e} AS DOUBLE) END"
 
 
-CLEAN_SQL = "WITH " + RAW_TEXT_SQL + f""",
-clean AS (
-  SELECT TRY_CAST({_dbl(_s('CAMIS'))} AS BIGINT) AS camis,
-         {_s('DBA')} AS dba,
-         {_title(_s('BORO'))} AS boro,
-         nullif(CAST(try_strptime({_s('INSPECTION DATE')}, '%m/%d/%Y') AS DATE),
-                DATE '1900-01-01') AS inspection_date,
-         {_dbl(_s('SCORE'))} AS score,
-         {_title(_s('CRITICAL FLAG'))} AS critical_flag,
-         upper({_s('GRADE')}) AS grade,
-         {_dbl(_s('Latitude'))} AS latitude,
-         {_s('VIOLATION CODE')} AS violation_code
-  FROM raw
-)"""
+def _clean(header: str, name: str) -> str:
+    v = _s(header)
+    if name == "camis":
+        return f"TRY_CAST({_dbl(v)} AS BIGINT)"
+    if name in K.DATE_COLUMNS:
+        d = f"CAST(try_strptime({v}, '%m/%d/%Y') AS DATE)"
+        return f"nullif({d}, DATE '1900-01-01')" if name == "inspection_date" else d
+    if name in K.NUMERIC_COLUMNS:
+        return _dbl(v)
+    return _title(v) if name in ("boro", "critical_flag") else f"upper({v})" if name == "grade" else v
+
+
+CLEAN_SQL = "WITH " + RAW_TEXT_SQL + ",\nclean AS (SELECT " + ", ".join(
+    f"{_clean(h, n)} AS {n}" for h, n in K.COLUMN_RENAME.items()) + " FROM raw)"
 
 
 @register("raw_clean", CLEAN_SQL + "\nSELECT * FROM clean")
@@ -49,10 +49,8 @@ def raw_clean(spark, sf_dir):
     return clean_raw(raw_inspection_text(spark, sf_dir))
 
 
-@register("raw_rename_known", "WITH " + RAW_TEXT_SQL + """
-SELECT "CAMIS" AS camis, "DBA" AS dba, "BORO" AS boro, "INSPECTION DATE" AS inspection_date,
-       "SCORE" AS score, "CRITICAL FLAG" AS critical_flag, "GRADE" AS grade,
-       "Latitude" AS latitude, "VIOLATION CODE" AS violation_code FROM raw""")
+@register("raw_rename_known", "WITH " + RAW_TEXT_SQL + "\nSELECT " + ", ".join(
+    f'"{h}" AS {n}' for h, n in K.COLUMN_RENAME.items()) + " FROM raw")
 def raw_rename_known(spark, sf_dir):
     return rename_known(raw_inspection_text(spark, sf_dir))
 

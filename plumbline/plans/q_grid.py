@@ -11,8 +11,10 @@ from plumbline.operators import grid as G
 from plumbline.operators import search as SR
 from plumbline.plans.catalog import register
 from plumbline.plans.q_entity import ENTITY_CTES, entity_table
+from plumbline.plans.q_eval import _GRADED_SQL
+from plumbline.plans.q_model import blend_ctes
 from plumbline.plans.q_profile import sql_col, sql_row
-from plumbline.plans.q_text import (REQUESTS_SQL, _LAB_SQL, sql_blank, sql_expand, sql_model,
+from plumbline.plans.q_text import (REQUESTS_SQL, _ENT_MATCH_SQL, _LAB_SQL, sql_blank, sql_expand, sql_model,
                                     sql_scale, sql_tf, sql_vec)
 from plumbline.plans.standins import entity_coordinates, requests, table
 from plumbline.session import cut_lineage
@@ -29,8 +31,9 @@ def _preset_sql(i: int) -> str:
 
 
 def _kernel_sql() -> str:
-    k = G.gaussian_kernel(1.0)
-    return ", ".join(f"({d - 4}, CAST({v!r} AS DOUBLE))" for d, v in enumerate(k))
+    """Gaussian of sigma 1 at -4..4, normalised, by SQL."""
+    return ("SELECT d, exp(CAST(-0.5 AS DOUBLE) * d * d) / sum(exp(CAST(-0.5 AS DOUBLE) * d * d)) OVER () "
+            "FROM (SELECT unnest(range(-4, 5)) AS d)")
 
 
 _LABEL_MATCH_CTES = """,
@@ -67,7 +70,7 @@ pw AS (
   LEFT JOIN lmm l ON l.req_id = p.req_id AND l.label = c.cuisine
   LEFT JOIN mx ON mx.req_id = p.req_id),
 raw AS (SELECT req_id, row, col, sum(w) AS r FROM pw GROUP BY 1, 2, 3 HAVING sum(w) > 0),
-k(d, kw) AS (VALUES {_kernel_sql()}),
+k(d, kw) AS ({_kernel_sql()}),
 b1 AS (SELECT req_id, t AS row, col, sum(r * kw) AS r
        FROM raw, k, LATERAL (SELECT unnest([row - d, -row - 1 - d, {2 * _ROWS - 1} - row - d]) AS t)
        WHERE t >= 0 AND t < {_ROWS} GROUP BY 1, 2, 3),
@@ -91,7 +94,7 @@ n2 AS (SELECT req_id, row, col, CASE WHEN max(r) OVER (PARTITION BY req_id) > CA
 @register("grade_reward_grid", GRADE_REWARD_SQL + """
 SELECT req_id, row, col, round(r, 9) AS r FROM n2 WHERE round(r, 9) > 0""")
 def grade_reward_grid(spark, sf_dir):
-    _p, _ls, rb = SR.grade_reward(requests(spark, sf_dir), entity_table(spark, sf_dir))
+    _p, _ls, rb = SR.grade_reward(requests(spark, sf_dir), _entities(spark, sf_dir))
     return rb.select("req_id", "row", "col", F.round("r", 9).alias("r")).where(F.col("r") > 0)
 
 
@@ -129,7 +132,7 @@ def neighbour_cells(spark, sf_dir):
 
 
 def _area_grades(spark, sf_dir, heat=False):
-    return SR.area_search_grades(requests(spark, sf_dir), entity_table(spark, sf_dir), heat=heat)
+    return SR.area_search_grades(requests(spark, sf_dir), _entities(spark, sf_dir), heat=heat)
 
 
 def _flat(res):
@@ -140,7 +143,8 @@ def _flat(res):
                       F.round("walk_minutes", 6).alias("walk_minutes"), "n_destination",
                       F.round("mean_destination_safety", 6).alias("mean_destination_safety"),
                       "n_warnings", "filter_applied",
-                      F.get(F.col("top_matches"), 0)["label"].alias("best_label"))
+                      F.array_join(F.transform("top_matches", lambda m: m["label"]), ",").alias("best_labels"),
+                      "reference_name")
 
 
 @register("area_search_grades")
@@ -149,6 +153,22 @@ def area_search_grades(spark, sf_dir):
     return _flat(res)
 
 
+@register("area_destinations")
+def area_destinations(spark, sf_dir):
+    """The contributing entities around every destination, as rows."""
+    _res, plan = _area_grades(spark, sf_dir)
+    req, ent = requests(spark, sf_dir), _entities(spark, sf_dir)
+    return SR.grade_destinations(req, ent, plan).select("req_id", "camis", F.round("safety", 6).alias("safety"),
+                                                        F.round("weighted", 6).alias("weighted"))
+
+
+@register("area_warnings")
+def area_warnings(spark, sf_dir):
+    """The entities of the lowest grade along every path, as rows."""
+    _res, plan = _area_grades(spark, sf_dir)
+    return SR.path_warnings(requests(spark, sf_dir), _entities(spark, sf_dir), plan).select("req_id", "camis")
+
+
 @register("value_paths")
 def value_paths(spark, sf_dir):
     _res, plan = _area_grades(spark, sf_dir)
@@ -162,6 +182,49 @@ def heat_map(spark, sf_dir):
     return G.heat_extract(plan).withColumn("v", F.round("v", 9))
 
 
+def _direct_sql(safety_ctes: str) -> str:
+    """``safety_ctes`` end in a CTE ``safe`` (camis, safety_score)."""
+    return _ENT_MATCH_SQL + safety_ctes + f""",
+em AS (SELECT req_id, camis, {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} AS match
+       FROM esims),
+dparams AS (SELECT *, {_preset_sql(1)} AS walk_km, {_preset_sql(4)} AS sigma_km FROM req),
+dcand AS (
+  SELECT p.req_id, e.camis, e.latest_grade, abs(e.latitude - p.lat) > 1e-7 AND abs(e.longitude - p.lng) > 1e-7 AS corner, p.query, p.danger_filter, p.walk_km, p.sigma_km,
+         sqrt(((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
+                * ((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
+              + ((e.longitude - p.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE))
+                * ((e.longitude - p.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE)))
+           / CAST(1000.0 AS DOUBLE) AS dist_km
+  FROM dparams p CROSS JOIN ent e
+  WHERE e.latitude IS NOT NULL AND e.longitude IS NOT NULL
+    AND e.latitude BETWEEN {K.LAT_MIN} AND {K.LAT_MAX}
+    AND e.longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX}),
+dsc AS (
+  SELECT c.req_id, c.camis, c.dist_km, c.corner,
+         (CASE WHEN c.latest_grade = 'C' AND c.danger_filter THEN CAST(0.0 AS DOUBLE)
+               ELSE safe.safety_score END)
+         * coalesce(em.match, CASE WHEN {sql_blank('c.query')} THEN CAST(1.0 AS DOUBLE)
+                                   ELSE CAST(0.05 AS DOUBLE) END)
+         * CASE WHEN c.dist_km > c.walk_km * CAST(1.5 AS DOUBLE) THEN CAST(0.0 AS DOUBLE)
+                ELSE exp(-(c.dist_km * c.dist_km)
+                         / (CAST(2.0 AS DOUBLE) * greatest(c.sigma_km, CAST(0.1 AS DOUBLE))
+                            * greatest(c.sigma_km, CAST(0.1 AS DOUBLE)))) END AS score
+  FROM dcand c JOIN safe ON safe.camis = c.camis LEFT JOIN em ON em.req_id = c.req_id AND em.camis = c.camis
+  WHERE c.dist_km <= c.walk_km * CAST(1.5 AS DOUBLE)),
+drk AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY score DESC, camis) AS rank
+       FROM dsc WHERE score > 0)"""
+
+
+_GRADE_SAFE_SQL = """,
+safe AS (SELECT camis, coalesce(CASE latest_grade WHEN 'A' THEN 3.0 WHEN 'B' THEN 2.0 WHEN 'C' THEN 1.0 END, 2.0)::DOUBLE
+  AS safety_score FROM ent)"""
+_RANKED_SQL = """
+SELECT drk.req_id, rank, camis, round(score, 9) AS combined_score, round(dist_km, 9) AS dist_km,
+       count(*) OVER (PARTITION BY drk.req_id) AS n_candidates, n.dba AS reference_name
+FROM drk LEFT JOIN (SELECT req_id, dba FROM refs JOIN ent ON ent.camis = ref_entity) n ON n.req_id = drk.req_id
+WHERE rank <= 30"""
+
+
 def _safety(spark, sf_dir, ent):
     model = B.fit_blend(ent)
     return B.safety_scores(model, ent)
@@ -179,15 +242,18 @@ def area_search_model(spark, sf_dir):
     return _flat(res)
 
 
-@register("direct_ranking")
+@register("direct_ranking", _direct_sql(_GRADED_SQL + blend_ctes()) + _RANKED_SQL)
 def direct_ranking(spark, sf_dir):
     ent = _entities(spark, sf_dir)
     r = SR.direct_ranking(requests(spark, sf_dir), ent, _safety(spark, sf_dir, ent))
     return r.select("req_id", "rank", "camis", F.round("combined_score", 9).alias("combined_score"),
-                    F.round("dist_km", 9).alias("dist_km"), "n_candidates")
+                    F.round("dist_km", 9).alias("dist_km"), "n_candidates", "reference_name")
 
 
-@register("direct_route")
+@register("direct_route", _direct_sql(_GRADED_SQL + blend_ctes()) + f"""
+SELECT req_id, camis, rank, round(dist_km, 9) AS dist_km,
+       round(dist_km / CAST({K.WALK_SPEED_KMH} AS DOUBLE) * CAST(60.0 AS DOUBLE), 9) AS walk_minutes,
+       CASE WHEN corner THEN 3 ELSE 2 END AS n_route_points FROM drk WHERE rank = 1""")
 def direct_route(spark, sf_dir):
     ent = _entities(spark, sf_dir)
     req = requests(spark, sf_dir)
@@ -215,7 +281,7 @@ def _sql_ll(k: str, which: str) -> str:
     return (_sql_lat if which == "lat" else _sql_lng)(k)
 
 
-@register("point_in_area", ENTITY_CTES + f""",
+POINT_IN_AREA_SQL = ENTITY_CTES + f""",
 v AS (SELECT n_regionkey AS feature, 0 AS ring,
              row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS i,
              count(*) OVER (PARTITION BY n_regionkey) AS cnt,
@@ -229,7 +295,10 @@ cr AS (SELECT p.camis, e.feature, e.ring,
                 AND p.px < (e.x2 - e.x1) * (p.py - e.y1) / (e.y2 - e.y1 + CAST(1e-12 AS DOUBLE)) + e.x1)
                 AS k
        FROM pts p CROSS JOIN e GROUP BY 1, 2, 3)
-SELECT camis, coalesce(max(k % 2 = 1), false) AS inside FROM cr GROUP BY camis""")
+SELECT camis, coalesce(max(k % 2 = 1), false) AS inside FROM cr GROUP BY camis"""
+
+
+@register("point_in_area", POINT_IN_AREA_SQL)
 def point_in_area(spark, sf_dir):
     ent = entity_table(spark, sf_dir)
     return G.point_in_polygons(ent, region_edges(spark, sf_dir), "camis", "latitude", "longitude")
@@ -243,46 +312,9 @@ def _grade_safety_frame(ent):
                       .alias("safety_score"))
 
 
-def _direct_sql() -> str:
-    from plumbline.plans.q_text import _ENT_MATCH_SQL
-    return _ENT_MATCH_SQL + f""",
-em AS (SELECT req_id, camis, {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} AS match
-       FROM esims),
-dparams AS (SELECT *, {_preset_sql(1)} AS walk_km, {_preset_sql(4)} AS sigma_km FROM req),
-dcand AS (
-  SELECT p.req_id, e.camis, e.latest_grade, p.query, p.danger_filter, p.walk_km, p.sigma_km,
-         sqrt(((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
-                * ((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
-              + ((e.longitude - p.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE))
-                * ((e.longitude - p.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE)))
-           / CAST(1000.0 AS DOUBLE) AS dist_km
-  FROM dparams p CROSS JOIN ent e
-  WHERE e.latitude IS NOT NULL AND e.longitude IS NOT NULL
-    AND e.latitude BETWEEN {K.LAT_MIN} AND {K.LAT_MAX}
-    AND e.longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX}),
-dsc AS (
-  SELECT c.req_id, c.camis, c.dist_km,
-         (CASE WHEN c.latest_grade = 'C' AND c.danger_filter THEN CAST(0.0 AS DOUBLE)
-               ELSE coalesce(CASE c.latest_grade WHEN 'A' THEN 3.0 WHEN 'B' THEN 2.0
-                                  WHEN 'C' THEN 1.0 END, 2.0)::DOUBLE END)
-         * coalesce(em.match, CASE WHEN {sql_blank('c.query')} THEN CAST(1.0 AS DOUBLE)
-                                   ELSE CAST(0.05 AS DOUBLE) END)
-         * CASE WHEN c.dist_km > c.walk_km * CAST(1.5 AS DOUBLE) THEN CAST(0.0 AS DOUBLE)
-                ELSE exp(-(c.dist_km * c.dist_km)
-                         / (CAST(2.0 AS DOUBLE) * greatest(c.sigma_km, CAST(0.1 AS DOUBLE))
-                            * greatest(c.sigma_km, CAST(0.1 AS DOUBLE)))) END AS score
-  FROM dcand c LEFT JOIN em ON em.req_id = c.req_id AND em.camis = c.camis
-  WHERE c.dist_km <= c.walk_km * CAST(1.5 AS DOUBLE)),
-drk AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY score DESC, camis) AS rank
-       FROM dsc WHERE score > 0)
-SELECT req_id, rank, camis, round(score, 9) AS combined_score, round(dist_km, 9) AS dist_km,
-       count(*) OVER (PARTITION BY req_id) AS n_candidates
-FROM drk WHERE rank <= 30"""
-
-
-@register("direct_ranking_grade_safety", _direct_sql())
+@register("direct_ranking_grade_safety", _direct_sql(_GRADE_SAFE_SQL) + _RANKED_SQL)
 def direct_ranking_grade_safety(spark, sf_dir):
     ent = _entities(spark, sf_dir)
     r = SR.direct_ranking(requests(spark, sf_dir), ent, _grade_safety_frame(ent))
     return r.select("req_id", "rank", "camis", F.round("combined_score", 9).alias("combined_score"),
-                    F.round("dist_km", 9).alias("dist_km"), "n_candidates")
+                    F.round("dist_km", 9).alias("dist_km"), "n_candidates", "reference_name")

@@ -167,25 +167,42 @@ RID_ORDER_SQL = "r1, r2, r3, r4, r5"
 # --- raw text version of the log (what the CSV scan would deliver) -------------
 
 def raw_inspection_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as raw strings with padding, placeholders and bad values."""
+    """The log as raw strings under all 27 headers, with padding, placeholders,
+    bad values, and values holding quotes, commas and line breaks."""
     log = inspection_log(spark, sf_dir)
     k = F.col("rid.o_orderkey")
+    text = lambda c: F.col(c).cast("string")
+    day = lambda c: F.date_format(c, "M/d/yyyy")
     return log.select(
-        F.when(F.col("camis") % 5 == 0, F.concat(F.lit(" "), F.col("camis").cast("string"),
-                                                 F.lit(" ")))
-         .otherwise(F.col("camis").cast("string")).alias("CAMIS"),
+        F.when(F.col("camis") % 5 == 0, F.concat(F.lit(" "), text("camis"), F.lit(" "))).otherwise(text("camis")).alias("CAMIS"),
         F.when(k % 4 == 0, F.concat(F.lit("  "), F.col("dba"), F.lit("\t")))
-         .otherwise(F.col("dba")).alias("DBA"),
+         .when(k % 4 == 1, F.concat(F.col("dba"), F.lit(' "THE BEST", INC'))).otherwise(F.col("dba")).alias("DBA"),
         F.upper("boro").alias("BORO"),
+        F.col("building").alias("BUILDING"),
+        F.concat(F.lit(" "), F.col("street"), F.lit('\n, side "B"')).alias("STREET"),
+        text("zipcode").alias("ZIPCODE"),
+        F.coalesce("phone", F.lit("None")).alias("PHONE"),
+        F.col("cuisine").alias("CUISINE DESCRIPTION"),
         F.when(k % 13 == 0, F.lit("01/01/1900")).when(k % 17 == 0, F.lit("not a date"))
-         .otherwise(F.date_format("inspection_date", "M/d/yyyy")).alias("INSPECTION DATE"),
-        F.when(F.col("score").isNull(), F.lit("NA"))
-         .otherwise(F.col("score").cast("string")).alias("SCORE"),
+         .otherwise(day("inspection_date")).alias("INSPECTION DATE"),
+        F.col("action").alias("ACTION"),
+        F.col("violation_code").alias("VIOLATION CODE"),
+        F.col("violation_description").alias("VIOLATION DESCRIPTION"),
         F.coalesce(F.lower("critical_flag"), F.lit("")).alias("CRITICAL FLAG"),
+        F.when(F.col("score").isNull(), F.lit("NA")).otherwise(text("score")).alias("SCORE"),
         F.coalesce(F.lower("grade"), F.lit(" ")).alias("GRADE"),
-        F.when(k % 19 == 0, F.lit("n/a")).otherwise(F.col("latitude").cast("string"))
-         .alias("Latitude"),
-        F.col("violation_code").alias("VIOLATION CODE"),
+        F.coalesce(day("grade_date"), F.lit("n/a")).alias("GRADE DATE"),
+        day(F.date_add("inspection_date", 30)).alias("RECORD DATE"),
+        F.col("inspection_type").alias("INSPECTION TYPE"),
+        F.when(k % 19 == 0, F.lit("n/a")).otherwise(text("latitude")).alias("Latitude"),
+        text("longitude").alias("Longitude"),
+        text("community_board").alias("Community Board"),
+        text("council_district").alias("Council District"),
+        (F.col("camis") * 7).cast("string").alias("Census Tract"),
+        F.when(k % 5 == 0, F.lit("nan")).otherwise((F.col("camis") + 1000000).cast("string")).alias("BIN"),
+        F.concat(F.lit("  "), text("camis"), F.lit(" ")).alias("BBL"),
+        F.col("nta").alias("NTA"),
+        F.col("location").alias("Location"),
         F.lit("x").alias("UNKNOWN EXTRA"),
         F.col("rid"),
     )
@@ -195,14 +212,22 @@ RAW_TEXT_SQL = INSPECTION_LOG_SQL + """,
 raw AS (
   SELECT CASE WHEN camis % 5 = 0 THEN ' ' || CAST(camis AS VARCHAR) || ' '
               ELSE CAST(camis AS VARCHAR) END AS "CAMIS",
-         CASE WHEN r1 % 4 = 0 THEN '  ' || dba || chr(9) ELSE dba END AS "DBA",
-         upper(boro) AS "BORO",
+         CASE WHEN r1 % 4 = 0 THEN '  ' || dba || chr(9) WHEN r1 % 4 = 1 THEN dba || ' "THE BEST", INC'
+              ELSE dba END AS "DBA",
+         upper(boro) AS "BORO", building AS "BUILDING", ' ' || street || chr(10) || ', side "B"' AS "STREET",
+         CAST(zipcode AS VARCHAR) AS "ZIPCODE", coalesce(phone, 'None') AS "PHONE", cuisine AS "CUISINE DESCRIPTION",
          CASE WHEN r1 % 13 = 0 THEN '01/01/1900' WHEN r1 % 17 = 0 THEN 'not a date'
               ELSE strftime(inspection_date, '%-m/%-d/%Y') END AS "INSPECTION DATE",
-         CASE WHEN score IS NULL THEN 'NA' ELSE CAST(score AS VARCHAR) END AS "SCORE",
+         action AS "ACTION", violation_description AS "VIOLATION DESCRIPTION",
          coalesce(lower(critical_flag), '') AS "CRITICAL FLAG",
-         coalesce(lower(grade), ' ') AS "GRADE",
+         CASE WHEN score IS NULL THEN 'NA' ELSE CAST(score AS VARCHAR) END AS "SCORE",
+         coalesce(lower(grade), ' ') AS "GRADE", coalesce(strftime(grade_date, '%-m/%-d/%Y'), 'n/a') AS "GRADE DATE",
+         strftime(inspection_date + INTERVAL 30 DAY, '%-m/%-d/%Y') AS "RECORD DATE", inspection_type AS "INSPECTION TYPE",
          CASE WHEN r1 % 19 = 0 THEN 'n/a' ELSE CAST(latitude AS VARCHAR) END AS "Latitude",
+         CAST(longitude AS VARCHAR) AS "Longitude", CAST(community_board AS VARCHAR) AS "Community Board",
+         CAST(council_district AS VARCHAR) AS "Council District", CAST(camis * 7 AS VARCHAR) AS "Census Tract",
+         CASE WHEN r1 % 5 = 0 THEN 'nan' ELSE CAST(camis + 1000000 AS VARCHAR) END AS "BIN",
+         '  ' || CAST(camis AS VARCHAR) || ' ' AS "BBL", nta AS "NTA", location AS "Location",
          violation_code AS "VIOLATION CODE"
   FROM logx
 )"""

@@ -1,26 +1,57 @@
-"""Spark-native value iteration + walk equal the per-request helper."""
-from pyspark.sql import functions as F
+"""Value propagation and walk equal a plain NumPy version."""
+import numpy as np
 
+from plumbline.functions import constants as K
 from plumbline.operators import grid as G
-from plumbline.operators import propagate as P
-
-
-def test_spark_rounds_equal_helper(spark):
-    cells = spark.createDataFrame(
-        [(1, 10, 10, 1.0), (1, 12, 14, 0.5), (2, 50, 50, 0.8), (2, 52, 47, 1.0), (3, 0, 0, 1.0)],
-        "req_id long, row int, col int, r double")
-    params = spark.createDataFrame(
-        [(1, 0.5, 8, 10, 12), (2, 0.65, 3, 49, 49), (3, 0.5, 2, 2, 2)],
-        "req_id long, gamma double, max_steps int, start_row int, start_col int")
-    helper = G.plan_paths(cells, params, heat=True)
-    v = P.value_iteration(cells, params, checkpoint_every=3)
-    # values: every helper heat cell (stride 2) equals the Spark value (0 when absent)
-    heat = helper.where("kind = 'heat'").select("req_id", "row", "col", F.col("v").alias("hv"))
-    cmp = heat.join(v, ["req_id", "row", "col"], "left").select(
-        F.max(F.abs(F.col("hv") - F.coalesce("v", F.lit(0.0))))).first()[0]
-    assert cmp < 1e-12
-    walk = P.greedy_walk(v, params)
-    got = sorted((r["req_id"], r["step"], r["row"], r["col"]) for r in walk.collect())
-    exp = sorted((r["req_id"], r["step"], r["row"], r["col"])
-                 for r in helper.where("kind = 'path'").collect())
-    assert got == exp
+
+ORDER = [(-1, 0), (1, 0), (0, -1), (0, 1), (-1, -1), (-1, 1), (1, -1), (1, 1)]
+
+
+def plain(cells, gamma, steps, start):
+    """Largest of nine shifted copies per round; then the walk, cell by cell."""
+    h, w = K.GRID_ROWS, K.GRID_COLS
+    reward = np.zeros((h, w))
+    for r, c, x in cells:
+        reward[r, c] = x
+    v, change = reward, 1.0
+    while change >= 1e-5:
+        pad = np.pad(v, 1)
+        near = np.stack([pad[1 + a:1 + a + h, 1 + b:1 + b + w] for a, b in ORDER])
+        fresh = reward + gamma * near.max(axis=0)
+        change = np.abs(fresh - v).max()
+        v = fresh
+    path = [start]
+    while len(path) <= steps:
+        r, c = path[-1]
+        options = [(v[r + a, c + b], -k, (r + a, c + b)) for k, (a, b) in enumerate(ORDER)
+                   if 0 <= r + a < h and 0 <= c + b < w and (r + a, c + b) not in path and v[r + a, c + b] > v[r, c]]
+        if not options:
+            break
+        path.append(max(options)[2])
+    return v, path
+
+
+def test_plan_equals_plain_version(spark):
+    cells = {1: [(10, 10, 1.0), (12, 14, 0.5)], 2: [(50, 50, 0.8), (52, 47, 1.0)], 3: [(0, 0, 1.0)], 4: []}
+    setup = {1: (0.5, 8, 10, 12), 2: (0.65, 3, 49, 49), 3: (0.85, 2, 2, 2), 4: (0.5, 4, 110, 112), 5: (0.5, 0, 1, 1)}
+    reward = spark.createDataFrame([(q, *c) for q, cs in cells.items() for c in cs], "req_id long, row int, col int, r double")
+    params = spark.createDataFrame([(q, *p) for q, p in setup.items()],
+                                   "req_id long, gamma double, max_steps int, start_row int, start_col int")
+    rows = G.plan_paths(reward, params, heat=True).collect()
+    for q, (gamma, steps, r, c) in setup.items():
+        v, path = plain(cells.get(q, []), gamma, steps, (r, c))
+        mine = sorted((x for x in rows if x.req_id == q and x.kind == "path"), key=lambda x: x.step)
+        assert [(x.row, x.col) for x in mine] == path
+        heat = [x for x in rows if x.req_id == q and x.kind == "heat"]
+        assert len(heat) == 56 * 57
+        assert max(abs(x.v - v[x.row, x.col]) for x in heat + mine) < 1e-12
+        assert abs(mine[0].vmax - v.max()) < 1e-12 and abs(mine[0].vmin - v.min()) < 1e-12
+
+
+def test_plan_is_native(spark):
+    """No Python on the workers: nothing of the planner may be a function."""
+    import inspect
+
+    from plumbline.operators import grid, propagate
+    for module in (grid, propagate):
+        assert "InPandas" not in inspect.getsource(module) and "InArrow" not in inspect.getsource(module)
