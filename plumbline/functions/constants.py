@@ -104,7 +104,6 @@ BLEND_REQUIRED = ["mean_score", "critical_violations", "total_violations",
 
 # --- FIXED VALUES: label prediction --------------------------------------------
 MIN_LABEL_COUNT = 10
-AREAS = ["Bronx", "Brooklyn", "Manhattan", "Queens", "Staten Island"]
 
 # --- FIXED VALUES: city grid ----------------------------------------------------
 LAT_MIN, LAT_MAX = 40.477, 40.920
@@ -136,32 +135,6 @@ WALK_PRESETS = [
 ]
 DEFAULT_PRESET = "15 min (~1.1 km)"
 
-# --- FIXED VALUES: named places (name, lat, lng) ---------------------------------
-PLACES = [
-    ("Midtown Manhattan (Times Sq.)", 40.7580, -73.9855),
-    ("Hell's Kitchen / 9th Ave", 40.7638, -73.9918),
-    ("Upper East Side", 40.7736, -73.9566),
-    ("Upper West Side", 40.7870, -73.9754),
-    ("Harlem", 40.8116, -73.9465),
-    ("East Village", 40.7264, -73.9815),
-    ("Lower East Side", 40.7157, -73.9863),
-    ("Greenwich Village / NYU", 40.7335, -74.0027),
-    ("SoHo / Nolita", 40.7233, -74.0030),
-    ("Tribeca / Financial District", 40.7163, -74.0086),
-    ("Chelsea / Flatiron", 40.7465, -74.0014),
-    ("Flushing (Queens)", 40.7675, -73.8330),
-    ("Astoria (Queens)", 40.7721, -73.9302),
-    ("Jackson Heights (Queens)", 40.7557, -73.8831),
-    ("Williamsburg (Brooklyn)", 40.7081, -73.9571),
-    ("Park Slope (Brooklyn)", 40.6710, -73.9777),
-    ("Brooklyn Heights / DUMBO", 40.6981, -73.9949),
-    ("Bensonhurst (Brooklyn)", 40.6036, -73.9951),
-    ("Grand Concourse (Bronx)", 40.8448, -73.9285),
-    ("Fordham / Arthur Ave (Bronx)", 40.8599, -73.8924),
-    ("St. George (Staten Island)", 40.6437, -74.0739),
-    ("Click on the map to set location", 40.7580, -73.9855),
-]
-
 # --- FIXED VALUES: keyword expansion rules (pattern, expansion), in order --------
 KEYWORD_RULES = [
     (r"\bramen\b", "japanese noodles asian"),

@@ -26,13 +26,11 @@ def confusion_matrix(pred: DataFrame, actual: str, predicted: str, labels,
     zero where absent; ``normalise`` divides by the row sum (+1e-9)."""
     spark = pred.sparkSession
     la = _labels_frame(spark, labels, "actual").withColumnRenamed("ord", "i")
-    lp = _labels_frame(spark, labels, "predicted").withColumnRenamed("ord", "j")
     # the grid is labels x labels (a fixed, small literal), built by an
     # explode of the label array instead of a join
     grid = la.select("i", "actual", F.explode(F.array(*[
         F.struct(F.lit(j).alias("j"), F.lit(c).alias("predicted")) for j, c in enumerate(labels)
     ])).alias("p")).select("i", "actual", "p.j", "p.predicted")
-    del lp
     out = grid.join(pair_counts(pred, actual, predicted), ["actual", "predicted"], "left") \
               .select("i", "j", "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
     if normalise:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
-from plumbline.functions.columns import address, grade_colour
+from plumbline.functions.columns import address, grade_colour, trim_all_space
 
 
 # --- filters ------------------------------------------------------------------
@@ -77,10 +77,10 @@ def rare_class_filter(df: DataFrame, label: str, min_count: int) -> DataFrame:
 def exact_name_lookup(df: DataFrame, queries: DataFrame, name_col="dba", label_col="cuisine",
                       order_col="camis", q_col="query") -> DataFrame:
     """F8 (batch): lower(trim(name)) = query; the first matching row's label."""
-    names = df.select(F.lower(F.trim(F.col(name_col))).alias("_n"), label_col, order_col)
+    names = df.select(F.lower(trim_all_space(name_col)).alias("_n"), label_col, order_col)
     first = names.groupBy("_n").agg(
         F.min_by(F.col(label_col), F.col(order_col)).alias(label_col))
-    return queries.join(first, F.lower(F.trim(F.col(q_col))) == F.col("_n"), "left").drop("_n")
+    return queries.join(first, F.lower(trim_all_space(q_col)) == F.col("_n"), "left").drop("_n")
 
 
 # --- counts and summaries -----------------------------------------------------
@@ -192,12 +192,6 @@ def top_n(df: DataFrame, order_cols, n: int) -> DataFrame:
     return df.orderBy(*order_cols).limit(n)
 
 
-def top_n_per_group(df: DataFrame, group, order_cols, n: int, rank_col="rank") -> DataFrame:
-    """W3/W8 per group: row_number <= n (Spark pushes the limit into the window)."""
-    w = Window.partitionBy(*group).orderBy(*order_cols)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
-
-
 def grade_order(c: str) -> Column:
     """A, B, C, then anything else."""
     return (F.when(F.col(c) == "A", 0).when(F.col(c) == "B", 1).when(F.col(c) == "C", 2)
@@ -231,12 +225,6 @@ def distinct_sorted(df: DataFrame, c: str, exclude=None) -> DataFrame:
     return out.orderBy(c)
 
 
-def label_union(df: DataFrame, a: str, b: str, alias="label") -> DataFrame:
-    """Sorted distinct labels of two columns."""
-    return (df.select(F.col(a).alias(alias)).union(df.select(F.col(b).alias(alias)))
-            .where(F.col(alias).isNotNull()).distinct().orderBy(alias))
-
-
 # --- presentation attributes -------------------------------------------------------
 
 def map_attributes(df: DataFrame, grade_col="latest_grade") -> DataFrame:
@@ -246,9 +234,3 @@ def map_attributes(df: DataFrame, grade_col="latest_grade") -> DataFrame:
         F.coalesce(F.col(grade_col), F.lit(K.NO_GRADE_LABEL)).alias("grade_text"),
         address().alias("address"),
         grade_colour(grade_col).alias("color"))
-
-
-def zero_when(value: str | Column, cond: Column) -> Column:
-    """P16."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.when(cond, F.lit(0.0)).otherwise(v)

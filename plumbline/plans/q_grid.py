@@ -18,7 +18,7 @@ from plumbline.plans.q_text import (REQUESTS_SQL, _ENT_MATCH_SQL, _LAB_SQL, sql_
                                     sql_scale, sql_tf, sql_vec)
 from plumbline.plans.standins import entity_coordinates, requests, table
 from plumbline.session import cut_lineage
-from plumbline.sources.files import edges_from_rings
+from plumbline.sources.files import edges_from_rings, presets_table
 
 _ROWS, _COLS = K.GRID_ROWS, K.GRID_COLS
 
@@ -153,6 +153,15 @@ def area_search_grades(spark, sf_dir):
     return _flat(res)
 
 
+@register("request_presets", "WITH " + REQUESTS_SQL + f"""
+SELECT req_id, preset, {_preset_sql(1)} AS walk_km, {_preset_sql(2)} AS gamma, CAST({_preset_sql(3)} AS INTEGER) AS max_steps,
+       {_preset_sql(4)} AS sigma_km FROM req""")
+def request_presets(spark, sf_dir):
+    """IO7: the lookup table of walk presets, joined to the requests."""
+    p = presets_table(spark).withColumnRenamed("name", "preset")
+    return requests(spark, sf_dir).select("req_id", "preset").join(p, "preset")
+
+
 @register("area_destinations")
 def area_destinations(spark, sf_dir):
     """The contributing entities around every destination, as rows."""

@@ -164,8 +164,3 @@ def presets_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(K.WALK_PRESETS,
                                  "name string, walk_km double, gamma double, max_steps int, "
                                  "sigma_km double")
-
-
-def keyword_rules_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, p, e) for i, (p, e) in enumerate(K.KEYWORD_RULES)],
-                                 "ord int, pattern string, expansion string")
