@@ -99,6 +99,8 @@ class Model:
 
     def __init__(self, langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray]):
         self.langs = langs
+        if not langs:
+            return
         weight = np.zeros(256)
         for g, n in zip(grams, counts, strict=True):
             weight += np.bincount(g & 0xFF, weights=n, minlength=256)
@@ -115,8 +117,7 @@ class Model:
         t1 = np.empty((width * width, nl))
         self.t2 = np.empty((width ** 3, nl), np.float32)
         for k, (c, n) in enumerate(zip(cls, counts, strict=True)):
-            flat = np.full(width, 8.0)
-            flat[-1] = 8.0                                 # uniform over 256 bytes
+            flat = np.full(width, 8.0)                     # uniform over 256 bytes
             t0[:, k] = _code(np.bincount(c[3], n, width).reshape(1, width), flat[None, :]).ravel()
             t0[-1, k] += other                             # which of the bytes of that class
             n1 = np.bincount(c[2] * width + c[3], n, width ** 2).reshape(width, width)
@@ -126,7 +127,7 @@ class Model:
             self.t2[:, k] = _code(n2, np.tile(t1k, (width, 1))).ravel()
         # order 3, sparse: contexts and bytes seen after them in any language
         ctx = [(c[0] * width + c[1]) * width + c[2] for c in cls]
-        seen = np.unique(np.concatenate(ctx)) if ctx else np.zeros(0, np.int64)
+        seen = np.unique(np.concatenate(ctx))
         self.node = np.zeros(width ** 3, np.int32)
         self.node[seen] = np.arange(1, len(seen) + 1)      # 0: context never seen
         self.escape = np.zeros((len(seen) + 1, nl), np.float32)

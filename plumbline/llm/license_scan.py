@@ -164,8 +164,8 @@ WITH known AS (SELECT {whole_sql} AS digest, min(license_id) AS license_id
     FROM (SELECT license_id, {canon} AS lines FROM (VALUES {values}) v(license_id, text)) GROUP BY 1),
 docs AS (SELECT doc_id, {canon} AS lines FROM documents),
 hits AS (SELECT doc_id, text_digest, count(*) AS n_notices, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids
-    FROM (SELECT DISTINCT doc_id, text_digest, at, license_id FROM (
-        SELECT doc_id, text_digest, unnest(parts) AS line, generate_subscripts(parts, 1) AS at
+    FROM (SELECT DISTINCT doc_id, text_digest, line_no, license_id FROM (
+        SELECT doc_id, text_digest, unnest(parts) AS line, generate_subscripts(parts, 1) AS line_no
         FROM (SELECT doc_id, {whole_sql} AS text_digest, string_split(lines, chr(10)) AS parts FROM docs)) u
         JOIN known k ON sha256(trim(u.line, ' ')) = k.digest WHERE trim(u.line, ' ') <> '') GROUP BY 1, 2)
 SELECT r.doc_id, r.text_digest, k.license_id, coalesce(h.n_notices, 0) AS n_notices, coalesce(h.notice_ids, '') AS notice_ids
