@@ -87,9 +87,12 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     learn = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"),
                         docs["lang"].cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", FOLDS) != HELD_OUT))
-    per = learn.groupBy("lang").agg(F.count("*").alias("n"))
+    per = learn.groupBy("lang").count().collect()  # one row per language, as the model has one table each
+    if not per:
+        return learn.select("text", "lang")
+    n = F.create_map(*[x for r in per for x in (F.lit(r["lang"]), F.lit(r["count"]))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return learn.join(per, "lang").filter(draw * F.col("n") < rows).select("text", "lang")
+    return learn.filter(draw * n[F.col("lang")] < rows).select("text", "lang")
 
 
 # ------------------------------------------------------------------- model
