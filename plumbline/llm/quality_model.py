@@ -202,7 +202,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Attent
     limit = F.when(F.col("label") == 1, min(1.0, rows / share[1])).otherwise(min(1.0, rows / share[0]))
     chosen = marked.filter(draw < limit)
     text = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    got = (text.join(chosen, "doc_id").select("text", "doc_id", "label")
+    # the sample's ids: about 2 * ``rows`` of them, whatever the size of the tables
+    got = (text.join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "label")
            .transform(in_arrow, _bags, "doc_id long, label int, bag binary").toArrow().to_pydict())
     order = sorted(range(len(got["doc_id"])), key=lambda i: (got["doc_id"][i], got["bag"][i]))
     bags = [np.frombuffer(got["bag"][i], np.float32).reshape(-1, FEATURES) for i in order]
