@@ -60,7 +60,7 @@ TRIES = 2             # star candidates confirmed per document before the rest s
 _SEED = np.random.default_rng(20240501)
 _A = (_SEED.integers(0, 1 << 32, SLOTS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _SEED.integers(0, 1 << 32, SLOTS, dtype=np.uint64).astype(np.uint32)
-_WORD_CACHE_MAX = 400_000
+_WORD_CACHE_MAX = 200_000
 _words: dict[bytes, int] = {}
 
 
