@@ -71,13 +71,16 @@ def entity_match(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame,
     q = requests.select(F.col(req_id).alias("req"), X.expand_query(query).alias("text"),
                         X.is_blank(query).alias("blank"))
     r = refs.select(F.col(req_id).alias("req"), "ref_entity")
-    text_q = q.where(~F.col("blank")).join(r, "req", "left_anti")
-    v_text = X.tfidf_transform(text_q, "req", "text", model)
-    v_ref = r.join(ent_vecs.withColumnRenamed("doc", "ref_entity"), "ref_entity") \
-             .select(F.col("req").alias("doc"), "gram", "w")
-    qv = v_text.unionByName(v_ref)
-    sims = X.sparse_cosine(qv, ent_vecs, "req", "ent")
-    out = X.scale_matches(sims, "req")
+    # requests with one text, or one reference, are one query
+    asked = q.join(r, "req", "left").where(~F.col("blank") | F.col("ref_entity").isNotNull()).select(
+        "req", "ref_entity", "text", F.when(F.col("ref_entity").isNotNull(), F.concat(F.lit("r"), F.col("ref_entity").cast("string")))
+        .otherwise(F.concat(F.lit("t"), F.col("text"))).alias("ask"))
+    v_text = X.tfidf_transform(asked.where(F.col("ref_entity").isNull()).select("ask", "text").distinct(), "ask", "text", model)
+    v_ref = asked.where(F.col("ref_entity").isNotNull()).select("ask", "ref_entity").distinct() \
+                 .join(ent_vecs.withColumnRenamed("doc", "ref_entity"), "ref_entity") \
+                 .select(F.col("ask").alias("doc"), "gram", "w")
+    sims = X.sparse_cosine(v_text.unionByName(v_ref), ent_vecs, "ask", "ent")
+    out = X.scale_matches(sims, "ask").join(asked.select("req", "ask"), "ask")
     return out.select(F.col("req").alias(req_id), F.col("ent").alias(id_col), "match")
 
 

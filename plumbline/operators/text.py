@@ -127,7 +127,8 @@ def detect_reference(requests: DataFrame, entities: DataFrame, req_id="req_id",
     toks = _query_tokens(requests, req_id, query)
     names = entities.select(F.col(order).alias("ent"),
                             F.lower(trim_all_space(F.coalesce(F.col(name), F.lit("")))).alias("nm")) \
-                    .where(F.length("nm") >= 3)
+                    .where(F.length("nm") >= 3) \
+                    .groupBy("nm").agg(F.min("ent").alias("ent"))  # of equal names only the first can win
     # name inside token
     subs = toks.select("req", "tokpos", "token", F.explode(F.flatten(F.transform(
         F.sequence(F.lit(3), F.length("token")),
