@@ -8,6 +8,7 @@ import pytest
 from plumbline.plans.catalog import load_all
 from plumbline.plans.standins import TABLES
 from tests.conftest import SF0001
+from tests.plan_guard import check_plan
 
 REG = load_all()
 WITH_SQL = sorted(n for n, (_f, s) in REG.items() if s is not None)
@@ -39,6 +40,7 @@ def con():
 def test_query_matches_duckdb(spark, con, name):
     fn, sql = REG[name]
     df = fn(spark, SF0001)
+    check_plan(name, df)
     srows = [tuple(r) for r in df.collect()]
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
