@@ -1,12 +1,14 @@
 """Quality rules: base counts and a hashed n-gram likelihood ratio.
 
 Two multinomials over hashed byte n-grams (``GRAM`` bytes, ``BUCKETS``
-buckets) are counted over the whole corpus: the trusted target (documents that
-``trusted`` names) and the raw corpus (all documents).  With add-``ALPHA``
+buckets) are counted: the raw corpus (every n-gram of all documents) and the
+trusted target, whole texts of the documents that ``trusted`` names.  Of these
+about ``TRUSTED_ROWS`` are taken, chosen by a hash of the id (documented bound of
+a labelled sample; fewer are all taken), so that their ids can be sent to every
+task and no text has to move.  With add-``ALPHA``
 smoothing each bucket gets ``log p_target - log p_raw``; a document's score is
 the mean of that over its n-grams (length-normalised), and it is kept when the
-score reaches ``THRESHOLD`` and no base rule fails.  Nothing is sampled: both
-distributions count every n-gram of every text and every document is judged by
+score reaches ``THRESHOLD`` and no base rule fails.  Every document is judged by
 the same threshold.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``.  Base rules: ``n_words < 50`` or more
@@ -33,6 +35,7 @@ GRAM = 4
 BUCKETS = 1 << 16
 ALPHA = 1.0
 THRESHOLD = -0.4
+TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
@@ -91,8 +94,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(bucket, n_raw, n_target) over all texts; ``trusted`` holds doc_id."""
-    marked = text_frame(docs).join(trusted.select(F.col("doc_id").cast("long"), F.lit(True).alias("good")).distinct(),
-                                   "doc_id", "left")
+    ids = trusted.select(F.col("doc_id").cast("long")).filter("doc_id is not null").distinct()
+    n = max(1, ids.count())
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    ids = ids.filter(draw < TRUSTED_ROWS / n).withColumn("good", F.lit(True))
+    # about TRUSTED_ROWS ids, whatever the size of the tables
+    marked = text_frame(docs).join(F.broadcast(ids), "doc_id", "left")
     return (marked.select("text", F.coalesce("good", F.lit(False)).alias("good"))
             .transform(in_arrow, _count, "bucket long, n_raw long, n_target long")
             .groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")))
