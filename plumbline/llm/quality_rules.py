@@ -2,11 +2,10 @@
 
 Two multinomials over hashed byte n-grams (``GRAM`` bytes, ``BUCKETS``
 buckets) are counted: the raw corpus (every n-gram of all documents) and the
-trusted target, whole texts of the documents that ``trusted`` names.  Of these
-about ``TRUSTED_ROWS`` are taken, chosen by a hash of the id (documented bound of
-a labelled sample; fewer are all taken), so that their ids can be sent to every
-task and no text has to move.  With add-``ALPHA``
-smoothing each bucket gets ``log p_target - log p_raw``; a document's score is
+trusted target (every n-gram of the documents that ``trusted`` names).  Nothing
+is sampled.  The raw corpus is counted where it is read; for the target the
+texts meet the trusted ids in one shuffle, the same join at every size, and
+null ids, which no label can name, do not travel.  With add-``ALPHA`` smoothing each bucket gets ``log p_target - log p_raw``; a document's score is
 the mean of that over its n-grams (length-normalised), and it is kept when the
 score reaches ``THRESHOLD`` and no base rule fails.  Every document is judged by
 the same threshold.
@@ -35,7 +34,6 @@ GRAM = 4
 BUCKETS = 1 << 16
 ALPHA = 1.0
 THRESHOLD = -0.4
-TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
@@ -79,30 +77,23 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for part in slices(batch, "text"):
-            got = [buckets(text) for text in part.column(0).to_pylist()]
-            good = [b for b, g in zip(got, part.column(1).to_pylist(), strict=True) if g]
-            raw += np.bincount(np.concatenate(got), minlength=BUCKETS)
-            if good:
-                target += np.bincount(np.concatenate(good), minlength=BUCKETS)
-    some = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])],
-                                     names=["bucket", "n_raw", "n_target"])
+            n += np.bincount(np.concatenate([buckets(text) for text in part.column(0).to_pylist()]), minlength=BUCKETS)
+    some = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["bucket", "n"])
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(bucket, n_raw, n_target) over all texts; ``trusted`` holds doc_id."""
     ids = trusted.select(F.col("doc_id").cast("long")).filter("doc_id is not null").distinct()
-    n = max(1, ids.count())
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    ids = ids.filter(draw < TRUSTED_ROWS / n).withColumn("good", F.lit(True))
-    # about TRUSTED_ROWS ids, whatever the size of the tables
-    marked = text_frame(docs).join(F.broadcast(ids), "doc_id", "left")
-    return (marked.select("text", F.coalesce("good", F.lit(False)).alias("good"))
-            .transform(in_arrow, _count, "bucket long, n_raw long, n_target long")
-            .groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")))
+    good = text_frame(docs).join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+    counts = lambda df: df.select("text").transform(in_arrow, _count, "bucket long, n long")
+    none = F.lit(0).cast("long")
+    both = (counts(text_frame(docs)).select("bucket", F.col("n").alias("n_raw"), none.alias("n_target"))
+            .union(counts(good).select("bucket", none, "n")))
+    return both.groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target"))
 
 
 def log_ratio(counts: DataFrame) -> np.ndarray:

@@ -124,6 +124,17 @@ def test_ratio_against_loops(spark):
     assert not any(got[i].kept for i in range(0, 30, 3)) and all(got[i].kept for i in range(30) if i % 3)
 
 
+def test_target_counts_every_trusted_document(spark):
+    """More trusted documents than any sample of ids would hold."""
+    n = 24_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    trusted = spark.range(n).selectExpr("id AS doc_id").filter("doc_id % 12 != 0")
+    raw, target = (quality_rules.bucket_counts(docs, trusted).agg({"n_raw": "sum", "n_target": "sum"})
+                   .select("sum(n_raw)", "sum(n_target)").first())
+    grams = lambda ids: sum(len(f"text {i}") - quality_rules.GRAM + 1 for i in ids)
+    assert (raw, target) == (grams(range(n)), grams(i for i in range(n) if i % 12))
+
+
 def test_rules_edges(spark):
     none = spark.createDataFrame([], "doc_id long")
     out = quality_rules.quality_rules(docs_frame(spark, EDGE), none).collect()
