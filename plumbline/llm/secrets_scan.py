@@ -12,9 +12,13 @@ them, change by one character in and one out, so each step costs the same
 whatever the window.  The window's character class (``hex`` digits only, or
 ``mixed``) sets the entropy it must reach; overlapping windows that reach it
 form one span.  A class that uses a single kind of character (only letters of
-one case, only digits) is prose or a number and never reaches it.  Allow-listed
-candidates (UUIDs, labelled digests, placeholders, alphabet runs, path or URL
-parts) give no span, nor do spans that a base span covers.
+one case, only digits) is prose or a number and never reaches it.  Labelled
+digests and parts of URLs give no span, nor do spans that a base span covers.
+Other allow-listed pieces are cut out of a candidate and what is left of it is
+scanned: UUIDs; a placeholder or alphabet run, with the part between ``=`` signs
+that it stands in if all of that lies within ``WINDOW`` characters of such words,
+and alone otherwise; and the plain words between slashes, where a candidate with
+three slashes or more is mostly such words (a path; ``/`` is a base64 digit too).
 
 Offsets count code points, the end is exclusive.  Defined cases: a null or
 empty text has no span; repeated rows are scanned alike; extra columns are
@@ -43,17 +47,17 @@ _assign = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*
 _access = re.compile(r"AKIA[A-Z0-9]+")
 _hex = re.compile(r"[0-9a-f]+")
 _candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
-ALLOWED = (
-    re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),          # UUID
-    re.compile(r"(?ai:.*(example|sample|placeholder|dummy|changeme|your[_-]).*)"),
-    re.compile(r"(?ai:.*(0123456789|abcdefghij|1234567890).*)"),
-)
+_uuid = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+_placeholder = re.compile(r"(?ai:example|sample|placeholder|dummy|changeme|your[_-]|0123456789|abcdefghij|1234567890)")
+_sample_key = re.compile(r"[A-Za-z0-9+/]{30}EXAMPLEKEY")     # the key of the AWS manuals
+_part = re.compile(r"[^=]+=*")
+_word = re.compile(r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+)[0-9]{0,4}|[0-9]+|[A-Za-z0-9]{1,3}")
 _labelled = re.compile(r"(?ai:(sha-?(1|224|256|384|512)|md5|crc32|commit|etag|integrity)[-:=\s]{1,3}$)")
 _url = re.compile(r"(?ai:(https?|ftp|file)://[^\s\"'<>]*$)")
 _CLASS = np.zeros(256, bool)
 _CLASS[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = True
 _HEX = frozenset("0123456789abcdefABCDEF")
-_XLOGX = [0.0, *[c * log2(c) for c in range(1, WINDOW + 1)]]
+_XLOGX = [0.0, *[c * log2(c) for c in range(1, WINDOW + 2)]]   # a character comes in before one goes out
 
 
 def _long_run(text: str) -> bool:
@@ -102,11 +106,47 @@ def entropy_spans(s: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _suppressed(text: str, start: int, end: int) -> bool:
-    word = text[start:end]
+def _suppressed(text: str, start: int) -> bool:
+    """Whether what stands before ``start`` makes the candidate a digest or a part of a URL."""
     before = text[max(0, start - 64):start]
-    return (any(p.fullmatch(word) for p in ALLOWED) or bool(_labelled.search(before[-16:]))
-            or bool(_url.search(before)) or word.count("/") >= 3)
+    return bool(_labelled.search(before[-16:])) or bool(_url.search(before))
+
+
+def _allowed(run: str) -> list[tuple[int, int]]:
+    """Pieces of a candidate that are no secret: placeholders and the words of a path."""
+    out = []
+    if _placeholder.search(run):
+        for part in _part.finditer(run):
+            words = [(part.start() + m.start(), part.start() + m.end()) for m in _placeholder.finditer(part[0])]
+            at = part.start()
+            for a, b in words:
+                if a - WINDOW <= at:
+                    at = max(at, b + WINDOW)
+            if words and (at >= part.start() + len(part[0].rstrip("=")) or _sample_key.fullmatch(part[0])):
+                out.append(part.span())
+            else:
+                out += words
+    if run.count("/") >= 3:
+        plain, at, total = [], 0, 0
+        for piece in run.split("/"):
+            words = [w for w in re.split("[_=-]+", piece) if w]
+            if words and all(map(_word.fullmatch, words)):
+                plain.append((at, min(at + len(piece) + 1, len(run))))
+                total += len(piece)
+            at += len(piece) + 1
+        if len(plain) >= 3 and 2 * total >= len(run) - run.count("/"):
+            out += plain
+    return sorted(out)
+
+
+def candidate_spans(run: str) -> list[tuple[int, int]]:
+    """Entropy spans of a candidate, allow-listed pieces cut out."""
+    out, at = [], 0
+    for a, b in [*_allowed(run), (len(run), len(run))]:
+        if a > at and not _uuid.fullmatch(run, at, a):
+            out += [(at + x, at + y) for x, y in entropy_spans(run[at:a])]
+        at = max(at, b)
+    return out
 
 
 def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -124,9 +164,9 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     base.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     more = []
     for m in _candidate.finditer(text):
-        if _suppressed(text, *m.span()):
+        if _suppressed(text, m.start()):
             continue
-        for a, b in entropy_spans(m[0]):
+        for a, b in candidate_spans(m[0]):
             a, b = a + m.start(), b + m.start()
             if not any(x <= a and b <= y for _, x, y in base):
                 more.append(("entropy", a, b))

@@ -1,4 +1,5 @@
 """Language ID, quality rules, secret scan: against plain recomputation."""
+import base64
 import hashlib
 import math
 import random
@@ -196,6 +197,28 @@ def test_added_spans_and_allow_list():
     assert secrets_scan.masked(f"a {key} b password=hunter22 c") == "a [SECRET] b [SECRET] c"
 
 
+def test_allow_list_spares_pieces_not_runs():
+    r = random.Random(11)
+    for n in (40, 88, 172, 344):
+        for _ in range(20):                  # slashes are base64 digits
+            key = list(base64.b64encode(r.randbytes(n)).decode()[:n])
+            for at in (n // 5, n // 2, n - 7, n - 5):
+                key[at] = "/"
+            key[1] = key[-2] = "7"           # a window without a digit never reaches its class
+            key = "".join(key)
+            (_, a, b), = secrets_scan.find(f"see {key} here")[1]
+            assert a <= 4 + n // 10 and b >= 4 + n - n // 10, key
+    key = "q7Rz0Lk2Vx9TnB4mWc8Yf3Hs6Jd1Pg5UaE0iKoZb"
+    for text in (f"sample_key={key}", f"your_key_{key}", f"your-name=x sample={key}=="):
+        assert key not in secrets_scan.masked(text) and key[8:] not in secrets_scan.masked(text)
+    for text in ("/usr/lib/x86_64-linux-gnu/python3/site-packages/k8s", "sample=123e4567-e89b-12d3-a456-426614174000",
+                 "src/main/java/org/Application2Test/v1", "example" + "-" * 30, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+                 "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        assert secrets_scan.find(text)[1] == [], text
+    _, more = secrets_scan.find(f"/usr/local/share/application/private/keys/{key}/store")
+    assert len(more) == 1 and more[0][1] <= 42 and more[0][2] >= 82
+
+
 def test_scan_edges(spark):
     out = {r.doc_id: r for r in secrets_scan.scan(docs_frame(spark, EDGE)).collect()}
     assert out[1].base_sha256 == out[2].base_sha256 == hashlib.sha256(b"").hexdigest()
