@@ -3,17 +3,23 @@
 The measure is the largest inner product.  Vectors get one more component that
 makes all of them equally long, which turns it into the smallest distance.
 
-1. *Centroids* are fitted on a bounded sample (``SAMPLE_ROWS``) by rounds of
-   k-means whose assignment charges crowded centroids, so lists come out
-   balanced; there is about one per ``LIST_ROWS`` vectors, ``MAX_LISTS`` at most.
+1. *Centroids* are fitted on a bounded sample (``SAMPLE_ROWS``, or ``LIST_SAMPLE``
+   a list if that is more) by rounds of k-means whose assignment charges crowded
+   centroids, so lists come out balanced; there is about one per ``LIST_ROWS``
+   vectors, ``MAX_LISTS`` at most.
 2. *Posting lists.*  Every vector goes to its nearest centroid, and a boundary
    vector also to the next ones, up to ``COPIES`` in all, whose distance is at
    most ``BOUNDARY`` times the nearest.  A long list is cut into parts of about
    ``PART_ROWS`` vectors by a hash, so no list is one task's group.
-3. *Search.*  A neighbour graph over the centroids, held in memory by each task,
-   is searched best-first for the ``BEAM`` nearest centroids of a query; the
-   distance ratio ``PRUNE`` then selects its lists (``LEAST_LISTS`` at least).
-   Queries meet the parts of their lists in one shuffle, each part returns its
+3. *Visits.*  How many lists a query must visit depends on the vectors and the
+   number of lists, so it is measured: the true neighbours of ``PROBES`` queries
+   are found among all posted vectors in one pass, and the fewest nearest lists
+   that hold ``RECALL`` of them (``LEAST_LISTS`` at least) are visited by everyone.
+4. *Search.*  A neighbour graph over the centroids, held in memory by each task,
+   is searched best-first for the ``BEAM`` nearest centroids of a query, or 1.25
+   times the visits if that is more (all centroids are compared where the graph
+   would compute as many distances); the distance ratio ``PRUNE`` then selects
+   its lists, the measured number at least.  Queries meet the parts of their lists in one shuffle, each part returns its
    best ``k``, and these are merged per query.
 
 Scores are sums of products in double precision on the original vectors.
@@ -41,12 +47,13 @@ from plumbline.llm.common import in_arrow, table, written
 
 K = 20
 QUERY_EVERY = 20
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, LIST_SAMPLE = 20_000, 16
 LIST_ROWS = 400
 MAX_LISTS = 4096
 ROUNDS = 8
 COPIES, BOUNDARY = 4, 1.25
 LEAST_LISTS, PRUNE, BEAM, DEGREE = 40, 1.15, 96, 24
+PROBES, RECALL = 100, 0.95
 PART_ROWS = 4096
 QUERY_PART = 4096
 
@@ -80,9 +87,12 @@ class Index:
         self.c, self.longest = centroids, longest
         self.sq = (centroids ** 2).sum(axis=1)
         n = len(centroids)
-        d = self.sq[:, None] - 2 * centroids @ centroids.T + self.sq
-        np.fill_diagonal(d, np.inf)
-        near = np.argsort(d, axis=1, kind="stable")[:, :min(DEGREE, n - 1)] if n > 1 else np.zeros((n, 0), int)
+        self.least = LEAST_LISTS
+        near = np.zeros((n, min(DEGREE, n - 1)), int)
+        for at in range(0, n, 512):
+            d = self.sq[at:at + 512, None] - 2 * centroids[at:at + 512] @ centroids.T + self.sq
+            d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
+            near[at:at + 512] = np.argsort(d, axis=1, kind="stable")[:, :near.shape[1]]
         ring = np.stack([np.roll(np.arange(n), s) for s in (1, -1)], axis=1)  # keeps the graph in one piece
         self.graph = np.concatenate([near, ring], axis=1)
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(int))
@@ -108,7 +118,19 @@ class Index:
         """(row, list) pairs of the lists that queries ``q`` visit: best-first
         search of the graph, all rows in step, then pruning by distance."""
         n, m = len(q), len(self.c)
+        beam = min(max(BEAM, -(-5 * self.least // 4)), m)
         q = np.concatenate([q, np.zeros((n, 1))], axis=1)
+        dist = self.distances(q) ** 2 if beam * self.graph.shape[1] >= m else self.walked(q, beam)
+        order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
+        d = np.sqrt(np.maximum(np.take_along_axis(dist, order, axis=1), 0.0))
+        take = np.isfinite(d) & ((d <= PRUNE * d[:, :1]) | (np.arange(beam) < self.least))
+        row, at = np.nonzero(take)
+        return row, order[row, at]
+
+    def walked(self, q: np.ndarray, beam: int) -> np.ndarray:
+        """(query, list) squared distances that a best-first search of the graph
+        for the ``beam`` nearest centroids sees (others are infinite)."""
+        n, m = len(q), len(self.c)
         length = (q ** 2).sum(axis=1)
         rows = np.arange(n)
         dist = np.full((n, m), np.inf)
@@ -119,7 +141,6 @@ class Index:
             dist[rows[:, None], nodes] = d
 
         see(np.broadcast_to(self.entries, (n, len(self.entries))))
-        beam = min(BEAM, m)
         for _ in range(m):
             bound = np.partition(dist, beam - 1, axis=1)[:, beam - 1]
             open_d = np.where(opened, np.inf, dist)
@@ -131,11 +152,7 @@ class Index:
             opened[rows[active], best[active]] = True
             nodes = np.where(active[:, None], self.graph[best], self.entries[0])
             see(nodes)
-        order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
-        d = np.sqrt(np.maximum(np.take_along_axis(dist, order, axis=1), 0.0))
-        take = np.isfinite(d) & ((d <= PRUNE * d[:, :1]) | (np.arange(beam) < LEAST_LISTS))
-        row, at = np.nonzero(take)
-        return row, order[row, at]
+        return dist
 
 
 def fit(sample: np.ndarray, n_lists: int, longest: float) -> Index:
@@ -150,9 +167,9 @@ def fit(sample: np.ndarray, n_lists: int, longest: float) -> Index:
     fair = len(x) / n_lists
     for _ in range(ROUNDS):
         own = np.empty(len(x), int)
-        for at in range(0, len(x), 4096):
-            d = (c ** 2).sum(1) - 2 * x[at:at + 4096] @ c.T + price
-            own[at:at + 4096] = d.argmin(axis=1)
+        for at in range(0, len(x), 1024):
+            d = (c ** 2).sum(1) - 2 * x[at:at + 1024] @ c.T + price
+            own[at:at + 1024] = d.argmin(axis=1)
         size = np.bincount(own, minlength=n_lists)
         sums = np.zeros_like(c)
         np.add.at(sums, own, x)
@@ -166,15 +183,59 @@ def build(vecs: DataFrame) -> Index | None:
     s = vecs.agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
     if not s["n"]:
         return None
+    lists = min(MAX_LISTS, max(1, round(s["n"] / LIST_ROWS)))
+    rows = max(SAMPLE_ROWS, LIST_SAMPLE * lists)
     draw = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = vecs.filter(draw < SAMPLE_ROWS / s["n"]).select("vec_id", "embedding").toArrow()
+    sample = vecs.filter(draw < rows / s["n"]).select("vec_id", "embedding").toArrow()
     if not sample.num_rows:
-        sample = vecs.limit(SAMPLE_ROWS).select("vec_id", "embedding").toArrow()
+        sample = vecs.limit(rows).select("vec_id", "embedding").toArrow()
     sample = sample.sort_by("vec_id")
-    lists = min(MAX_LISTS, max(1, round(s["n"] / LIST_ROWS)), max(1, sample.num_rows // 8))
     return fit(matrix(sample.column("embedding")), lists, float(np.sqrt(s["m"])))
 
 
+def visits(index: Index, posted: DataFrame, asked: DataFrame, k: int) -> int:
+    """The fewest nearest lists that hold ``RECALL`` of the true ``k`` nearest of
+    ``PROBES`` of the queries ``asked``."""
+    if len(index.c) <= LEAST_LISTS:
+        return LEAST_LISTS
+    drawn = asked.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id").limit(PROBES).toArrow()
+    if not drawn.num_rows:
+        return LEAST_LISTS
+    probe, probes = drawn.column("vec_id").to_numpy(), matrix(drawn.column("embedding"))
+    rows = np.arange(len(probe))
+    keep = (k + 1) * COPIES                      # a vector has a row for each of its lists
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = np.full((len(probe), 0), -np.inf)
+        ids, lists = np.zeros((len(probe), 0), np.int64), np.zeros((len(probe), 0), np.int32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                s = probes @ matrix(part.column(2)).T
+                own = np.broadcast_to(part.column(1).to_numpy(), s.shape)
+                s[own == probe[:, None]] = -np.inf
+                score = np.concatenate([score, s], axis=1)
+                ids = np.concatenate([ids, own], axis=1)
+                lists = np.concatenate([lists, np.broadcast_to(part.column(0).to_numpy(), s.shape)], axis=1)
+                best = np.argsort(-score, axis=1, kind="stable")[:, :keep]
+                score, ids, lists = score[rows[:, None], best], ids[rows[:, None], best], lists[rows[:, None], best]
+        row, at = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row), pa.array(ids[row, at]), pa.array(lists[row, at]), pa.array(score[row, at])],
+            names=["probe", "id", "list", "score"])
+
+    found = (posted.select("list", "id", "vec").transform(in_arrow, run, "probe long, id long, list int, score double")
+             .groupBy("probe", "id").agg(F.max("score").alias("score"), F.collect_set("list").alias("lists")))
+    first = W.partitionBy("probe").orderBy(F.desc("score"), "id")
+    near = found.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= k).collect()  # PROBES * k rows
+    if not near:
+        return LEAST_LISTS
+    d = index.distances(np.concatenate([probes, np.zeros((len(probes), 1))], axis=1))
+    place = np.argsort(np.argsort(d, axis=1, kind="stable"), axis=1)
+    need = np.sort([place[r["probe"], r["lists"]].min() + 1 for r in near])
+    return max(LEAST_LISTS, int(need[max(0, int(np.ceil(RECALL * len(need))) - 1)]))
+
+
 def _posted(index, method: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,6 +356,8 @@ def nearest(df: DataFrame, queries: Column, k: int = K) -> DataFrame:
     alike = (vecs.distinct().withColumn("_copy", F.row_number().over(same)).filter(F.col("_copy") <= k + 1)
              .select("vec_id", "embedding"))
     posted = written(alike.transform(in_arrow, _posted(held, "lists_of"), "list int, id long, vec array<double>"), "postings")
+    index.least = visits(index, posted, vecs.filter(queries), k)
+    held = spark.sparkContext.broadcast(index)
     asked = written(vecs.filter(queries).distinct().transform(in_arrow, _posted(held, "search"), "list int, id long, vec array<double>"), "asked")
     # parts of a list and of its queries; each pair of parts is one unit of work
     sizes = (posted.groupBy("list").agg(F.count("*").alias("n"))

@@ -203,6 +203,30 @@ def test_lists_parts_and_graph(spark, monkeypatch):
     assert [v for _, v in sorted(got[1100])] == want[1100]  # ties among copies go to the smaller ids
 
 
+@pytest.mark.parametrize("spread, share", [(None, 1.0), (0.15, 0.15)])
+def test_recall_with_many_lists(spark, monkeypatch, spread, share):
+    """Hundreds of lists: vectors without any structure need many of them,
+    clustered ones a small share, and both find their neighbours."""
+    monkeypatch.setattr(ann, "LIST_ROWS", 4)
+    monkeypatch.setattr(ann, "LEAST_LISTS", 5)
+    monkeypatch.setattr(ann, "BEAM", 16)
+    r = np.random.default_rng(6)
+    x = r.standard_normal((4000, 32))
+    if spread:
+        x = r.standard_normal((200, 32))[np.arange(4000) % 200] + spread * x
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x / np.linalg.norm(x, axis=1, keepdims=True))]
+    index, seen = ann.build(ann.vectors(frame(spark, rows))), []
+    assert len(index.c) > 900
+    visits = ann.visits
+    monkeypatch.setattr(ann, "visits", lambda *a: seen.append(visits(*a)) or seen[0])
+    got = {}
+    for y in ann.nearest(frame(spark, rows), F.col("vec_id") % 13 == 0, k=10).collect():
+        got.setdefault(y.query_id, set()).add(y.vec_id)
+    want = brute(dict(rows), [i for i, _ in rows if i % 13 == 0], 10)
+    assert sum(len(got[q] & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+    assert 5 <= seen[0] <= share * len(index.c)
+
+
 def test_ann_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (2, [0.0, 0.0]), (3, None), (4, [None, 1.0]), (5, [nan, 1.0]),
