@@ -11,7 +11,9 @@ bytes, and the language with the shortest code wins.
 
 Because the statistics are frozen, the code length of a byte depends only on
 the ``ORDER`` bytes before it, so the trees are laid out as lookup tables and a
-whole batch of texts is coded with array operations.
+whole batch of texts is coded with array operations.  All 256 byte values keep
+their own place: orders 0 and 1 are dense, orders 2 and 3 hold only the contexts
+and bytes that some language has seen.
 
 Learning uses only ``text`` and ``lang`` of rows with a non-null language whose
 id remainder (crc32 modulo 4) is not 2: about ``SAMPLE_ROWS`` rows per language,
@@ -40,7 +42,6 @@ from plumbline.llm.common import fields, fresh, in_arrow, own_columns, remainder
 ORDER = 3
 SAMPLE_ROWS = 1500
 FOLDS, HELD_OUT = 4, 2
-MAX_BYTES_KNOWN = 127   # byte values with an own class; rarer ones share a class
 REJECT_BITS = 8.0       # a text no model codes below 8 bits a byte is no known language
 PAD = b"\n" * ORDER
 
@@ -97,74 +98,80 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 # ------------------------------------------------------------------- model
 
+class Seen:
+    """Numbers from 1 on for the (node, byte) pairs of a sorted list, 0 for all
+    others: a bit for every byte of a node and the count of pairs before it."""
+
+    def __init__(self, pairs: np.ndarray, nodes: int):
+        word, bit = pairs >> 6, np.uint64(1) << (pairs & 63).astype(np.uint64)
+        self.bits = np.zeros(nodes * 4, np.uint64)
+        np.bitwise_or.at(self.bits, word, bit)
+        n = np.bincount(word, minlength=nodes * 4)
+        self.before = (np.cumsum(n) - n).astype(np.int32)
+
+    def number(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        word = node * 4 + (byte >> 6)
+        at = np.uint64(1) << (byte & 63).astype(np.uint64)
+        held = self.bits[word]
+        rank = self.before[word] + np.bitwise_count(held & (at - np.uint64(1))) + 1
+        return np.where(held & at, rank, 0).astype(np.int64)
+
+
 class Model:
-    """Frozen code lengths of every language, as lookup tables."""
+    """Frozen code lengths of every language, as lookup tables.  Strings of two
+    and three bytes that any language has seen are numbered from 1 on."""
 
     def __init__(self, langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray]):
         self.langs = langs
         if not langs:
             return
-        weight = np.zeros(256)
-        for g, n in zip(grams, counts, strict=True):
-            weight += np.bincount(g & 0xFF, weights=n, minlength=256)
-        known = np.argsort(-weight, kind="stable")[:MAX_BYTES_KNOWN]
-        known = np.sort(np.union1d(known[weight[known] > 0], [PAD[0]]))
-        self.width = width = len(known) + 1               # the last class is "any other byte"
-        self.lut = np.full(256, width - 1, np.int32)
-        self.lut[known] = np.arange(len(known))
-        cls = [[self.lut[(g >> s) & 0xFF].astype(np.int64) for s in (24, 16, 8, 0)] for g in grams]
         nl = len(langs)
-        # orders 0 to 2, dense: code length of a byte after every two-byte context
-        other = np.log2(max(1, 256 - len(known)))
-        t0 = np.full((width, nl), 0.0)
-        t1 = np.empty((width * width, nl))
-        self.t2 = np.empty((width ** 3, nl), np.float32)
+        cls = [[(g >> s) & 0xFF for s in (24, 16, 8, 0)] for g in grams]
+        # orders 0 and 1, dense: code length of a byte after every byte
+        t1 = np.empty((1 << 16, nl))
         for k, (c, n) in enumerate(zip(cls, counts, strict=True)):
-            flat = np.full(width, 8.0)                     # uniform over 256 bytes
-            t0[:, k] = _code(np.bincount(c[3], n, width).reshape(1, width), flat[None, :]).ravel()
-            t0[-1, k] += other                             # which of the bytes of that class
-            n1 = np.bincount(c[2] * width + c[3], n, width ** 2).reshape(width, width)
-            t1k = _code(n1, np.broadcast_to(t0[:, k], (width, width)))
-            t1[:, k] = t1k.ravel()
-            n2 = np.bincount((c[1] * width + c[2]) * width + c[3], n, width ** 3).reshape(-1, width)
-            self.t2[:, k] = _code(n2, np.tile(t1k, (width, 1))).ravel()
-        # order 3, sparse: contexts and bytes seen after them in any language
-        ctx = [(c[0] * width + c[1]) * width + c[2] for c in cls]
-        seen = np.unique(np.concatenate(ctx))
-        self.node = np.zeros(width ** 3, np.int32)
-        self.node[seen] = np.arange(1, len(seen) + 1)      # 0: context never seen
-        self.escape = np.zeros((len(seen) + 1, nl), np.float32)
-        keys = [self.node[x].astype(np.int64) * width + c[3] for x, c in zip(ctx, cls, strict=True)]
-        pairs = np.unique(np.concatenate(keys))
-        self.child = np.zeros((len(seen) + 1) * width, np.int32)
-        self.child[pairs] = np.arange(1, len(pairs) + 1)   # 0: byte never seen there
-        two = np.zeros(len(seen) + 1, np.int64)
-        two[1:] = seen % (width * width)
-        low = self.t2[two[pairs // width] * width + pairs % width].astype(np.float64)
-        self.t3 = np.zeros((len(pairs) + 1, nl), np.float32)
-        for k, (key, n) in enumerate(zip(keys, counts, strict=True)):
-            got = np.bincount(self.child[key], n, len(pairs) + 1)[1:]
-            of = pairs // width
-            total = np.bincount(of, got, len(seen) + 1)
-            kinds = np.bincount(of[got > 0], minlength=len(seen) + 1)
-            base = np.log2(np.maximum(total + kinds, 1))
-            esc = np.where(kinds > 0, base - np.log2(np.maximum(kinds, 1)), 0.0)
-            self.escape[:, k] = esc
-            self.t3[1:, k] = np.where(got > 0, base[of] - np.log2(np.maximum(got, 1)), esc[of] + low[:, k])
+            t0 = _code(np.bincount(c[3], n, 256).reshape(1, 256), np.full((1, 256), 8.0))   # uniform over 256 bytes
+            n1 = np.bincount(c[2] * 256 + c[3], n, 1 << 16).reshape(256, 256)
+            t1[:, k] = _code(n1, np.broadcast_to(t0, (256, 256))).ravel()
+        # numbers of the seen strings of two, three and four bytes
+        g = np.unique(np.concatenate(grams))
+        triples = np.unique(np.concatenate([g >> 8, g & 0xFFFFFF]))
+        pairs = np.unique(np.concatenate([triples >> 8, triples & 0xFFFF]))
+        self.two = np.zeros(1 << 16, np.int64)
+        self.two[pairs] = np.arange(1, len(pairs) + 1)
+        three = self.two[triples >> 8] * 256 + (triples & 0xFF)        # sorted like the triples
+        self.three = Seen(three, len(pairs) + 1)
+        numbers = lambda x: self.three.number(self.two[x >> 8], x & 0xFF)
+        four = numbers(g >> 8) * 256 + (g & 0xFF)
+        self.four = Seen(four, len(triples) + 1)
+        # orders 2 and 3, sparse
+        self.t1 = t1.astype(np.float32)
+        self.escape2 = np.zeros((len(pairs) + 1, nl), np.float32)
+        self.t2 = np.zeros((len(triples) + 1, nl), np.float32)
+        self.escape3 = np.zeros((len(triples) + 1, nl), np.float32)
+        self.t3 = np.zeros((len(g) + 1, nl), np.float32)
+        end = numbers(g & 0xFFFFFF)
+        for k, (x, n) in enumerate(zip(grams, counts, strict=True)):
+            got = np.bincount(numbers(x & 0xFFFFFF), n, len(triples) + 1)[1:]
+            t2, self.escape2[:, k] = _sparse(got, three >> 8, len(pairs) + 1, t1[triples & 0xFFFF, k])
+            self.t2[1:, k] = t2
+            got = np.bincount(np.searchsorted(g, x), n, len(g))
+            self.t3[1:, k], self.escape3[:, k] = _sparse(got, four >> 8, len(triples) + 1, t2[end - 1])
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """(texts, languages) code lengths in bits."""
-        data = np.frombuffer(PAD + PAD.join(texts) + PAD, np.uint8)
+        data = np.frombuffer(PAD + PAD.join(texts) + PAD, np.uint8).astype(np.int64)
         size = np.array([len(t) for t in texts], np.int64)
         start = np.cumsum(size + ORDER) - size - ORDER     # in positions of coded bytes
-        c = self.lut[data]
-        width = self.width
-        two = c[1:-2] * width + c[2:-1]
-        ctx = self.node[c[:-3] * (width * width) + two]
-        entry = self.child[ctx * width + c[3:]]
-        cost = self.t3[entry]
-        miss = np.flatnonzero(entry == 0)
-        cost[miss] = self.escape[ctx[miss]] + self.t2[two[miss] * width + c[3:][miss]]
+        pair = data[:-1] * 256 + data[1:]
+        two = self.two[pair]
+        three = self.three.number(two[:-1], data[2:])      # the string of three bytes from every place on
+        four = self.four.number(three[:-1], data[3:])
+        cost = self.t3[four]
+        miss = np.flatnonzero(four == 0)                   # coded by a shorter context
+        cost[miss] = self.escape3[three[miss]] + self.t2[three[miss + 1]]
+        miss = miss[three[miss + 1] == 0]
+        cost[miss] += self.escape2[two[miss + 1]] + self.t1[pair[miss + 2]]
         cuts = np.empty(2 * len(texts), np.int64)
         cuts[0::2], cuts[1::2] = start, start + size
         total = np.add.reduceat(cost, np.minimum(cuts, len(cost) - 1), axis=0, dtype=np.float64)[0::2]
@@ -194,9 +201,18 @@ def _code(n: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(n > 0, base - np.log2(np.maximum(n, 1)), esc + shorter)
 
 
+def _sparse(n: np.ndarray, of: np.ndarray, nodes: int, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``_code`` for the listed bytes only, each with its context ``of``; and
+    the escape cost of every context (0 where it was never seen)."""
+    kinds = np.bincount(of[n > 0], minlength=nodes)
+    base = np.log2(np.maximum(np.bincount(of, n, nodes) + kinds, 1))
+    esc = np.where(kinds > 0, base - np.log2(np.maximum(kinds, 1)), 0.0)
+    return np.where(n > 0, base[of] - np.log2(np.maximum(n, 1)), esc[of] + shorter), esc
+
+
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Count the sample with Spark and freeze the tables (their size is bounded
-    by the sample and the byte classes)."""
+    by the sample)."""
     counts = (sample(docs, rows).transform(in_arrow, _count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     lang = np.array(counts.column("lang").to_pylist(), dtype=object)

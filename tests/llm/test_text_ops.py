@@ -54,6 +54,22 @@ def test_code_lengths_are_exact():
             assert abs(v - plain_bits(train[x], t)) < 1e-3, (t, x)
 
 
+def test_code_lengths_are_exact_for_every_byte_value():
+    """Four scripts use more than 127 byte values; none may share a place."""
+    r = random.Random(3)
+    scripts = {"el": (0x391, 0x3C9), "hy": (0x531, 0x586), "ru": (0x410, 0x44F), "zh": (0x4E00, 0x9FFF), "en": (0x20, 0x7E)}
+    word = lambda x, n: "".join(chr(r.randint(*scripts[x])) for _ in range(n))
+    train = {x: [word(x, 300) for _ in range(3)] for x in sorted(scripts)}
+    assert len(set("".join(sum(train.values(), [])).encode())) > 150
+    packs = [np.unique(np.concatenate([langid._windows(np.frombuffer(langid.PAD + t.encode(), np.uint8)) for t in ts]),
+                       return_counts=True) for ts in train.values()]
+    m = langid.Model(list(train), [g.astype(np.int64) for g, _ in packs], [n for _, n in packs])
+    texts = [*(word(x, 40) for x in train), *(ts[0][:50] for ts in train.values()), "ⴀⴁ ᚠ\x01"]
+    for t, row in zip(texts, m.bits([t.encode() for t in texts]), strict=True):
+        for x, v in zip(train, row, strict=True):
+            assert abs(v - plain_bits(train[x], t)) < 2e-2, (t, x)
+
+
 def test_language_accuracy_and_folds(spark):
     docs = table(spark, SF001, "documents")
     got = {r.doc_id: r for r in langid.predict(docs).collect()}
