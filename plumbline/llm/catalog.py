@@ -12,6 +12,7 @@ from plumbline.llm import (
     quality_model,
     quality_rules,
     secrets_scan,
+    vector_codes,
     warc,
 )
 
@@ -28,4 +29,5 @@ def queries() -> dict:
         "op8_license_digest": (license_scan.query, license_scan.ORACLE_SQL),
         "op9_warc_chunks": (warc.query, None),
         "op10_posting_list_ann": (ann.query, None),
+        "op11_cover_tree_codes": (vector_codes.query, vector_codes.ORACLE_SQL),
     }
