@@ -5,6 +5,7 @@ from __future__ import annotations
 from plumbline.llm import (
     ann,
     bpe,
+    collocations,
     langid,
     license_scan,
     near_dup,
@@ -30,4 +31,5 @@ def queries() -> dict:
         "op9_warc_chunks": (warc.query, None),
         "op10_posting_list_ann": (ann.query, None),
         "op11_cover_tree_codes": (vector_codes.query, vector_codes.ORACLE_SQL),
+        "op12_prefix_tree_collocations": (collocations.query, collocations.ORACLE_SQL),
     }
