@@ -12,6 +12,7 @@ from plumbline.llm import (
     packing,
     quality_model,
     quality_rules,
+    repeats,
     secrets_scan,
     vector_codes,
     warc,
@@ -32,4 +33,5 @@ def queries() -> dict:
         "op10_posting_list_ann": (ann.query, None),
         "op11_cover_tree_codes": (vector_codes.query, vector_codes.ORACLE_SQL),
         "op12_prefix_tree_collocations": (collocations.query, collocations.ORACLE_SQL),
+        "op13_interval_tree_dedup": (repeats.query, repeats.ORACLE_SQL),
     }
