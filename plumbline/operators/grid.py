@@ -11,8 +11,8 @@ only hold non-zero cells.
   does not grow with requests x entities.
 * The Gaussian blur is separable: two scatter passes (explode each cell to
   its 9 kernel targets with mirrored borders, then ``sum``).
-* Value propagation and the greedy walk are array expressions over the rows of
-  a request's fixed 111 x 113 grid (``propagate``).
+* Value propagation and the greedy walk are array expressions over a request's
+  fixed 111 x 113 grid (``propagate``).
 * Destinations, warnings and direct ranking are cell-keyed equi-joins
   (Chebyshev windows exploded into cells), never requests x entities.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
-from plumbline.operators.propagate import greedy_walk, value_rows
+from plumbline.operators.propagate import greedy_walk, value_grids
 from plumbline.session import cut_lineage
 from plumbline.functions.columns import (col_to_lng, flat_distance_km, grade_safety, hop_km,
                                          in_bbox, lat_to_row, lng_to_col, row_to_lat, walk_minutes)
@@ -160,27 +160,35 @@ def proximity(cells: DataFrame, params: DataFrame, val: str = "r") -> DataFrame:
 
 # --- G7 + G8 (+ G19 data) ----------------------------------------------------------------
 
+REWARD_DIGITS = 12  # rewards are sums in any order; so rounded, equal cells stay equal and ties are ties
+
+
 def plan_paths(reward: DataFrame, params: DataFrame, heat: bool = False) -> DataFrame:
     """G7 + G8: value propagation and the greedy walk of every request.
 
     ``reward``: (req_id, row, col, r) normalised; ``params`` carries gamma,
     max_steps, start_row, start_col.  Output rows of kind 'path' (step order)
     and, with ``heat``, 'heat' (every second cell), each with the grid's least and
-    largest value.  The result is checkpointed: later steps read it several times.
+    largest value.  Walk and result are checkpointed: later steps read them
+    several times, and the rounds run once.
     """
     params = cut_lineage(params.select("req_id", "gamma", "max_steps", "start_row", "start_col"))
-    values = value_rows(reward, params)
-    walk = cut_lineage(greedy_walk(values, params).select(
+    values = value_grids(reward.withColumn("r", F.round("r", REWARD_DIGITS)), params)
+    walk = greedy_walk(values, params)
+    every = F.array(*[F.lit(i) for i in range(0, K.GRID_ROWS, 2)])
+    second = F.array(*[F.lit(j) for j in range(0, K.GRID_COLS, 2)])
+    sampled = F.flatten(F.transform(every, lambda i: F.transform(second, lambda j: F.struct(
+        i.alias("row"), j.alias("col"), F.col("g")[i * K.GRID_COLS + j].alias("v"))))) if heat else F.lit(None)
+    walk = cut_lineage(walk.select(
         "req_id", "path", F.transform("path", lambda i: F.col("g")[i]).alias("pv"),
-        F.array_min("g").alias("vmin"), F.array_max("g").alias("vmax")))
+        F.array_min("g").alias("vmin"), F.array_max("g").alias("vmax"), *([sampled.alias("cells")] if heat else [])))
     step = walk.select("req_id", "vmin", "vmax", F.posexplode(F.arrays_zip("path", "pv")).alias("step", "p"))
     out = step.select("req_id", F.lit("path").alias("kind"), "step",
                       F.floor(F.col("p.path") / K.GRID_COLS).cast("int").alias("row"),
                       (F.col("p.path") % K.GRID_COLS).cast("int").alias("col"), F.col("p.pv").alias("v"), "vmin", "vmax")
     if heat:
-        cells = values.where(F.col("row") % 2 == 0).select("req_id", "row", F.posexplode("v").alias("col", "v"))
-        cells = cells.where(F.col("col") % 2 == 0).join(walk.select("req_id", "vmin", "vmax"), "req_id")
-        out = out.unionByName(cells.select("req_id", F.lit("heat").alias("kind"), F.lit(-1).alias("step"), "row", "col", "v",
+        cells = walk.select("req_id", "vmin", "vmax", F.explode("cells").alias("c"))
+        out = out.unionByName(cells.select("req_id", F.lit("heat").alias("kind"), F.lit(-1).alias("step"), "c.row", "c.col", "c.v",
                                            "vmin", "vmax"))
     return cut_lineage(out)
 
@@ -270,30 +278,37 @@ def neighbours8(cells: DataFrame) -> DataFrame:
 
 # --- G17 / G15 / G16: direct ranking ---------------------------------------------------------
 
-def direct_candidates(params: DataFrame, cells: DataFrame, lat="latitude", lng="longitude"):
-    """Entities within 1.5 x walk_km (flat distance) of each request.
-
-    Each request explodes to the cells of its bounding box of that radius
-    (an equi-join on the cell; exact because the box covers the circle)."""
+def reach_cells(params: DataFrame) -> DataFrame:
+    """Each request with every cell (wrow, wcol) of the bounding box of its reach,
+    1.5 x walk_km: the box covers the circle, the exact distance decides later."""
     p = params.select("req_id", "lat", "lng", "walk_km", "sigma_km", "danger_filter")
     reach = F.col("walk_km") * 1.5
-    # a hair wider than the circle; the exact distance test below decides
+    # a hair wider than the circle
     dlat = reach * 1000.0 / K.METRES_PER_DEG_LAT + F.lit(1e-9)
     dlng = reach * 1000.0 / K.METRES_PER_DEG_LNG + F.lit(1e-9)
     r0 = F.greatest(lat_to_row(F.col("lat") - dlat), F.lit(0))
     r1 = F.least(lat_to_row(F.col("lat") + dlat), F.lit(K.GRID_ROWS - 1))
     c0 = F.greatest(lng_to_col(F.col("lng") - dlng), F.lit(0))
     c1 = F.least(lng_to_col(F.col("lng") + dlng), F.lit(K.GRID_COLS - 1))
-    boxes = p.select("*", F.explode(F.sequence(r0, r1)).alias("wrow"),
-                     c0.alias("c0"), c1.alias("c1"))
-    boxes = boxes.select("*", F.explode(F.sequence("c0", "c1")).alias("wcol")).drop("c0", "c1")
+    boxes = p.select("*", F.explode(F.sequence(r0, r1)).alias("wrow"), c0.alias("c0"), c1.alias("c1"))
+    return boxes.select("*", F.explode(F.sequence("c0", "c1")).alias("wcol")).drop("c0", "c1")
+
+
+def direct_candidates(params: DataFrame, cells: DataFrame, in_cells: DataFrame | None = None, lat="latitude", lng="longitude"):
+    """Entities within 1.5 x walk_km (flat distance) of each request, by an
+    equi-join on the cell; with ``in_cells`` (req_id, wrow, wcol) only those cells."""
+    if in_cells is None:
+        boxes = reach_cells(params)
+    else:
+        boxes = in_cells.select("req_id", "wrow", "wcol").join(
+            params.select("req_id", "lat", "lng", "walk_km", "sigma_km", "danger_filter"), "req_id")
     e = cells.select("camis", "grid_row", "grid_col", F.col(lat).alias("elat"),
                      F.col(lng).alias("elng"), *[c for c in cells.columns
                                                  if c not in ("camis", "grid_row", "grid_col",
                                                               lat, lng)])
     j = boxes.join(e, (F.col("wrow") == F.col("grid_row")) & (F.col("wcol") == F.col("grid_col")))
     d = flat_distance_km("elat", "elng", "lat", "lng")
-    return j.withColumn("dist_km", d).where(F.col("dist_km") <= reach).drop("wrow", "wcol")
+    return j.withColumn("dist_km", d).where(F.col("dist_km") <= F.col("walk_km") * 1.5).drop("wrow", "wcol")
 
 
 def proximity_weight(dist_km: Column, walk_km: Column, sigma_km: Column) -> Column:

@@ -7,10 +7,15 @@ requests (the single-request original refits per request).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions import constants as K
+from plumbline.operators import sparse as SP
 from plumbline.operators import text as X
+from plumbline.session import cut_lineage
 
 LABEL_BUCKETS = 32
 
@@ -57,17 +62,28 @@ def entity_text_model(entities: DataFrame, id_col="camis", max_features: int | N
     return model, vecs
 
 
-def entity_match(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame,
-                 refs: DataFrame, req_id="req_id", query="query", id_col="camis") -> DataFrame:
-    """Per (request, entity) match in [0.05, 1], stored sparsely.
+@dataclass(frozen=True)
+class TextMatch:
+    """Requests against entity documents, before any pair is scored.
+
+    ``asks``: (req, ask) of requests that have a query vector, requests with one
+    text or one reference sharing an ask; ``q``: the asks' vectors; ``d``: the
+    entities' vectors; ``best``: (ask, top), each ask's highest similarity;
+    ``defaults``: (req_id, default_match)."""
+
+    asks: DataFrame
+    q: DataFrame
+    d: DataFrame
+    best: DataFrame
+    defaults: DataFrame
+
+
+def request_vectors(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame, refs: DataFrame,
+                    req_id="req_id", query="query") -> tuple[DataFrame, DataFrame]:
+    """T14, the query side: ((req, ask, ref_entity), vectors of the asks).
 
     A request naming an entity (``refs`` from T12) uses that entity's own
-    vector as the query; others use the expanded text.  Only pairs sharing a
-    gram are returned; every other entity scores the request default
-    (:func:`default_match`: 1.0 for a blank query, else 0.05 — exactly what
-    the scaling gives a zero similarity), so no requests x entities product
-    is ever built.
-    """
+    vector as the query; others use the expanded text."""
     q = requests.select(F.col(req_id).alias("req"), X.expand_query(query).alias("text"),
                         X.is_blank(query).alias("blank"))
     r = refs.select(F.col(req_id).alias("req"), "ref_entity")
@@ -79,7 +95,59 @@ def entity_match(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame,
     v_ref = asked.where(F.col("ref_entity").isNotNull()).select("ask", "ref_entity").distinct() \
                  .join(ent_vecs.withColumnRenamed("doc", "ref_entity"), "ref_entity") \
                  .select(F.col("ask").alias("doc"), "gram", "w")
-    sims = X.sparse_cosine(v_text.unionByName(v_ref), ent_vecs, "ask", "ent")
+    return asked.select("req", "ask", "ref_entity"), v_text.unionByName(v_ref)
+
+
+def text_match(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame, refs: DataFrame,
+               req_id="req_id", query="query") -> TextMatch:
+    """The query side and each ask's highest similarity (the scaling of T9 needs
+    it): an entity's own vector is its best match; for a text it is searched for
+    with max-score pruning."""
+    d = cut_lineage(ent_vecs)
+    asked, q = request_vectors(requests, model, d, refs, req_id, query)
+    asked, q = cut_lineage(asked), cut_lineage(q)
+    own = SP.pair_cosine(asked.where(F.col("ref_entity").isNotNull()).select("ask", F.col("ref_entity").alias("doc")), q, d)
+    texts = q.join(asked.where(F.col("ref_entity").isNull()).select(F.col("ask").alias("doc")).distinct(), "doc", "left_semi")
+    best = own.unionByName(SP.top_cosine(texts, d).drop("rank")).select("ask", F.col("sim").alias("top"))
+    return TextMatch(asked.select("req", "ask"), q, d, cut_lineage(best),
+                     default_match(requests, req_id, query).withColumnRenamed(req_id, "req_id"))
+
+
+def scaled(sim: Column, top: Column) -> Column:
+    """T9 with the highest similarity given; nothing alike -> the least match."""
+    return F.when(F.coalesce(top, F.lit(0.0)) < 1e-8, F.lit(K.MIN_MATCH)).otherwise(
+        F.lit(K.MIN_MATCH) + F.lit(1.0 - K.MIN_MATCH) * (F.coalesce(sim, F.lit(0.0)) / top))
+
+
+def match_pairs(tm: TextMatch, pairs: DataFrame, id_col="camis") -> DataFrame:
+    """``pairs`` (req_id, entity, ...) with their match in [0.05, 1] and all
+    their columns; exact, and no other pair is scored."""
+    p = pairs.join(tm.defaults, "req_id").join(tm.asks.withColumnRenamed("req", "req_id"), "req_id", "left").join(tm.best, "ask", "left")
+    sims = SP.pair_cosine(p.where(F.col("top").isNotNull()).select("ask", F.col(id_col).alias("doc")), tm.q, tm.d) \
+             .withColumnRenamed("doc", id_col)
+    p = p.join(sims, ["ask", id_col], "left")
+    m = F.when(F.col("ask").isNull(), F.col("default_match")).otherwise(scaled(F.col("sim"), F.col("top")))
+    return p.withColumn("match", m).drop("ask", "top", "sim", "default_match")
+
+
+def entity_match_top(tm: TextMatch, k: int = 30, id_col="camis") -> DataFrame:
+    """T14 + W8: (req_id, entity, match, rank), the k best matches of every request
+    that has a query (ties -> smaller entity), by max-score pruning."""
+    best = SP.top_cosine(tm.q, tm.d, k).join(tm.best, "ask").withColumn("match", scaled(F.col("sim"), F.col("top")))
+    return best.join(tm.asks, "ask").select(F.col("req").alias("req_id"), F.col("doc").alias(id_col), "match", "rank")
+
+
+def entity_match(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame,
+                 refs: DataFrame, req_id="req_id", query="query", id_col="camis") -> DataFrame:
+    """The match in [0.05, 1] of every (request, entity) pair that shares a
+    gram: the output has nearly all pairs where grams are frequent.  Callers that
+    need certain pairs use :func:`match_pairs`, or the best :func:`entity_match_top`.
+
+    Every other entity scores the request default (:func:`default_match`: 1.0 for
+    a blank query, else 0.05, exactly what the scaling gives a zero similarity).
+    """
+    asked, v = request_vectors(requests, model, ent_vecs, refs, req_id, query)
+    sims = X.sparse_cosine(v, ent_vecs, "ask", "ent")
     out = X.scale_matches(sims, "ask").join(asked.select("req", "ask"), "ask")
     return out.select(F.col("req").alias(req_id), F.col("ent").alias(id_col), "match")
 

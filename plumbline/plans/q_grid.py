@@ -14,8 +14,9 @@ from plumbline.plans.q_entity import ENTITY_CTES, entity_table
 from plumbline.plans.q_eval import _GRADED_SQL
 from plumbline.plans.q_model import blend_ctes
 from plumbline.plans.q_profile import sql_col, sql_row
-from plumbline.plans.q_text import (REQUESTS_SQL, _ENT_MATCH_SQL, _LAB_SQL, sql_blank, sql_expand, sql_model,
-                                    sql_scale, sql_tf, sql_vec)
+from plumbline.plans.q_text import (REQUESTS_SQL, _EM_SQL, _ENT_MATCH_SQL, _LAB_SQL, _LABEL_TAIL_SQL, sql_blank, sql_expand,
+                                    sql_model, sql_preset, sql_scale, sql_tf, sql_vec)
+from plumbline.plans.search_sql import destination_sql, heat_sql, plan_sql, recursive, result_sql, smooth_sql, warning_sql
 from plumbline.plans.standins import entity_coordinates, requests, table
 from plumbline.session import cut_lineage
 from plumbline.sources.files import edges_from_rings, presets_table
@@ -23,13 +24,6 @@ from plumbline.sources.files import edges_from_rings, presets_table
 _ROWS, _COLS = K.GRID_ROWS, K.GRID_COLS
 
 
-def _preset_sql(i: int) -> str:
-    default = next(p[i] for p in K.WALK_PRESETS if p[0] == K.DEFAULT_PRESET)
-    return ("coalesce(CASE preset " + " ".join(f"WHEN '{p[0]}' THEN CAST({p[i]} AS DOUBLE)"
-                                               for p in K.WALK_PRESETS)
-            + f" END, CAST({default} AS DOUBLE))")
-
-
 def _kernel_sql() -> str:
     """Gaussian of sigma 1 at -4..4, normalised, by SQL."""
     return ("SELECT d, exp(CAST(-0.5 AS DOUBLE) * d * d) / sum(exp(CAST(-0.5 AS DOUBLE) * d * d)) OVER () "
@@ -50,45 +44,31 @@ lmm AS (SELECT req_id, label, CASE WHEN blank THEN CAST(1.0 AS DOUBLE)
                   ELSE {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} END AS match
         FROM full_)"""
 
-GRADE_REWARD_SQL = ENTITY_CTES + "," + REQUESTS_SQL + _LAB_SQL + _LABEL_MATCH_CTES + f""",
-params AS (SELECT *, {_preset_sql(4)} AS sigma_km, {sql_row('lat')} AS start_row,
-                  {sql_col('lng')} AS start_col FROM req),
+_PARAMS_SQL = f""",
+params AS (SELECT *, {sql_preset(2)} AS gamma, CAST({sql_preset(3)} AS INTEGER) AS max_steps, {sql_preset(4)} AS sigma_km,
+                  {sql_row('lat')} AS start_row, {sql_col('lng')} AS start_col FROM req),
 cells AS (SELECT camis, cuisine, latest_grade, {sql_row('latitude')} AS row,
                  {sql_col('longitude')} AS col FROM ent
           WHERE latitude IS NOT NULL AND longitude IS NOT NULL
             AND latitude BETWEEN {K.LAT_MIN} AND {K.LAT_MAX}
-            AND longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX}),
+            AND longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX})"""
+
+#: (req_id, camis, row, col, safety, w) of every pair: safety and weight under the grade reward.
+GRADE_PAIRS_SQL = ENTITY_CTES + "," + REQUESTS_SQL + _LAB_SQL + _LABEL_MATCH_CTES + _PARAMS_SQL + f""",
 mx AS (SELECT req_id, max(match) AS mx FROM lmm GROUP BY req_id),
 pw AS (
-  SELECT p.req_id, c.row, c.col,
+  SELECT req_id, camis, row, col, safety, safety * match AS w FROM (
+  SELECT p.req_id, c.camis, c.row, c.col, coalesce(l.match, CAST(0.05 AS DOUBLE)) AS match,
          CASE WHEN NOT {sql_blank('p.query')} AND p.importance > 0
                    AND coalesce(l.match, CAST(0.05 AS DOUBLE)) < p.importance * mx.mx THEN 0.0
               WHEN c.latest_grade = 'C' AND p.danger_filter THEN 0.0
               ELSE CASE c.latest_grade WHEN 'A' THEN 3.0 WHEN 'B' THEN 2.0 WHEN 'C' THEN 1.0
-                   ELSE 0.0 END END::DOUBLE * coalesce(l.match, CAST(0.05 AS DOUBLE)) AS w
+                   ELSE 0.0 END END::DOUBLE AS safety
   FROM params p CROSS JOIN cells c
   LEFT JOIN lmm l ON l.req_id = p.req_id AND l.label = c.cuisine
-  LEFT JOIN mx ON mx.req_id = p.req_id),
-raw AS (SELECT req_id, row, col, sum(w) AS r FROM pw GROUP BY 1, 2, 3 HAVING sum(w) > 0),
-k(d, kw) AS ({_kernel_sql()}),
-b1 AS (SELECT req_id, t AS row, col, sum(r * kw) AS r
-       FROM raw, k, LATERAL (SELECT unnest([row - d, -row - 1 - d, {2 * _ROWS - 1} - row - d]) AS t)
-       WHERE t >= 0 AND t < {_ROWS} GROUP BY 1, 2, 3),
-b2 AS (SELECT req_id, row, t AS col, sum(r * kw) AS r
-       FROM b1, k, LATERAL (SELECT unnest([col - d, -col - 1 - d, {2 * _COLS - 1} - col - d]) AS t)
-       WHERE t >= 0 AND t < {_COLS} GROUP BY 1, 2, 3),
-n1 AS (SELECT req_id, row, col, CASE WHEN max(r) OVER (PARTITION BY req_id) > CAST(1e-8 AS DOUBLE)
-                 THEN r / max(r) OVER (PARTITION BY req_id) ELSE r END AS r FROM b2),
-pr AS (SELECT n1.req_id, row, col, r * exp(-(d2) / (CAST(2.0 AS DOUBLE) * sg * sg)) AS r FROM (
-         SELECT n1.*, greatest(p.sigma_km, CAST(0.1 AS DOUBLE)) AS sg,
-                (sqrt(((row - p.start_row) * CAST({K.METRES_PER_ROW} AS DOUBLE))
-                        * ((row - p.start_row) * CAST({K.METRES_PER_ROW} AS DOUBLE))
-                      + ((col - p.start_col) * CAST({K.METRES_PER_COL} AS DOUBLE))
-                        * ((col - p.start_col) * CAST({K.METRES_PER_COL} AS DOUBLE)))
-                 / CAST(1000.0 AS DOUBLE)) AS dk
-         FROM n1 JOIN params p ON p.req_id = n1.req_id) n1, LATERAL (SELECT dk * dk AS d2)),
-n2 AS (SELECT req_id, row, col, CASE WHEN max(r) OVER (PARTITION BY req_id) > CAST(1e-8 AS DOUBLE)
-                 THEN r / max(r) OVER (PARTITION BY req_id) ELSE r END AS r FROM pr)"""
+  LEFT JOIN mx ON mx.req_id = p.req_id))"""
+
+GRADE_REWARD_SQL = GRADE_PAIRS_SQL + smooth_sql(_kernel_sql())
 
 
 @register("grade_reward_grid", GRADE_REWARD_SQL + """
@@ -147,22 +127,27 @@ def _flat(res):
                       "reference_name")
 
 
-@register("area_search_grades")
+GRADE_PLAN_SQL = recursive(GRADE_REWARD_SQL) + plan_sql()
+_TOP_GRADES_SQL = "SELECT req_id, label, match FROM lmm"
+
+
+@register("area_search_grades", GRADE_PLAN_SQL + result_sql(_TOP_GRADES_SQL))
 def area_search_grades(spark, sf_dir):
     res, _plan = _area_grades(spark, sf_dir)
     return _flat(res)
 
 
 @register("request_presets", "WITH " + REQUESTS_SQL + f"""
-SELECT req_id, preset, {_preset_sql(1)} AS walk_km, {_preset_sql(2)} AS gamma, CAST({_preset_sql(3)} AS INTEGER) AS max_steps,
-       {_preset_sql(4)} AS sigma_km FROM req""")
+SELECT req_id, preset, {sql_preset(1)} AS walk_km, {sql_preset(2)} AS gamma, CAST({sql_preset(3)} AS INTEGER) AS max_steps,
+       {sql_preset(4)} AS sigma_km FROM req""")
 def request_presets(spark, sf_dir):
     """IO7: the lookup table of walk presets, joined to the requests."""
     p = presets_table(spark).withColumnRenamed("name", "preset")
     return requests(spark, sf_dir).select("req_id", "preset").join(p, "preset")
 
 
-@register("area_destinations")
+@register("area_destinations", GRADE_PLAN_SQL + destination_sql() + """
+SELECT req_id, camis, round(safety, 6) AS safety, round(w, 6) AS weighted FROM dest""")
 def area_destinations(spark, sf_dir):
     """The contributing entities around every destination, as rows."""
     _res, plan = _area_grades(spark, sf_dir)
@@ -171,21 +156,23 @@ def area_destinations(spark, sf_dir):
                                                         F.round("weighted", 6).alias("weighted"))
 
 
-@register("area_warnings")
+@register("area_warnings", GRADE_PLAN_SQL + warning_sql() + """
+SELECT req_id, camis FROM warned""")
 def area_warnings(spark, sf_dir):
     """The entities of the lowest grade along every path, as rows."""
     _res, plan = _area_grades(spark, sf_dir)
     return SR.path_warnings(requests(spark, sf_dir), _entities(spark, sf_dir), plan).select("req_id", "camis")
 
 
-@register("value_paths")
+@register("value_paths", GRADE_PLAN_SQL + """
+SELECT req_id, step, row, col, round(v, 9) AS v FROM paths""")
 def value_paths(spark, sf_dir):
     _res, plan = _area_grades(spark, sf_dir)
     return plan.where(F.col("kind") == "path").select("req_id", "step", "row", "col",
                                                       F.round("v", 9).alias("v"))
 
 
-@register("heat_map")
+@register("heat_map", GRADE_PLAN_SQL + heat_sql())
 def heat_map(spark, sf_dir):
     _res, plan = _area_grades(spark, sf_dir, heat=True)
     return G.heat_extract(plan).withColumn("v", F.round("v", 9))
@@ -196,7 +183,7 @@ def _direct_sql(safety_ctes: str) -> str:
     return _ENT_MATCH_SQL + safety_ctes + f""",
 em AS (SELECT req_id, camis, {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} AS match
        FROM esims),
-dparams AS (SELECT *, {_preset_sql(1)} AS walk_km, {_preset_sql(4)} AS sigma_km FROM req),
+dparams AS (SELECT *, {sql_preset(1)} AS walk_km, {sql_preset(4)} AS sigma_km FROM req),
 dcand AS (
   SELECT p.req_id, e.camis, e.latest_grade, abs(e.latitude - p.lat) > 1e-7 AND abs(e.longitude - p.lng) > 1e-7 AS corner, p.query, p.danger_filter, p.walk_km, p.sigma_km,
          sqrt(((e.latitude - p.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
@@ -244,7 +231,39 @@ def _entities(spark, sf_dir):
     return cut_lineage(entity_table(spark, sf_dir))
 
 
-@register("area_search_model")
+_SAFE_BLEND_SQL = _GRADED_SQL + blend_ctes()
+
+#: (req_id, camis, row, col, safety, w) of every pair under the model reward.
+MODEL_REWARD_SQL = _ENT_MATCH_SQL + _EM_SQL + _LAB_SQL + _LABEL_TAIL_SQL + _SAFE_BLEND_SQL + _PARAMS_SQL + f""",
+mx AS (SELECT req_id, max(match) AS mx FROM lmx GROUP BY req_id),
+pw AS (
+  SELECT p.req_id, c.camis, c.row, c.col, CASE WHEN c.latest_grade = 'C' AND p.danger_filter THEN CAST(0.0 AS DOUBLE) ELSE s.safety_score END AS safety,
+         CASE WHEN c.latest_grade = 'C' AND p.danger_filter THEN CAST(0.0 AS DOUBLE) ELSE s.safety_score END
+         * CASE WHEN NOT {sql_blank('p.query')} AND p.importance > 0
+                     AND coalesce(l.match, CAST(0.05 AS DOUBLE)) < p.importance * mx.mx THEN CAST(0.0 AS DOUBLE)
+                ELSE coalesce(em.match, CASE WHEN {sql_blank('p.query')} THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.05 AS DOUBLE) END) END AS w
+  FROM params p CROSS JOIN cells c JOIN safe s ON s.camis = c.camis
+  LEFT JOIN em ON em.req_id = p.req_id AND em.camis = c.camis
+  LEFT JOIN lmx l ON l.req_id = p.req_id AND l.label = c.cuisine
+  LEFT JOIN mx ON mx.req_id = p.req_id)""" + smooth_sql(_kernel_sql())
+
+
+def _model_context(spark, sf_dir):
+    ent, req = _entities(spark, sf_dir), requests(spark, sf_dir)
+    return ent, req, SR.text_context(req, ent)
+
+
+@register("model_reward_grid", MODEL_REWARD_SQL + """
+SELECT req_id, row, col, round(r, 9) AS r FROM n2 WHERE round(r, 9) > 0""")
+def model_reward_grid(spark, sf_dir):
+    """The reward of model scores, aggregated below the similarity join."""
+    ent, req, ctx = _model_context(spark, sf_dir)
+    r = SR.model_reward(G.with_preset(req), G.entity_cells(ent), _safety(spark, sf_dir, ent), ctx)
+    return r.select("req_id", "row", "col", F.round("r", 9).alias("r")).where(F.col("r") > 0)
+
+
+@register("area_search_model", recursive(MODEL_REWARD_SQL) + plan_sql() + result_sql(
+    "SELECT req_id, label, match FROM lmx", "SELECT req_id, dba AS reference_name FROM refs JOIN ent ON ent.camis = ref_entity"))
 def area_search_model(spark, sf_dir):
     ent = _entities(spark, sf_dir)
     res, _plan = SR.area_search_model(requests(spark, sf_dir), ent, _safety(spark, sf_dir, ent))

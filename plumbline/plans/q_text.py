@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.columns import char_wb_grams, normalise_name
+from plumbline.operators import grid as G
 from plumbline.operators import match as MT
 from plumbline.operators import text as X
 from plumbline.plans.catalog import register
 from plumbline.plans.q_entity import ENTITY_CTES, entity_table
 from plumbline.plans.standins import REQUESTS_SQL, requests, table
+from plumbline.session import cut_lineage
 
 # --- SQL building blocks (DuckDB) --------------------------------------------------
 
@@ -56,6 +58,17 @@ def sql_blank(q: str) -> str:
     return f"({q} IS NULL OR {sql_trim(q)} = '')"
 
 
+def sql_preset(i: int) -> str:
+    default = next(p[i] for p in K.WALK_PRESETS if p[0] == K.DEFAULT_PRESET)
+    return ("coalesce(CASE preset " + " ".join(f"WHEN '{p[0]}' THEN CAST({p[i]} AS DOUBLE)"
+                                               for p in K.WALK_PRESETS)
+            + f" END, CAST({default} AS DOUBLE))")
+
+
+def sql_walk_km() -> str:
+    return sql_preset(1)
+
+
 def sql_scale(sim: str, mx: str) -> str:
     return (f"CASE WHEN {mx} < CAST(1e-8 AS DOUBLE) THEN CAST(0.05 AS DOUBLE) ELSE "
             f"CAST(0.05 AS DOUBLE) + CAST(0.95 AS DOUBLE) * ({sim} / {mx}) END")
@@ -201,37 +214,79 @@ esims AS (SELECT q.doc AS req_id, e.doc AS camis, sum(q.w * e.w) AS sim
           FROM qv q JOIN e_vec e ON e.gram = q.gram GROUP BY 1, 2)"""
 
 
-@register("entity_match", _ENT_MATCH_SQL + f"""
+_EM_SQL = f""",
+em AS (SELECT req_id, camis, {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} AS match
+       FROM esims)"""
+
+#: Pairs within reach, as the direct ranking asks for them (any match, the default included).
+_NEAR_SQL = f""",
+near AS (
+  SELECT r.req_id, e.camis, {sql_blank('r.query')} AS blank
+  FROM (SELECT *, {sql_walk_km()} AS walk_km FROM req) r CROSS JOIN ent e
+  WHERE e.latitude BETWEEN {K.LAT_MIN} AND {K.LAT_MAX} AND e.longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX}
+    AND sqrt(((e.latitude - r.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE)) * ((e.latitude - r.lat) * CAST({K.METRES_PER_DEG_LAT} AS DOUBLE))
+           + ((e.longitude - r.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE)) * ((e.longitude - r.lng) * CAST({K.METRES_PER_DEG_LNG} AS DOUBLE)))
+        / CAST(1000.0 AS DOUBLE) <= r.walk_km * CAST(1.5 AS DOUBLE))"""
+
+
+def _text_match(spark, sf_dir):
+    ent = cut_lineage(entity_table(spark, sf_dir))
+    req = requests(spark, sf_dir)
+    model, vecs = MT.entity_text_model(ent)
+    return req, ent, MT.text_match(req, cut_lineage(model), vecs, X.detect_reference(req, ent))
+
+
+@register("entity_match", _ENT_MATCH_SQL + _EM_SQL + _NEAR_SQL + """
+SELECT n.req_id, n.camis, round(coalesce(em.match, CASE WHEN blank THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.05 AS DOUBLE) END), 9) AS match
+FROM near n LEFT JOIN em ON em.req_id = n.req_id AND em.camis = n.camis""")
+def entity_match(spark, sf_dir):
+    """T14 for the pairs that a ranking asks for: entities within reach of a request."""
+    req, ent, tm = _text_match(spark, sf_dir)
+    near = G.direct_candidates(G.with_preset(req), G.entity_cells(ent)).select("req_id", "camis")
+    return MT.match_pairs(tm, near).select("req_id", "camis", F.round("match", 9).alias("match"))
+
+
+@register("entity_match_top", _ENT_MATCH_SQL + _EM_SQL + """
+SELECT req_id, camis, round(match, 9) AS match, rank FROM (
+  SELECT em.req_id, em.camis, em.match, row_number() OVER (PARTITION BY em.req_id ORDER BY round(esims.sim, 12) DESC, em.camis) AS rank
+  FROM em JOIN esims ON esims.req_id = em.req_id AND esims.camis = em.camis) WHERE rank <= 30""")
+def entity_match_top(spark, sf_dir):
+    """T14 + W8: the 30 best matches of every request, by max-score pruning."""
+    _req, _ent, tm = _text_match(spark, sf_dir)
+    return MT.entity_match_top(tm, 30).select("req_id", "camis", F.round("match", 9).alias("match"), "rank")
+
+
+@register("entity_match_all", _ENT_MATCH_SQL + f"""
 SELECT req_id, camis, round({sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')}, 9) AS match
 FROM esims""")
-def entity_match(spark, sf_dir):
+def entity_match_all(spark, sf_dir):
     ent = entity_table(spark, sf_dir)
     model, vecs = MT.entity_text_model(ent)
     m = MT.entity_match(requests(spark, sf_dir), model, vecs, _refs(spark, sf_dir))
     return m.select("req_id", "camis", F.round("match", 9).alias("match"))
 
 
-_ENT_LABEL_SQL = _REF_SQL + _ENT_MODEL_SQL + _LAB_SQL + """,
+_LABEL_TAIL_SQL = """,
 ld AS (SELECT label AS doc, lower(label) AS text FROM lab),""" + sql_tf("l", "ld") + "," \
     + sql_vec("l", "e_model") + f""",
 rl AS (SELECT r.req_id, coalesce(e.cuisine, '') AS ref_label FROM refs r JOIN ent e
        ON e.camis = r.ref_entity),
-qd AS (SELECT req_id AS doc, {sql_expand('query')} AS text FROM req
-       WHERE NOT {sql_blank('query')} AND req_id NOT IN (SELECT req_id FROM rl)),""" \
-    + sql_tf("q", "qd") + "," + sql_vec("q", "e_model") + f""",
 sims AS (SELECT q.doc AS req_id, l.doc AS label, sum(q.w * l.w) AS sim
          FROM q_vec q JOIN l_vec l ON l.gram = q.gram GROUP BY 1, 2),
 full_ AS (SELECT r.req_id, {sql_blank('r.query')} AS blank, lab.label, rl.ref_label,
                  coalesce(s.sim, CAST(0 AS DOUBLE)) AS sim
           FROM req r CROSS JOIN lab LEFT JOIN sims s ON s.req_id = r.req_id AND s.label = lab.label
           LEFT JOIN rl ON rl.req_id = r.req_id),
-lm AS (
-SELECT req_id, label, round(CASE WHEN blank THEN CAST(1.0 AS DOUBLE)
+lmx AS (
+SELECT req_id, label, CASE WHEN blank THEN CAST(1.0 AS DOUBLE)
          WHEN ref_label IS NOT NULL THEN
            CASE WHEN label = ref_label THEN CAST(1.0 AS DOUBLE)
                 WHEN contains(lower(label), lower(ref_label)) OR contains(lower(ref_label), lower(label))
                   THEN CAST(0.6 AS DOUBLE) ELSE CAST(0.08 AS DOUBLE) END
-         ELSE {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} END, 9) AS match FROM full_)"""
+         ELSE {sql_scale('sim', 'max(sim) OVER (PARTITION BY req_id)')} END AS match FROM full_)"""
+
+_ENT_LABEL_SQL = _ENT_MATCH_SQL + _LAB_SQL + _LABEL_TAIL_SQL + """,
+lm AS (SELECT req_id, label, round(match, 9) AS match FROM lmx)"""
 
 
 def _entity_label_match(spark, sf_dir):
