@@ -147,7 +147,7 @@ def entity_match(requests: DataFrame, model: DataFrame, ent_vecs: DataFrame,
     a blank query, else 0.05, exactly what the scaling gives a zero similarity).
     """
     asked, v = request_vectors(requests, model, ent_vecs, refs, req_id, query)
-    sims = X.sparse_cosine(v, ent_vecs, "ask", "ent")
+    sims = X.sparse_cosine(v, ent_vecs, "ask", "ent").withColumn("sim", F.round("sim", SP.SIM_DIGITS))
     out = X.scale_matches(sims, "ask").join(asked.select("req", "ask"), "ask")
     return out.select(F.col("req").alias(req_id), F.col("ent").alias(id_col), "match")
 

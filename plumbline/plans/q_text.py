@@ -210,7 +210,7 @@ qd AS (SELECT req_id AS doc, {sql_expand('query')} AS text FROM req
     + sql_tf("q", "qd") + "," + sql_vec("q", "e_model") + """,
 qv AS (SELECT doc, gram, w FROM q_vec
        UNION ALL SELECT r.req_id, v.gram, v.w FROM refs r JOIN e_vec v ON v.doc = r.ref_entity),
-esims AS (SELECT q.doc AS req_id, e.doc AS camis, sum(q.w * e.w) AS sim
+esims AS (SELECT q.doc AS req_id, e.doc AS camis, round(sum(q.w * e.w), 12) AS sim
           FROM qv q JOIN e_vec e ON e.gram = q.gram GROUP BY 1, 2)"""
 
 
@@ -248,7 +248,7 @@ def entity_match(spark, sf_dir):
 
 @register("entity_match_top", _ENT_MATCH_SQL + _EM_SQL + """
 SELECT req_id, camis, round(match, 9) AS match, rank FROM (
-  SELECT em.req_id, em.camis, em.match, row_number() OVER (PARTITION BY em.req_id ORDER BY round(esims.sim, 12) DESC, em.camis) AS rank
+  SELECT em.req_id, em.camis, em.match, row_number() OVER (PARTITION BY em.req_id ORDER BY esims.sim DESC, em.camis) AS rank
   FROM em JOIN esims ON esims.req_id = em.req_id AND esims.camis = em.camis) WHERE rank <= 30""")
 def entity_match_top(spark, sf_dir):
     """T14 + W8: the 30 best matches of every request, by max-score pruning."""
