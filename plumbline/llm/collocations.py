@@ -46,7 +46,7 @@ from plumbline.llm.common import groups, in_arrow, mix, slices, table, written
 
 MIN_COUNT, TOP, COVERED_PERCENT = 10, 2000, 50
 RUN_BYTES, HELD_BYTES, BLOCK_WORDS = 6 << 20, 32 << 20, 1 << 20
-GROUP_ROWS, MAX_PREFIXES = 4 << 20, 1 << 20
+GROUP_ROWS, MAX_PREFIXES = 1 << 20, 1 << 20
 BITS = 21                      # of a word's number: a block has at most BLOCK_WORDS + 2 words
 LOW = (1 << BITS) - 1
 MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
@@ -168,6 +168,12 @@ def prefix_hash(lang: str, *parts: np.ndarray) -> np.ndarray:
     return h
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def _runs(v: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1]))) if len(v) else np.zeros(0, int)
@@ -177,7 +183,7 @@ def _heavy(least: float):
     """Prefixes of one and two words holding at least ``least`` rows of a block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, words, body in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for lang, words, body in _each(batch):
                 code, _ = unpacked(body)
                 out_w, out_h, out_n = [], [], []
                 hashes = None
@@ -224,7 +230,7 @@ def _routed(plan, n_groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split1, split2 = plan.value
         for batch in batches:
-            for lang, known, body in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for lang, known, body in _each(batch):
                 code, count = unpacked(body)
                 words = entries(known)
                 h = word_hashes(words)
