@@ -31,6 +31,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -367,12 +368,14 @@ def collocations(df: DataFrame, min_count: int = MIN_COUNT, covered: int = COVER
               .withColumn("score", F.expr("over div under")))
     best = (scored.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
             .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
-    # the best of every share of a language first, so that no language is sorted in one task
+    # the best of every share of a language first, then of some shares together, so that
+    # no language is sorted in one task
     order = [F.desc("score"), F.desc("a"), "phrase"]
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best = best.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(shares)))
-    best = best.withColumn("rank", F.row_number().over(W.partitionBy("lang", "share").orderBy(*order))).filter(F.col("rank") <= top)
-    best = best.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
+    for together in (shares, math.isqrt(shares) + 1, 1):
+        best = best.withColumn("share", F.col("share") % together)
+        best = best.withColumn("rank", F.row_number().over(W.partitionBy("lang", "share").orderBy(*order))).filter(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("int").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
