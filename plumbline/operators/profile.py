@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
+from plumbline.operators import ranges as R
 from plumbline.functions.columns import address, grade_colour, trim_all_space
 
 
@@ -125,28 +126,25 @@ def missing_profile(df: DataFrame, cols=None, only_missing=True) -> DataFrame:
     return out.where(F.col("n_missing") > 0) if only_missing else out
 
 
-def describe(df: DataFrame, cols, exact: bool = True, digits: int = 2) -> DataFrame:
+def describe(df: DataFrame, cols, digits: int = 2) -> DataFrame:
     """Count, mean, sample std, min, quartiles (exact, linear), max.
 
-    ``exact=False`` switches to ``percentile_approx`` (bounded memory for
-    very large continuous columns, not equal to the exact quartiles).
+    The quartiles come from counts per distinct value and offsets between ranges
+    of values (``ranges.quantiles``): no buffer holds a column's values.
     """
+    cols = list(cols)
     parts = []
-    for c in cols:
+    for i, c in enumerate(cols):
         x = F.col(c)
-        if exact:
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>")
         parts.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"),
+            F.lit(i).alias("f"), F.lit(c).alias("column"), F.count(x).alias("count"),
             F.round(F.avg(x), digits).alias("mean"), F.round(F.stddev_samp(x), digits).alias("std"),
             F.round(F.min(x), digits).cast("double").alias("min"),
-            F.round(q[0], digits).alias("p25"), F.round(q[1], digits).alias("p50"),
-            F.round(q[2], digits).alias("p75"),
-            F.round(F.max(x), digits).cast("double").alias("max")).alias(f"d_{c}"))
-    agg = df.agg(*parts)
-    return agg.select(F.explode(F.array(*[F.col(f"d_{c}") for c in cols])).alias("d")).select("d.*")
+            F.round(F.max(x), digits).cast("double").alias("max")).alias(f"d_{i}"))
+    agg = df.agg(*parts).select(F.explode(F.array(*[F.col(f"d_{i}") for i in range(len(cols))])).alias("d")).select("d.*")
+    at = lambda q, name: F.round(F.max(F.when(F.col("q") == q, F.col("t"))), digits).alias(name)
+    quart = R.quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("f").agg(at(0.25, "p25"), at(0.5, "p50"), at(0.75, "p75"))
+    return agg.join(quart, "f", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, c: str, bins: int, by: str | None = None) -> DataFrame:
