@@ -14,9 +14,15 @@ def col_(c: str | Column) -> Column:
 
 # --- cleaning (P2-P8) --------------------------------------------------------
 
+#: The characters of the Unicode property White_Space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def trim_all_space(c: str | Column) -> Column:
-    """Strip every kind of white space at both ends (``trim`` only strips blanks)."""
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    """Strip every kind of white space at both ends (``trim`` only strips blanks);
+    each end is looked at once, however many blanks lie inside."""
+    return F.btrim(col_(c), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: str | Column) -> Column:

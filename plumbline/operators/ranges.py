@@ -70,3 +70,13 @@ def quantiles(df: DataFrame, cols, shares: list[float]) -> DataFrame:
     counts = long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("piece", piece_of(F.col("v"), F.col("f"), cuts))
     run = running(counts, ["f"], "v", ["n"])
     return quantile_rows(run, "v", F.col("n"), F.col("upto_n"), F.col("total_n"), shares).select("f", "q", "t")
+
+
+def number_rows(df: DataFrame, key: str, out: str) -> DataFrame:
+    """``df`` with ``out``, 0, 1, ... without gaps over its distinct keys: numbered
+    by hash pieces, with the pieces' offsets from a table of PIECES counts."""
+    d = df.withColumn("_piece", F.pmod(F.xxhash64(key), F.lit(PIECES)))
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    off = d.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")).select("_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = F.row_number().over(Window.partitionBy("_piece").orderBy(key))
+    return d.join(off, "_piece").withColumn(out, (F.col("_off") + own - 1).cast("int")).drop("_piece", "_off")

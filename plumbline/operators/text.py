@@ -103,6 +103,8 @@ def entity_document(name="dba", label="cuisine", area="boro") -> Column:
     return F.lower(F.concat(part(name), F.lit(" "), part(label), F.lit(" "), part(area)))
 
 
+NAME_PART = 20_000  # names of one trigram that one task checks
+
 # --- T12 / J7: reference-name detection ------------------------------------------
 
 def _query_tokens(requests: DataFrame, req_id: str, query: str) -> DataFrame:
@@ -121,8 +123,8 @@ def detect_reference(requests: DataFrame, entities: DataFrame, req_id="req_id",
 
     Exact, with equi-joins only: "name inside token" joins every substring
     (length >= 3) of the short query tokens to the names; "token inside
-    name" joins each token's first trigram to an index of name trigrams and
-    then checks ``contains``.
+    name" joins each token's rarest trigram to an index of name trigrams and
+    then checks ``contains``, once per distinct token.
     """
     toks = _query_tokens(requests, req_id, query)
     names = entities.select(F.col(order).alias("ent"),
@@ -135,13 +137,24 @@ def detect_reference(requests: DataFrame, entities: DataFrame, req_id="req_id",
         lambda L: F.transform(F.sequence(F.lit(1), F.length("token") - L + F.lit(1)),
                               lambda i: F.substring(F.col("token"), i, L))))).alias("nm")).distinct()
     a = subs.join(names, "nm").select("req", "tokpos", "token", "ent", "nm")
-    # token inside name: trigram index of names
-    tri = names.select("ent", "nm", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length("nm") - F.lit(2)),
-        lambda i: F.substring(F.col("nm"), i, 3)))).alias("tri"))
-    tt = toks.select("req", "tokpos", "token", F.substring("token", 1, 3).alias("tri"))
-    b = tt.join(tri, "tri").where(F.contains(F.col("nm"), F.col("token"))) \
-          .select("req", "tokpos", "token", "ent", "nm")
+    # token inside name: a name that holds the token holds each of its trigrams, so the
+    # token's rarest one is looked up; a long list of names is cut into parts
+    def trigrams(c: str) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(c) - F.lit(2)), lambda i: F.substring(F.col(c), i, 3))
+    tri = names.select("ent", "nm", F.explode(F.array_distinct(trigrams("nm"))).alias("tri"))
+    sizes = tri.groupBy("tri").agg(F.count(F.lit(1)).alias("names"))
+    tt = toks.select("token", F.explode(F.array_distinct(trigrams("token"))).alias("tri")).distinct()
+    # a trigram that no name holds settles its token
+    rare = tt.join(sizes, "tri", "left").groupBy("token").agg(
+        F.min_by(F.struct("tri", "names"), F.struct(F.coalesce("names", F.lit(0)), "tri")).alias("r")) \
+        .where(F.col("r.names").isNotNull()).select("token", "r.tri", F.ceil(F.col("r.names") / F.lit(NAME_PART)).cast("int").alias("parts"))
+    used = rare.groupBy("tri").agg(F.max("parts").alias("parts"))
+    lists = tri.join(used, "tri").withColumn("part", F.pmod(F.xxhash64("ent"), F.col("parts").cast("long")))
+    hits = rare.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))) \
+        .join(lists.drop("parts"), ["tri", "part"]).where(F.contains(F.col("nm"), F.col("token"))).select("token", "ent", "nm")
+    # of the names that hold a token only the best can win: the score is the token's length for all of them
+    hits = hits.groupBy("token").agg(F.min_by(F.struct("ent", "nm"), "ent").alias("h")).select("token", "h.*")
+    b = toks.join(hits, "token").select("req", "tokpos", "token", "ent", "nm")
     cand = a.unionByName(b).distinct().withColumn(
         "score", F.least(F.length("token"), F.length("nm")))
     best = cand.groupBy("req").agg(F.max_by(F.struct("score", "ent"),

@@ -19,7 +19,7 @@ from plumbline.plans.q_text import (REQUESTS_SQL, _EM_SQL, _ENT_MATCH_SQL, _LAB_
 from plumbline.plans.search_sql import destination_sql, heat_sql, plan_sql, recursive, result_sql, smooth_sql, warning_sql
 from plumbline.plans.standins import entity_coordinates, requests, table
 from plumbline.session import cut_lineage
-from plumbline.sources.files import edges_from_rings, presets_table
+from plumbline.sources.files import at_places, edges_from_rings, presets_table
 
 _ROWS, _COLS = K.GRID_ROWS, K.GRID_COLS
 
@@ -146,6 +146,30 @@ def request_presets(spark, sf_dir):
     return requests(spark, sf_dir).select("req_id", "preset").join(p, "preset")
 
 
+_PLACES_SQL = "SELECT unnest([" + ", ".join(
+    "{'i': %d, 'place': '%s', 'plat': CAST(%r AS DOUBLE), 'plng': CAST(%r AS DOUBLE)}" % (i, n.replace("'", "''"), lat, lng)
+    for i, (n, lat, lng) in enumerate(K.PLACES)) + "], recursive := true)"
+
+
+@register("place_starts", ENTITY_CTES + "," + REQUESTS_SQL + f""",
+pla AS ({_PLACES_SQL}),
+sta AS (SELECT req_id, coalesce(plat, lat) AS lat, coalesce(plng, lng) AS lng
+       FROM req LEFT JOIN pla ON pla.i = req_id % {len(K.PLACES) + 2})
+SELECT sta.req_id, {sql_row("sta.lat")} AS start_row, {sql_col("sta.lng")} AS start_col, count(e.camis) AS n_entities
+FROM sta LEFT JOIN ent e ON e.latitude BETWEEN {K.LAT_MIN} AND {K.LAT_MAX} AND e.longitude BETWEEN {K.LNG_MIN} AND {K.LNG_MAX}
+  AND abs({sql_row('e.latitude')} - {sql_row('sta.lat')}) <= 2 AND abs({sql_col('e.longitude')} - {sql_col('sta.lng')}) <= 2
+GROUP BY 1, 2, 3""")
+def place_starts(spark, sf_dir):
+    """IO7: requests that start at a named place, with the entities around it."""
+    req = requests(spark, sf_dir)
+    names = F.array(*[F.lit(n) for n, _lat, _lng in K.PLACES])
+    req = req.withColumn("place", F.get(names, (F.col("req_id") % (len(K.PLACES) + 2)).cast("int")))
+    start = G.with_preset(at_places(req)).select("req_id", F.col("start_row").alias("dest_row"), F.col("start_col").alias("dest_col"))
+    near = G.near_destination(start, G.entity_cells(entity_table(spark, sf_dir))).groupBy("req_id").agg(F.count(F.lit(1)).alias("n"))
+    return start.join(near, "req_id", "left").select("req_id", F.col("dest_row").alias("start_row"), F.col("dest_col").alias("start_col"),
+                                                     F.coalesce("n", F.lit(0)).alias("n_entities"))
+
+
 @register("area_destinations", GRADE_PLAN_SQL + destination_sql() + """
 SELECT req_id, camis, round(safety, 6) AS safety, round(w, 6) AS weighted FROM dest""")
 def area_destinations(spark, sf_dir):

@@ -164,3 +164,16 @@ def presets_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(K.WALK_PRESETS,
                                  "name string, walk_km double, gamma double, max_steps int, "
                                  "sigma_km double")
+
+
+def places_table(spark: SparkSession) -> DataFrame:
+    """The named places to start from."""
+    return spark.createDataFrame(K.PLACES, "place string, lat double, lng double")
+
+
+def at_places(requests: DataFrame, place: str = "place") -> DataFrame:
+    """Requests that name a place instead of a position: the place's position, and
+    the given one where no place, or an unknown one, is named."""
+    p = places_table(requests.sparkSession).select(F.col("place").alias("_p"), F.col("lat").alias("_lat"), F.col("lng").alias("_lng"))
+    j = requests.join(p, F.col(place) == F.col("_p"), "left")
+    return j.withColumn("lat", F.coalesce("_lat", "lat")).withColumn("lng", F.coalesce("_lng", "lng")).drop("_p", "_lat", "_lng")
