@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 PIECES = 64
 
 
-def cut_points(df: DataFrame, cols, pieces: int = PIECES) -> list[list[float]]:
-    """Ascending, distinct cuts of each column's rows into about ``pieces`` equal
-    ranges (``pieces - 1`` numbers a column, read in one job)."""
-    shares = [i / pieces for i in range(1, pieces)]
+def cut_points(df: DataFrame, cols) -> list[list[float]]:
+    """Ascending, distinct cuts of each column's rows into about PIECES equal
+    ranges (PIECES - 1 numbers a column, read in one job)."""
+    shares = [i / PIECES for i in range(1, PIECES)]
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 1000).alias(f"c{i}") for i, c in enumerate(cols)]).first()
     return [sorted(set(row[f"c{i}"] or [])) for i in range(len(cols))]
 

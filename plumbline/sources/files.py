@@ -7,7 +7,7 @@ schema.  Writers are plain ``DataFrameWriter`` calls.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,21 +15,74 @@ from plumbline.functions import constants as K
 
 
 #: Quotes inside a quoted value are doubled; a quoted value may hold commas and
-#: line breaks.  Such a file is read by one task; many files are read in parallel.
+#: line breaks.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "PERMISSIVE"}
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(f, i, record): the records of quoted CSV files, every file read by as many
+    tasks as it has byte ranges.
+
+    A line break ends a record unless an odd number of quotes lies before it in
+    the file.  Quotes are counted per line; a range's own parity comes from the
+    counts of the ranges before it, one number each, and the lines of a range then
+    fall into records by running counts.  Only what a record has beyond its
+    range's end, one piece a range at most, is put together across ranges.  ``i``
+    grows in file order; blank lines between records are dropped.  (Quotes must
+    be balanced, as writers leave them.)
+    """
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("at"),
+        ((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2).alias("odd"))
+    in_file = Window.partitionBy("f").orderBy("block")                # one row a range
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    parity = lines.groupBy("f", "block").agg(F.sum("odd").alias("odd")).select(
+        "f", "block", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("odd_before"))
+    own = Window.partitionBy("f", "block").orderBy("at")
+    so_far = own.rowsBetween(Window.unboundedPreceding, -1)
+    starts = ((F.col("odd_before") + F.coalesce(F.sum("odd").over(so_far), F.lit(0))) % 2 == 0).cast("int")
+    marked = lines.join(parity, ["f", "block"]).select(
+        "f", "block", "value", starts.alias("starts"), (F.row_number().over(own) - 1).cast("long").alias("no"))
+    marked = marked.withColumn("r", F.sum("starts").over(Window.partitionBy("f", "block").orderBy("no")))
+    # pieces: r = 0 continues a record of an earlier range
+    pieces = marked.groupBy("f", "block", "r").agg(
+        F.min("no").alias("no"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "value"))), lambda x: x["value"]), "\n")
+        .alias("record"))
+    last = F.max("r").over(Window.partitionBy("f", "block"))
+    pieces = pieces.withColumn("last", F.col("r") == last)
+    whole = pieces.where((F.col("r") > 0) & ~F.col("last"))
+    # the ends of ranges: a last record and the pieces that continue it, in order
+    ends = pieces.where((F.col("r") == 0) | F.col("last"))
+    opened = F.sum((F.col("r") > 0).cast("int")).over(Window.partitionBy("f").orderBy("block", "no"))
+    joined = ends.withColumn("of", opened).groupBy("f", "of").agg(
+        F.array_sort(F.collect_list(F.struct("block", "no", "record"))).alias("p")).select(
+        "f", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["no"].alias("no"),
+        F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record"))
+    both = whole.select("f", "block", "no", "record").unionByName(joined)
+    text = F.regexp_replace("record", "\r$", "")
+    # a range holds no more lines than bytes, so numbers of its lines stay below the next range's
+    return both.select("f", (F.col("block") + F.col("no")).alias("i"), text.alias("record")).where(F.col("record") != "")
+
+
 def read_raw_csv(spark: SparkSession, path: str, with_order: bool = True) -> DataFrame:
     """IO1: header row, all columns as strings, nothing inferred.
 
     ``rid`` (file name, row position) keeps the source order used for "first
-    row wins" ties.
+    row wins" ties.  The first record of every file is its header.
     """
-    df = spark.read.options(**CSV_OPTIONS, emptyValue="").csv(path)
-    if with_order:
-        df = df.withColumn("rid", F.struct(F.input_file_name().alias("f"),
-                                           F.monotonically_increasing_id().alias("i")))
-    return df
+    names = raw_header(spark, path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    rec = csv_records(spark, path)
+    rec = rec.where(F.col("i") > 0)       # the header begins the file
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "emptyValue": "", "multiLine": "true"}
+    df = rec.select(F.struct("f", "i").alias("rid"), F.from_csv("record", _ddl(schema), options).alias("c"))
+    df = df.select(*[F.col("c").getField(c).alias(c) for c in names], "rid")
+    return df if with_order else df.drop("rid")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def raw_header(spark: SparkSession, path: str) -> list[str]:
