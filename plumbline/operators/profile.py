@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import constants as K
 from plumbline.operators import ranges as R
 from plumbline.functions.columns import address, grade_colour, trim_all_space
+from plumbline.session import cut_lineage
 
 
 # --- filters ------------------------------------------------------------------
@@ -196,12 +197,32 @@ def grade_order(c: str) -> Column:
             .otherwise(3))
 
 
+def ranked(df: DataFrame, order_cols, group=None) -> DataFrame:
+    """``rank`` (1, 2, ...) and ``n_candidates`` in each group, or in the whole table.
+
+    Rows are dealt to ranges of (group, order) and written once; a row's rank is
+    its place in its range plus what its group has in the ranges before, from a
+    table of one count per (group, range).  So neither a table without groups nor
+    a group that holds most rows is one task's sort."""
+    g = list(group or [])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(df.repartitionByRange(n, *g, *order_cols).withColumn("_range", F.spark_partition_id()))
+    ranges = Window.partitionBy(*g).orderBy("_range")
+    counts = d.groupBy(*g, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_range").alias("_of"),
+                           F.coalesce(F.sum("_n").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n_candidates"))
+    same = F.col("_range") == F.col("_of")
+    for i, c in enumerate(g):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    own = F.row_number().over(Window.partitionBy(*g, "_range").orderBy(*order_cols))
+    return d.join(counts, same).withColumn("rank", (F.col("_before") + own).cast("int")) \
+            .select(*df.columns, "rank", "n_candidates")
+
+
 def ranked_with_position(df: DataFrame, order_cols, current: int = 0, group=None) -> DataFrame:
     """Rank, number of candidates, previous/next rank with clamping."""
-    w = Window.partitionBy(*(group or [])).orderBy(*order_cols)
-    wall = Window.partitionBy(*(group or []))
-    out = df.withColumn("rank", F.row_number().over(w)).withColumn("n_candidates",
-                                                                    F.count(F.lit(1)).over(wall))
+    out = ranked(df, order_cols, group)
     cur = F.least(F.greatest(F.lit(current), F.lit(0)), F.col("n_candidates") - 1)
     return out.select("*", (cur + 1).alias("current_rank"),
                       F.greatest(cur, F.lit(1)).alias("prev_rank"),

@@ -302,6 +302,18 @@ def direct_ranking(spark, sf_dir):
                     F.round("dist_km", 9).alias("dist_km"), "n_candidates", "reference_name")
 
 
+@register("direct_label_matches", _direct_sql(_GRADE_SAFE_SQL) + _LAB_SQL + _LABEL_TAIL_SQL + f""",
+tops AS (SELECT req_id, string_agg(label, ',' ORDER BY match DESC, label) AS labels FROM (
+           SELECT lmx.* FROM lmx JOIN req ON req.req_id = lmx.req_id WHERE NOT {sql_blank('req.query')}
+           QUALIFY row_number() OVER (PARTITION BY lmx.req_id ORDER BY match DESC, label) <= 5) GROUP BY req_id)
+SELECT drk.req_id, drk.rank, drk.camis, t.labels AS best_labels FROM drk LEFT JOIN tops t ON t.req_id = drk.req_id WHERE rank <= 30""")
+def direct_label_matches(spark, sf_dir):
+    """G17 with the label matches (T15) that come with a ranking."""
+    ent, req, ctx = _model_context(spark, sf_dir)
+    r = SR.direct_ranking(req, ent, _grade_safety_frame(ent), ctx)
+    return r.select("req_id", "rank", "camis", F.array_join(F.transform("top_matches", lambda m: m["label"]), ",").alias("best_labels"))
+
+
 @register("direct_route", _direct_sql(_GRADED_SQL + blend_ctes()) + f"""
 SELECT req_id, camis, rank, round(dist_km, 9) AS dist_km,
        round(dist_km / CAST({K.WALK_SPEED_KMH} AS DOUBLE) * CAST(60.0 AS DOUBLE), 9) AS walk_minutes,

@@ -342,6 +342,23 @@ SELECT CAST(node_id AS BIGINT), 1, true, NULL, NULL, n, 0.0,
        round(c / (a + b + c + CAST(1e-12 AS DOUBLE)), 6) FROM kw"""
 
 
+_GATE_SQL = ENTITY_CTES + """,
+gf AS (SELECT """ + _TREE_COLS + """ FROM ent)
+""" + "UNION ALL".join(f"""
+SELECT '{f}' AS feature, count(*) AS n_rows, count(*) FILTER (WHERE f_{f} IS NULL OR NOT isfinite(CAST(f_{f} AS DOUBLE))) AS n_bad FROM gf
+""" for f in K.TREE_ALL_FEATURES)
+
+
+@register("feature_gate", _GATE_SQL)
+def feature_gate(spark, sf_dir):
+    """The derived features, the columns they need, and the rows that the
+    finite-value gate of a fit would reject."""
+    ent = entity_table(spark, sf_dir)
+    T.check_required(ent, K.TREE_ALL_FEATURES)
+    df, feats = T.engineer_features(ent)
+    return T.gate(df, feats)
+
+
 @register("tree_stump_grades", _stump_sql())
 def tree_stump_grades(spark, sf_dir):
     df, feats = T.engineer_features(graded_complete(spark, sf_dir))

@@ -223,3 +223,18 @@ def test_requests_at_places(spark):
     got = {r.req_id: (r.lat, r.lng) for r in S.at_places(req).collect()}
     assert got == {1: (40.8116, -73.9465), 2: (1.0, 2.0), 3: (1.0, 2.0)}
     assert S.places_table(spark).count() == 22
+
+
+def test_ranks_without_one_task_per_group(spark):
+    """A group with most rows, a null group, ties by id, and no group at all."""
+    r = random.Random(6)
+    rows = [(i, "big" if i % 10 else r.choice(["a", None]), r.choice([None, 1.0, 2.0, 3.0]) if i % 2 else r.random()) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, g string, s double")
+    order = [F.col("s").desc_nulls_last(), F.col("id")]
+    key = lambda x: (x[2] is None, -(x[2] or 0.0), x[0])
+    for group in (["g"], None):
+        got = {x.id: (x["rank"], x.n_candidates) for x in P.ranked(df, order, group).collect()}
+        for g in {x[1] for x in rows}:
+            mine = sorted((x for x in rows if group is None or x[1] == g), key=key)
+            assert all(got[x[0]] == (i + 1, len(mine)) for i, x in enumerate(mine))
+    assert P.ranked(df.where("id < 0"), order, ["g"]).count() == 0
