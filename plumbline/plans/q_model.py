@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from plumbline.functions import constants as K
 from plumbline.functions.columns import score_to_label
 from plumbline.operators import blend as B
+from plumbline.operators import labels as L
 from plumbline.operators import metrics as M
 from plumbline.operators import tree as T
 from plumbline.plans.catalog import register
+from plumbline.plans.label_sql import label_ctes
 from plumbline.plans.q_entity import ENTITY_CTES, entity_table
 from plumbline.plans.q_eval import _GRADED_SQL, _cm_sql, graded_complete
 from plumbline.plans.q_knn import _DOT, _MO, _NRM, _ZCOLS
@@ -243,40 +245,73 @@ def _part_names(spark, sf_dir):
     return rare_class_filter(p, "label", K.MIN_LABEL_COUNT)
 
 
+_PART_LABELS_SQL = """WITH
+nm AS (SELECT p_partkey AS doc, trim(regexp_replace(regexp_replace(lower(p_name), '[!-/:-@\\[-`{-~]', '', 'g'), '\\s+', ' ', 'g')) AS text,
+  p_type AS label, count(*) OVER (PARTITION BY p_type) AS nc,
+  row_number() OVER (PARTITION BY p_type ORDER BY substr(md5('42:' || CAST(p_partkey AS VARCHAR)), 1, 15), p_partkey) AS rn
+  FROM part WHERE p_type IS NOT NULL),
+sp AS (SELECT doc, text, label, CASE WHEN rn <= round(CAST(0.2 AS DOUBLE) * nc) THEN 'test' ELSE 'train' END AS split
+  FROM nm WHERE nc >= """ + str(K.MIN_LABEL_COUNT) + """),
+tr AS MATERIALIZED (SELECT doc, text, label FROM sp WHERE split = 'train'),
+te AS MATERIALIZED (SELECT doc, text, label FROM sp WHERE split = 'test'),""" + label_ctes()
+
+_DOC_LABELS_SQL = """WITH
+sp AS (SELECT doc_id AS doc, text, lang AS label, CASE WHEN lower(trim(source)) = 'src3' THEN 'test' ELSE 'train' END AS split
+  FROM documents),
+kept AS (SELECT label FROM sp WHERE split = 'train' GROUP BY label HAVING count(*) >= """ + str(K.MIN_LABEL_COUNT) + """),
+tr AS MATERIALIZED (SELECT doc, text, label FROM sp WHERE split = 'train' AND label IN (SELECT label FROM kept)),
+te AS MATERIALIZED (SELECT doc, text, label FROM sp WHERE split = 'test' AND label IN (SELECT label FROM kept)),""" + label_ctes()
+
+_SEEN_LABELS = "SELECT actual AS label FROM pr UNION SELECT predicted FROM pr"
+
+
 def _label_eval(spark, sf_dir):
-    from plumbline.operators import labels as L
     d = S.stratified_split(_part_names(spark, sf_dir), "label", "p_partkey", 0.2, 42)
     m = L.fit_label_classifier(d.where(F.col("split") == "train"), "p_partkey", "name", "label")
     test = d.where(F.col("split") == "test")
-    pred = L.predict_top3(m, test, "p_partkey", "name").join(
+    return L.predict_top3(m, test, "p_partkey", "name").join(
         test.select("p_partkey", F.col("label").alias("actual")), "p_partkey")
-    return pred
 
 
-@register("label_classifier_metrics")
+@register("label_classifier_metrics", _PART_LABELS_SQL + "," + _cm_sql("predicted", _SEEN_LABELS) + "\nSELECT * FROM m_predicted")
 def label_classifier_metrics(spark, sf_dir):
     return M.class_metrics(_label_eval(spark, sf_dir), "actual", "predicted")
 
 
-@register("label_classifier_top3")
+@register("label_classifier_top3", _PART_LABELS_SQL + """
+SELECT (SELECT round(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) FROM (
+          SELECT bool_or(label = actual AND rank <= 3) AS hit FROM lp GROUP BY doc)) AS topk_accuracy,
+       (SELECT count(*) FROM pr) AS n,
+       (SELECT round(avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) FROM pr) AS accuracy""")
 def label_classifier_top3(spark, sf_dir):
     pred = _label_eval(spark, sf_dir)
     acc = M.macro_summary(pred, "actual", "predicted").select("accuracy").scalar()
     return M.topk_hit_rate(pred, "actual", "top_labels").select("*", acc.alias("accuracy"))
 
 
-@register("label_classifier_documents")
-def label_classifier_documents(spark, sf_dir):
+def _document_labels(spark, sf_dir):
     """Whole document texts -> language, area hold-out on the source."""
-    from plumbline.operators import labels as L
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"),
-                                                    "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"), "source")
     d = S.area_split(docs, "source", "label", "src3")
     m = L.fit_label_classifier(d.where(F.col("split") == "train"), "doc_id", "text", "label")
     test = d.where(F.col("split") == "test")
-    pred = L.predict_top3(m, test, "doc_id", "text").join(
-        test.select("doc_id", F.col("label").alias("actual")), "doc_id")
-    return M.report_rows(pred, "actual", "predicted")
+    return L.predict_top3(m, test, "doc_id", "text").join(test.select("doc_id", F.col("label").alias("actual")), "doc_id")
+
+
+@register("label_classifier_documents", _DOC_LABELS_SQL + "," + _cm_sql("predicted", _SEEN_LABELS) + """
+SELECT label, precision, recall, f1, support FROM m_predicted
+UNION ALL SELECT 'macro', macro_precision, macro_recall, macro_f1, support FROM mac_predicted""")
+def label_classifier_documents(spark, sf_dir):
+    return M.report_rows(_document_labels(spark, sf_dir), "actual", "predicted")
+
+
+@register("label_classifier_probabilities", _DOC_LABELS_SQL + """
+SELECT doc AS doc_id, rank, label, round(p, 6) AS probability FROM lp WHERE rank <= 3""")
+def label_classifier_probabilities(spark, sf_dir):
+    """The three likeliest labels of every held-out text."""
+    top = F.posexplode(F.arrays_zip(F.col("top_labels").alias("l"), F.col("top_probs").alias("p"))).alias("at", "t")
+    return _document_labels(spark, sf_dir).select("doc_id", top).select(
+        "doc_id", (F.col("at") + 1).cast("long").alias("rank"), F.col("t.l").alias("label"), F.round("t.p", 6).alias("probability"))
 
 
 # --- exact SQL twin of a depth-1 tree (a stump) ------------------------------------------

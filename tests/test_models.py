@@ -1,9 +1,12 @@
-"""Rows-only models checked by properties (SURVEY §5 (c), (d))."""
+"""Models against plain versions and by properties (SURVEY §5 (c), (d))."""
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import blend as B
 from plumbline.operators import labels as L
 from plumbline.operators import split as S
+from plumbline.operators import text as X
 from plumbline.plans.q_entity import entity_table
 from plumbline.plans.standins import table
 from tests.conftest import SF001
@@ -33,3 +36,67 @@ def test_blend_scores_in_range(spark):
     assert 1.0 <= s[0] <= s[1] <= 3.0 and s[2] < 2e-4
     sc = B.safety_scores(model, ent)
     assert sc.count() == ent.count()
+
+
+def _plain_regression(x, y, k, steps, C=1.0):
+    """The same steps in floats: (features + intercept, labels) weights."""
+    n = len(y)
+    s = n / (k * np.bincount(y, minlength=k))[y]
+    x = np.hstack([x, np.ones((n, 1))])
+    w = ahead = np.zeros((x.shape[1], k))
+    reg = np.ones((x.shape[1], 1))
+    reg[-1] = 0
+    for t in range(1, steps + 1):
+        p = _softmax(x @ ahead)
+        g = x.T @ (s[:, None] * (p - np.eye(k)[y])) / n + reg * ahead / (C * n)
+        new = ahead - g / (1 + 1 / (C * n))
+        w, ahead = new, new + (t - 1) / (t + 2) * (new - w)
+    return w
+
+
+def _softmax(z):
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def test_label_steps_equal_plain_steps(spark, monkeypatch):
+    """More labels than a block, grams cut into parts, null and unseen texts."""
+    monkeypatch.setattr(L, "PART_DOCS", 7)
+    words = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove", "haven", "inlet", "jetty",
+             "knoll", "ledge", "marsh", "north", "oasis", "plaza", "quarry", "ridge", "shore", "trail"]
+    rows = [(i, f"the {words[i % 20]} {words[(i * 7) % 20]} house", f"l{i % 20:02d}") for i in range(80)]
+    train = spark.createDataFrame([*rows, (900, "no label", None), (901, None, "l00"), (902, "", "l01")], "id int, text string, y string")
+    m = L.fit_label_classifier(train, "id", "text", "y", steps=12)
+    assert m["vocab"].agg(F.max("parts")).first()[0] > 1
+    asked = spark.createDataFrame([*[r[:2] for r in rows], (901, None), (902, ""), (950, "0000 9999")], "id int, text string")
+    got = {r["id"]: r for r in L.predict_top3(m, asked, "id", "text").collect()}
+    assert len(got) == len(rows) + 3
+
+    vec = X.tfidf_transform(asked, "id", "text", m["model"]).toPandas()
+    place = {g: i for i, g in enumerate(sorted(vec["gram"].unique()))}
+    at = {i: j for j, i in enumerate([*[r[0] for r in rows], 901, 902, 950])}
+    x = np.zeros((len(at), len(place)))
+    for r in vec.itertuples():
+        x[at[r.doc], place[r.gram]] = r.w
+    y = np.array([*[i % 20 for i in range(80)], 0, 1])
+    p = _softmax(np.hstack([x, np.ones((len(x), 1))]) @ _plain_regression(x[:82], y, 20, 12))
+    for i, j in at.items():
+        best = np.argsort(-p[j], kind="stable")[:3]
+        assert np.allclose(got[i]["top_probs"], p[j][best], atol=1e-4)
+    for i in (901, 902, 950):  # the intercept alone
+        assert got[i]["top_probs"] == got[901]["top_probs"]
+
+
+def test_label_steps_near_the_optimum():
+    """30 steps against 3,000: the labels agree."""
+    r = np.random.default_rng(5)
+    y = r.integers(0, 4, 300)
+    x = r.normal(size=(300, 40)) * 0.5 + np.eye(4, 40)[y] * 2
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near, far = (np.hstack([x, np.ones((300, 1))]) @ _plain_regression(x, y, 4, n) for n in (L.STEPS, 3000))
+    assert (near.argmax(1) == far.argmax(1)).mean() >= 0.97
+
+
+def test_label_fit_needs_rows(spark):
+    with pytest.raises(ValueError, match="No labelled rows"):
+        L.fit_label_classifier(spark.createDataFrame([(1, "a", None)], "id int, t string, y string"), "id", "t", "y")
