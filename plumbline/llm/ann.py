@@ -3,24 +3,31 @@
 The measure is the largest inner product.  Vectors get one more component that
 makes all of them equally long, which turns it into the smallest distance.
 
-1. *Centroids* are fitted on a bounded sample (``SAMPLE_ROWS``, or ``LIST_SAMPLE``
-   a list if that is more) by rounds of k-means whose assignment charges crowded
-   centroids, so lists come out balanced; there is about one per ``LIST_ROWS``
-   vectors, ``MAX_LISTS`` at most.
+1. *Centroids*, about ``LISTS`` * sqrt(n) of them for n vectors, are fitted on a
+   bounded sample (``SAMPLE_ROWS``, or ``LIST_SAMPLE`` a list if that is more) by
+   rounds of k-means whose assignment charges crowded centroids, so lists come
+   out balanced.
 2. *Posting lists.*  Every vector goes to its nearest centroid, and a boundary
-   vector also to the next ones, up to ``COPIES`` in all, whose distance is at
-   most ``BOUNDARY`` times the nearest.  A long list is cut into parts of about
-   ``PART_ROWS`` vectors by a hash, so no list is one task's group.
-3. *Visits.*  How many lists a query must visit depends on the vectors and the
-   number of lists, so it is measured: the true neighbours of ``PROBES`` queries
-   are found among all posted vectors in one pass, and the fewest nearest lists
-   that hold ``RECALL`` of them (``LEAST_LISTS`` at least) are visited by everyone.
+   vector also to the next ones, up to ``COPIES`` in all.  Boundary vectors are
+   the ``SHARE`` of the sample whose two nearest centroids differ least; the
+   ratio of distances that sets them apart holds for all vectors.  A long list is
+   cut into parts of about ``PART_ROWS`` vectors by a hash, so no list is one
+   task's group.
+3. *Visits.*  How many lists a query must visit depends on the vectors, so it is
+   measured: the true neighbours of ``PROBES`` queries are found among all posted
+   vectors in one pass.  The fewest nearest lists that hold ``RECALL`` of them are
+   looked at, and the smallest distance ratio to the nearest list that holds
+   ``RATIO_RECALL`` of them selects among these; as many lists as surely hold
+   ``k`` candidates are always visited.
 4. *Search.*  A neighbour graph over the centroids, held in memory by each task,
-   is searched best-first for the ``BEAM`` nearest centroids of a query, or 1.25
-   times the visits if that is more (all centroids are compared where the graph
-   would compute as many distances); the distance ratio ``PRUNE`` then selects
-   its lists, the measured number at least.  Queries meet the parts of their lists in one shuffle, each part returns its
-   best ``k``, and these are merged per query.
+   is searched best-first from evenly spaced entries, a heap per query, for 1.25
+   times as many centroids as lists are visited and ``BEAM`` more; the distance
+   ratio then selects the lists.  Queries meet the parts of their lists in one shuffle, each part
+   returns its best ``k``, and these are merged per query.
+
+The same steps run at every size.  Vectors without structure (independent random
+directions) have their neighbours spread over most lists; then most lists must be
+visited for the recall, and little is saved over comparing all.
 
 Scores are sums of products in double precision on the original vectors.
 Identical vectors are reduced to the ``k + 1`` smallest ids before indexing:
@@ -35,6 +42,7 @@ extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,12 +56,11 @@ from plumbline.llm.common import in_arrow, table, written
 K = 20
 QUERY_EVERY = 20
 SAMPLE_ROWS, LIST_SAMPLE = 20_000, 16
-LIST_ROWS = 400
-MAX_LISTS = 4096
+LISTS = 1.0
 ROUNDS = 8
-COPIES, BOUNDARY = 4, 1.25
-LEAST_LISTS, PRUNE, BEAM, DEGREE = 40, 1.15, 96, 24
-PROBES, RECALL = 100, 0.95
+COPIES, SHARE = 4, 0.1
+DEGREE, LINKS, BEAM = 24, 4, 16
+PROBES, RECALL, RATIO_RECALL = 100, 0.97, 0.985
 PART_ROWS = 4096
 QUERY_PART = 4096
 
@@ -87,15 +94,16 @@ class Index:
         self.c, self.longest = centroids, longest
         self.sq = (centroids ** 2).sum(axis=1)
         n = len(centroids)
-        self.least = LEAST_LISTS
+        self.boundary, self.sure, self.least, self.ratio = 1.0, n, n, np.inf
         near = np.zeros((n, min(DEGREE, n - 1)), int)
         for at in range(0, n, 512):
             d = self.sq[at:at + 512, None] - 2 * centroids[at:at + 512] @ centroids.T + self.sq
             d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
             near[at:at + 512] = np.argsort(d, axis=1, kind="stable")[:, :near.shape[1]]
         ring = np.stack([np.roll(np.arange(n), s) for s in (1, -1)], axis=1)  # keeps the graph in one piece
-        self.graph = np.concatenate([near, ring], axis=1)
-        self.entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(int))
+        far = np.random.default_rng(29).integers(0, n, (n, LINKS))
+        self.graph = [np.unique(row) for row in np.concatenate([near, ring, far], axis=1)]
+        self.entries = np.unique(np.linspace(0, n - 1, int(np.ceil(2 * np.sqrt(n)))).astype(int))
 
     def lengthened(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.longest ** 2 - (x ** 2).sum(axis=1), 0.0))
@@ -110,49 +118,51 @@ class Index:
         copies = min(COPIES, d.shape[1])
         near = np.argpartition(d, copies - 1, axis=1)[:, :copies]
         dn = np.take_along_axis(d, near, axis=1)
-        take = dn <= np.maximum(BOUNDARY * dn.min(axis=1, keepdims=True), 1e-12)
+        take = dn <= np.maximum(self.boundary * dn.min(axis=1, keepdims=True), 1e-12)
         row, at = np.nonzero(take)
         return row, near[row, at]
 
     def search(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs of the lists that queries ``q`` visit: best-first
-        search of the graph, all rows in step, then pruning by distance."""
-        n, m = len(q), len(self.c)
-        beam = min(max(BEAM, -(-5 * self.least // 4)), m)
-        q = np.concatenate([q, np.zeros((n, 1))], axis=1)
-        dist = self.distances(q) ** 2 if beam * self.graph.shape[1] >= m else self.walked(q, beam)
-        order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
-        d = np.sqrt(np.maximum(np.take_along_axis(dist, order, axis=1), 0.0))
-        take = np.isfinite(d) & ((d <= PRUNE * d[:, :1]) | (np.arange(beam) < self.least))
-        row, at = np.nonzero(take)
-        return row, order[row, at]
-
-    def walked(self, q: np.ndarray, beam: int) -> np.ndarray:
-        """(query, list) squared distances that a best-first search of the graph
-        for the ``beam`` nearest centroids sees (others are infinite)."""
-        n, m = len(q), len(self.c)
-        length = (q ** 2).sum(axis=1)
-        rows = np.arange(n)
-        dist = np.full((n, m), np.inf)
-        opened = np.zeros((n, m), bool)
-
-        def see(nodes: np.ndarray) -> None:
-            d = length[:, None] - 2 * np.einsum("nd,nkd->nk", q, self.c[nodes]) + self.sq[nodes]
-            dist[rows[:, None], nodes] = d
-
-        see(np.broadcast_to(self.entries, (n, len(self.entries))))
-        for _ in range(m):
-            bound = np.partition(dist, beam - 1, axis=1)[:, beam - 1]
-            open_d = np.where(opened, np.inf, dist)
-            best = open_d.argmin(axis=1)
-            active = open_d[rows, best] <= bound
-            active &= np.isfinite(open_d[rows, best])
-            if not active.any():
+        """(row, list) pairs of the lists that queries ``q`` visit."""
+        q = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
+        rows, lists = [], []
+        for i, seeds in enumerate(self.sq[self.entries] - 2 * q @ self.c[self.entries].T):
+            d, at = self.walked(q[i], seeds, min(-(-5 * self.least // 4) + BEAM, len(self.c)))
+            d = np.sqrt(np.maximum(d + q[i] @ q[i], 0.0))[:self.least]
+            at = at[:self.least][(d <= max(self.ratio * d[0], 1e-12)) | (np.arange(len(d)) < self.sure)]
+            rows.append(np.full(len(at), i))
+            lists.append(at)
+        empty = [np.zeros(0, int)]
+        return np.concatenate(rows or empty), np.concatenate(lists or empty)
+
+    def walked(self, q: np.ndarray, seeds: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distances (less a constant) and numbers of the ``beam`` nearest centroids
+        found, nearest first: the nearest open node is opened until none is nearer
+        than the farthest of the best."""
+        seen = np.zeros(len(self.c), bool)
+        seen[self.entries] = True
+        found = list(zip(seeds.tolist(), self.entries.tolist(), strict=True))
+        waiting, best = found[:], []
+        heapq.heapify(waiting)
+        for d, at in found:
+            heapq.heappush(best, (-d, -at))
+            if len(best) > beam:
+                heapq.heappop(best)
+        while waiting:
+            d, at = heapq.heappop(waiting)
+            if len(best) == beam and d > -best[0][0]:
                 break
-            opened[rows[active], best[active]] = True
-            nodes = np.where(active[:, None], self.graph[best], self.entries[0])
-            see(nodes)
-        return dist
+            near = self.graph[at]
+            near = near[~seen[near]]
+            seen[near] = True
+            for d, at in zip((self.sq[near] - 2 * self.c[near] @ q).tolist(), near.tolist(), strict=True):
+                if len(best) < beam or d <= -best[0][0]:
+                    heapq.heappush(waiting, (d, at))
+                    heapq.heappush(best, (-d, -at))
+                    if len(best) > beam:
+                        heapq.heappop(best)
+        best = sorted((-d, -at) for d, at in best)
+        return np.array([d for d, _ in best]), np.array([at for _, at in best], int)
 
 
 def fit(sample: np.ndarray, n_lists: int, longest: float) -> Index:
@@ -176,14 +186,21 @@ def fit(sample: np.ndarray, n_lists: int, longest: float) -> Index:
         c = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], c)
         spread = float(((x - c[own]) ** 2).sum(axis=1).mean())
         price = np.maximum(price + 0.1 * spread * (size / fair - 1), 0.0)
-    return Index(c, longest)
+    index = Index(c, longest)
+    if n_lists > 1 and SHARE > 0:
+        ratios = []
+        for at in range(0, len(x), 1024):
+            d = np.partition(index.distances(x[at:at + 1024]), 1, axis=1)[:, :2]
+            ratios.append(d[:, 1] / np.maximum(d[:, 0], 1e-12))
+        index.boundary = float(np.quantile(np.concatenate(ratios), SHARE))
+    return index
 
 
 def build(vecs: DataFrame) -> Index | None:
     s = vecs.agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
     if not s["n"]:
         return None
-    lists = min(MAX_LISTS, max(1, round(s["n"] / LIST_ROWS)))
+    lists = max(1, round(LISTS * s["n"] ** 0.5))
     rows = max(SAMPLE_ROWS, LIST_SAMPLE * lists)
     draw = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     sample = vecs.filter(draw < rows / s["n"]).select("vec_id", "embedding").toArrow()
@@ -193,14 +210,20 @@ def build(vecs: DataFrame) -> Index | None:
     return fit(matrix(sample.column("embedding")), lists, float(np.sqrt(s["m"])))
 
 
-def visits(index: Index, posted: DataFrame, asked: DataFrame, k: int) -> int:
-    """The fewest nearest lists that hold ``RECALL`` of the true ``k`` nearest of
-    ``PROBES`` of the queries ``asked``."""
-    if len(index.c) <= LEAST_LISTS:
-        return LEAST_LISTS
+def visits(index: Index, posted: DataFrame, asked: DataFrame, k: int) -> tuple[int, int, float]:
+    """How many lists surely hold ``k`` candidates; the fewest nearest lists that
+    hold ``RECALL`` of the true ``k`` nearest of ``PROBES`` of the queries ``asked``;
+    and the smallest ratio of a list's distance to the nearest one's that holds
+    ``RATIO_RECALL`` of them."""
+    lists, whole = len(index.c), (len(index.c), len(index.c), float("inf"))
+    held = np.zeros(lists, np.int64)
+    for r in posted.groupBy("list").agg(F.count("*").alias("n")).collect():   # one row a centroid
+        held[r["list"]] = r["n"]
+    # a vector has COPIES rows at most, so that many of the smallest lists suffice
+    sure = min(lists, int(np.searchsorted(np.cumsum(np.sort(held)), COPIES * (k + 1))) + 1)
     drawn = asked.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id").limit(PROBES).toArrow()
     if not drawn.num_rows:
-        return LEAST_LISTS
+        return whole
     probe, probes = drawn.column("vec_id").to_numpy(), matrix(drawn.column("embedding"))
     rows = np.arange(len(probe))
     keep = (k + 1) * COPIES                      # a vector has a row for each of its lists
@@ -229,11 +252,14 @@ def visits(index: Index, posted: DataFrame, asked: DataFrame, k: int) -> int:
     first = W.partitionBy("probe").orderBy(F.desc("score"), "id")
     near = found.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= k).collect()  # PROBES * k rows
     if not near:
-        return LEAST_LISTS
+        return whole
     d = index.distances(np.concatenate([probes, np.zeros((len(probes), 1))], axis=1))
     place = np.argsort(np.argsort(d, axis=1, kind="stable"), axis=1)
+    ratio = d / np.maximum(d.min(axis=1, keepdims=True), 1e-12)
     need = np.sort([place[r["probe"], r["lists"]].min() + 1 for r in near])
-    return max(LEAST_LISTS, int(need[max(0, int(np.ceil(RECALL * len(need))) - 1)]))
+    wide = np.sort([ratio[r["probe"], r["lists"]].min() for r in near])
+    at = lambda share: max(0, int(np.ceil(share * len(near))) - 1)
+    return sure, max(sure, int(need[at(RECALL)])), float(wide[at(RATIO_RECALL)]) * (1 + 1e-9)
 
 
 def _posted(index, method: str):
@@ -356,7 +382,7 @@ def nearest(df: DataFrame, queries: Column, k: int = K) -> DataFrame:
     alike = (vecs.distinct().withColumn("_copy", F.row_number().over(same)).filter(F.col("_copy") <= k + 1)
              .select("vec_id", "embedding"))
     posted = written(alike.transform(in_arrow, _posted(held, "lists_of"), "list int, id long, vec array<double>"), "postings")
-    index.least = visits(index, posted, vecs.filter(queries), k)
+    index.sure, index.least, index.ratio = visits(index, posted, vecs.filter(queries), k)
     held = spark.sparkContext.broadcast(index)
     asked = written(vecs.filter(queries).distinct().transform(in_arrow, _posted(held, "search"), "list int, id long, vec array<double>"), "asked")
     # parts of a list and of its queries; each pair of parts is one unit of work
@@ -364,7 +390,7 @@ def nearest(df: DataFrame, queries: Column, k: int = K) -> DataFrame:
              .join(asked.groupBy("list").agg(F.count("*").alias("m")), "list")
              .select("list", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"),
                      F.ceil(F.col("m") / QUERY_PART).cast("int").alias("qparts")))
-    sizes = F.broadcast(sizes)  # one row per list: MAX_LISTS rows at most
+    sizes = F.broadcast(sizes)  # one row per list: about LISTS * sqrt(n), as the centroids
     deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     left = posted.join(sizes, "list").select(
         "list", F.explode(F.transform(F.sequence(F.lit(0), F.col("qparts") - 1),
