@@ -315,36 +315,52 @@ def _best(k: int):
                     want = min(k + 1, s.shape[1])
                     edge = np.partition(s, s.shape[1] - want, axis=1)[:, s.shape[1] - want]
                     edge = edge - 1e-9 * (1 + np.abs(edge))
-                    for j in range(len(q)):
-                        c = np.flatnonzero(s[j] >= edge[j])
-                        c = c[all_ids[c] != own[at + j]]
-                        exact = _exact(np.broadcast_to(q[j], (len(c), q.shape[1])), x[c])
-                        o = top(all_ids[c], exact)
-                        out.append((int(own[at + j]), all_ids[c][o], exact[o]))
+                    row, col = np.nonzero(s >= edge[:, None])
+                    other = all_ids[col] != own[at + row]
+                    row, col = row[other], col[other]
+                    exact = _exact(q[row], x[col])
+                    o = np.lexsort((all_ids[col], -exact, row))
+                    row, found, exact = row[o], all_ids[col[o]], exact[o]
+                    first = np.searchsorted(row, np.arange(len(q)))
+                    for j, (b0, b1) in enumerate(zip(first, np.append(first[1:], len(row)), strict=True)):
+                        out.append((int(own[at + j]), found[b0:min(b1, b0 + k)], exact[b0:min(b1, b0 + k)]))
             if out:
                 yield _lists(out)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Partial results sorted by query: the best k of each query, kept small
         as the parts stream by."""
-        held, ids, score = None, np.zeros(0, np.int64), np.zeros(0)
+        held, ids, score = None, [], []
         done: list[tuple] = []
+
+        def compact() -> tuple[np.ndarray, np.ndarray]:
+            both, every = np.concatenate(ids), np.concatenate(score)
+            at = np.unique(both, return_index=True)[1]
+            both, every = both[at], every[at]
+            o = top(both, every)
+            return both[o], every[o]
+
         for batch in batches:
-            for q, i, s in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            if not batch.num_rows:
+                continue
+            lists, scores = batch.column(1), batch.column(2)
+            ends, flat, points = lists.offsets.to_numpy(), lists.values.to_numpy(), scores.values.to_numpy()
+            for at, q in enumerate(batch.column(0).to_pylist()):
                 if q != held:
                     if held is not None:
-                        done.append((held, ids, score))
-                    held, ids, score = q, np.zeros(0, np.int64), np.zeros(0)
-                both = np.concatenate([ids, i.values.to_numpy()])
-                at = np.unique(both, return_index=True)[1]
-                ids, score = both[at], np.concatenate([score, s.values.to_numpy()])[at]
-                o = top(ids, score)
-                ids, score = ids[o], score[o]
+                        done.append((held, *compact()))
+                    held, ids, score = q, [], []
+                ids.append(flat[ends[at]:ends[at + 1]])
+                score.append(points[ends[at]:ends[at + 1]])
+                if len(ids) == 128:
+                    i, x = compact()
+                    ids, score = [i], [x]
             if done:
                 yield _rows(done)
                 done = []
+            ids, score = [i.copy() for i in ids], [x.copy() for x in score]   # not views that hold the batch
         if held is not None:
-            yield _rows([(held, ids, score)])
+            yield _rows([(held, *compact())])
 
     return search, merge
 
