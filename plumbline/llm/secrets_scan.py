@@ -9,11 +9,15 @@ The method adds ``entropy`` spans.  Candidates are runs of at least ``WINDOW``
 characters of ``[A-Za-z0-9+/_=-]``.  A window of ``WINDOW`` characters moves
 over the candidate; its character counts, and the sum of ``c * log2 c`` over
 them, change by one character in and one out, so each step costs the same
-whatever the window.  The window's character class (``hex`` digits only, or
-``mixed``) sets the entropy it must reach; overlapping windows that reach it
-form one span.  A class that uses a single kind of character (only letters of
-one case, only digits) is prose or a number and never reaches it.  Labelled
-digests and parts of URLs give no span, nor do spans that a base span covers.
+whatever the window.  The window's character class sets the entropy it must
+reach: ``hex`` digits only, ``mixed`` with a digit and letters, or ``letters`` of
+both cases without a digit, which must also hold ``LEAST_PAIRS`` neighbours of
+two capitals and as many of a small letter and a capital (joined words hold few
+of the former).  Overlapping windows that reach it form one span.  A single kind
+of character (only letters of one case, only digits) is prose or a number and
+never reaches it.  Labelled digests give no span, nor does what lies in a URL
+before its ``?`` or ``#`` however long the URL is (values after them are scanned
+like other text), nor do spans that a base span covers.
 Other allow-listed pieces are cut out of a candidate and what is left of it is
 scanned: UUIDs; a placeholder or alphabet run, with the part between ``=`` signs
 that it stands in if all of that lies within ``WINDOW`` characters of such words,
@@ -40,7 +44,8 @@ from plumbline.llm.common import fields, in_arrow, slices, table, text_frame
 
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
-LEAST_BITS = {"hex": 3.0, "mixed": 3.6}
+LEAST_BITS = {"hex": 3.0, "mixed": 3.6, "letters": 3.6}
+LEAST_PAIRS = 3
 MASK = "[SECRET]"
 
 _assign = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -53,7 +58,7 @@ _sample_key = re.compile(r"[A-Za-z0-9+/]{30}EXAMPLEKEY")     # the key of the AW
 _part = re.compile(r"[^=]+=*")
 _word = re.compile(r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+)[0-9]{0,4}|[0-9]+|[A-Za-z0-9]{1,3}")
 _labelled = re.compile(r"(?ai:(sha-?(1|224|256|384|512)|md5|crc32|commit|etag|integrity)[-:=\s]{1,3}$)")
-_url = re.compile(r"(?ai:(https?|ftp|file)://[^\s\"'<>]*$)")
+_url = re.compile(r"(?ai:(https?|ftp|file)://[^\s\"'<>?#]*)")
 _CLASS = np.zeros(256, bool)
 _CLASS[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = True
 _HEX = frozenset("0123456789abcdefABCDEF")
@@ -81,23 +86,37 @@ def entropy_spans(s: str) -> list[tuple[int, int]]:
     count: dict[str, int] = {}
     kinds = [0, 0, 0, 0]
     total, odd = 0.0, 0                       # sum of c * log2 c; characters that are no hex digit
+    of = [_kind(c) for c in s]
+    capitals = humps = 0                      # neighbours of two capitals, of a small letter and a capital
     out: list[list[int]] = []
     for i, c in enumerate(s):
         k = count.get(c, 0)
         total += _XLOGX[k + 1] - _XLOGX[k]
         count[c] = k + 1
-        kinds[_kind(c)] += 1
+        kinds[of[i]] += 1
         odd += c not in _HEX
+        if i and of[i] == 1:
+            capitals += of[i - 1] == 1
+            humps += of[i - 1] == 0
         if i >= WINDOW:
             d = s[i - WINDOW]
             k = count[d]
             total += _XLOGX[k - 1] - _XLOGX[k]
             count[d] = k - 1
-            kinds[_kind(d)] -= 1
+            kinds[of[i - WINDOW]] -= 1
             odd -= d not in _HEX
-        if i >= WINDOW - 1 and (kinds[0] > 0) + (kinds[1] > 0) + (kinds[2] > 0) >= 2 and kinds[2]:
+            if of[i - WINDOW + 1] == 1:
+                capitals -= of[i - WINDOW] == 1
+                humps -= of[i - WINDOW] == 0
+        if i < WINDOW - 1:
+            continue
+        if kinds[2]:
+            fits = kinds[0] > 0 or kinds[1] > 0
+        else:
+            fits = capitals >= LEAST_PAIRS and humps >= LEAST_PAIRS
+        if fits:
             bits = log2(WINDOW) - total / WINDOW
-            if bits >= LEAST_BITS["mixed" if odd else "hex"]:
+            if bits >= LEAST_BITS["hex" if not odd else "mixed" if kinds[2] else "letters"]:
                 start = i - WINDOW + 1
                 if out and start <= out[-1][1]:
                     out[-1][1] = i + 1
@@ -106,10 +125,18 @@ def entropy_spans(s: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _suppressed(text: str, start: int) -> bool:
-    """Whether what stands before ``start`` makes the candidate a digest or a part of a URL."""
-    before = text[max(0, start - 64):start]
-    return bool(_labelled.search(before[-16:])) or bool(_url.search(before))
+def _candidates(text: str) -> Iterator[re.Match]:
+    """Candidates that are neither labelled digests nor begin in a URL before its
+    query; one pass over the URLs beside the candidates."""
+    urls = _url.finditer(text)
+    url = next(urls, None)
+    for m in _candidate.finditer(text):
+        while url is not None and url.end() < m.start():
+            url = next(urls, None)
+        if url is not None and url.end(1) < m.start():
+            continue
+        if not _labelled.search(text[max(0, m.start() - 16):m.start()]):
+            yield m
 
 
 def _allowed(run: str) -> list[tuple[int, int]]:
@@ -162,13 +189,14 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
         base += [("access", *m.span()) for m in _access.finditer(text) if m.end() - m.start() >= 20]
     base += [("hex", *m.span()) for m in _hex.finditer(text) if m.end() - m.start() >= 24]
     base.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-    more = []
-    for m in _candidate.finditer(text):
-        if _suppressed(text, m.start()):
-            continue
+    more, at, reach = [], 0, 0                # reach: largest end of the base spans that began
+    for m in _candidates(text):
         for a, b in candidate_spans(m[0]):
             a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for _, x, y in base):
+            while at < len(base) and base[at][1] <= a:
+                reach = max(reach, base[at][2])
+                at += 1
+            if b > reach:
                 more.append(("entropy", a, b))
     return base, more
 

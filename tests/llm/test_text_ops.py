@@ -3,6 +3,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 
@@ -176,7 +177,13 @@ def plain_entropy(s):
         bits = -sum(part.count(c) / w * math.log2(part.count(c) / w) for c in set(part))
         kinds = any(c.islower() for c in part) + any(c.isupper() for c in part) + any(c.isdigit() for c in part)
         cls = "hex" if all(c in "0123456789abcdefABCDEF" for c in part) else "mixed"
-        flags.append(kinds >= 2 and any(c.isdigit() for c in part) and bits >= secrets_scan.LEAST_BITS[cls])
+        digit = any(c.isdigit() for c in part)
+        if not digit and cls == "mixed":
+            cls = "letters"
+            pairs = list(zip(part, part[1:], strict=False))
+            digit = (sum(a.isupper() and b.isupper() for a, b in pairs) >= secrets_scan.LEAST_PAIRS
+                     and sum(a.islower() and b.isupper() for a, b in pairs) >= secrets_scan.LEAST_PAIRS)
+        flags.append(kinds >= 2 and digit and bits >= secrets_scan.LEAST_BITS[cls])
     spans = []
     for i, f in enumerate(flags):
         if f:
@@ -190,7 +197,7 @@ def plain_entropy(s):
 def test_entropy_windows():
     r = random.Random(5)
     for _ in range(200):
-        s = "".join(r.choice(r.choice(["ab", "0123456789abcdef", "abcXYZ019+/_", "a1"])) for _ in range(r.randint(10, 90)))
+        s = "".join(r.choice(r.choice(["ab", "0123456789abcdef", "abcXYZ019+/_", "a1", "abcdefghijkLMNOPQRSTUVWXYZ", "GHIJKLghijklmnop_"])) for _ in range(r.randint(10, 90)))
         assert secrets_scan.entropy_spans(s) == plain_entropy(s), s
 
 
@@ -213,6 +220,34 @@ def test_added_spans_and_allow_list():
     assert secrets_scan.masked(f"a {key} b password=hunter22 c") == "a [SECRET] b [SECRET] c"
 
 
+def test_urls_and_keys_without_digits():
+    key = "q7Rz0Lk2Vx9TnB4mWc8Y"
+    path = "https://host.test/" + "word.and.more/" * 500
+    for text in (f"{path}{key}", f"{path}x.{key}?a=b", f"see <ftp://h/{key}>"):
+        assert secrets_scan.find(text)[1] == [], text[:40]
+    for text in (f"https://host.test/a?sig={key}&b=1", f"{path}#t.{key}", f"https://host.test/ {key}", f"http {key}"):
+        assert key in text and key not in secrets_scan.masked(text), text[:40]
+    assert secrets_scan.masked("see kQzLRvTWxPbNMgHdYcFs here") == "see [SECRET] here"
+    for text in ("getElementsByTagNameAndClass", "DataByIdOrNameAndKeyOrRow", "internationalisationservices", "THISISALLCAPITALLETTERS"):
+        assert secrets_scan.find(text)[1] == [], text
+
+
+def test_suppression_by_base_spans_is_linear():
+    r = random.Random(3)
+    line = lambda: "token=" + "".join(r.choice("abcdefXYZ0123456789") for _ in range(30)) + " "
+    text = "".join(line() + "".join(r.choice("qwertyASDFG0123456789") for _ in range(30)) + "\n" for _ in range(4000))
+    start = time.perf_counter()
+    base, more = secrets_scan.find(text)
+    assert time.perf_counter() - start < 20
+    assert len([s for s in base if s[0] == "assign"]) == 4000
+    part = text[:40_000]
+    base, more = secrets_scan.find(part)
+    plain = [("entropy", m.start() + a, m.start() + b) for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", part)
+             for a, b in secrets_scan.candidate_spans(m[0])]
+    want = [s for s in plain if not any(a <= s[1] and s[2] <= b for _, a, b in base)]
+    assert more == want and 0 < len(want) < len(plain)
+
+
 def test_allow_list_spares_pieces_not_runs():
     r = random.Random(11)
     for n in (40, 88, 172, 344):
