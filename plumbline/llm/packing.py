@@ -2,7 +2,8 @@
 
 Documents become token ids plus an end id; only a document longer than a
 sequence is cut, into full pieces after a first piece that may be shorter.
-Pieces are dealt by hash into groups of about ``GROUP_TOKENS`` tokens, so a
+Pieces are dealt by hash (of a stored row number too, so that repeated rows and
+null ids are spread) into groups of about ``GROUP_TOKENS`` tokens, so a
 group's work is bounded and the number of groups follows the corpus.  In a
 group, best fit decreasing gives a first packing; then the least filled bin is
 worked on again and again: its pieces are *moved* into bins with room,
@@ -179,11 +180,18 @@ def _step(lengths, where, fill, size, victim, among) -> bool:
     if not len(others):
         return False
     y, b = lengths[others], where[others]
-    gives = [(int(lengths[i]), (i,)) for i in mine.tolist()]
-    small = mine[:24].tolist()
-    gives += [(int(lengths[i] + lengths[j]), (i, j)) for k, i in enumerate(small) for j in small[k + 1:]]
+    # only the sum given counts: two pieces of a length stand for all of that length,
+    # and a bin's distinct lengths are few (their sum is at most its size)
+    of = lengths[mine]
+    kinds = mine[np.concatenate(([True] * min(2, len(of)), of[2:] != of[:-2]))].tolist()
+    gives: dict[int, tuple[int, ...]] = {}
+    for i in kinds:
+        gives.setdefault(int(lengths[i]), (i,))
+    for k, i in enumerate(kinds):
+        for j in kinds[k + 1:]:
+            gives.setdefault(int(lengths[i] + lengths[j]), (i, j))
     best = None
-    for x, which in gives:
+    for x, which in gives.items():
         gain = x - y
         ok = (gain > 0) & (gain <= room[b]) & (fill[b] + gain > fill[victim])
         if ok.any():
@@ -224,19 +232,22 @@ def _pack_group(size: int):
     return run
 
 
-def pack(table_of_pieces: DataFrame, size: int = SEQUENCE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """Pieces with (sequence_id, offset); carries every column along."""
+def pack(table_of_pieces: DataFrame, size: int = SEQUENCE, group_tokens: int = GROUP_TOKENS, row: str | None = None) -> DataFrame:
+    """Pieces with (sequence_id, offset); carries every column along but ``row``, a
+    stored number that tells repeated pieces apart, so that they share no group."""
     total = table_of_pieces.agg(F.sum("length")).first()[0] or 0
     n = max(1, -(-int(total) // group_tokens))
     ship(table_of_pieces.sparkSession)
-    keyed = table_of_pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n)))
+    keyed = table_of_pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", *([row] if row else [])), F.lit(n)))
+    keyed = keyed.drop(row) if row else keyed
     return (keyed.groupBy("pack_group").applyInPandas(_pack_group(size), f"{fields(keyed)}, sequence_id long, offset long")
             .drop("pack_group"))
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place, ids left out."""
-    return pack(written(pieces(docs, with_ids=False), "pieces"))
+    numbered = pieces(docs, with_ids=False).withColumn("_row", F.monotonically_increasing_id())
+    return pack(written(numbered, "pieces"), row="_row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plumbline.llm import bpe, chunks, packing
@@ -146,3 +147,38 @@ def test_groups_are_bounded(spark):
     assert out.selectExpr("sequence_id >> 32 as g").distinct().count() > 1
     check_packing(out.collect(), {i: prose(i, 40) for i in range(200)})
     assert out.agg({"length": "sum"}).first()[0] == total
+
+
+def test_equal_pieces_share_no_group(spark):
+    """2,000 rows of one text without an id among 2,000 others: no group holds them all."""
+    rows = [(None, prose(7, 60), "en")] * 2000 + [(i, prose(i, 60), "en") for i in range(2000)]
+    numbered = packing.pieces(docs_frame(spark, rows), with_ids=False).withColumn("_row", F.monotonically_increasing_id())
+    numbered = packing.written(numbered, "pieces")
+    total = numbered.agg(F.sum("length")).first()[0]
+    out = packing.pack(numbered, group_tokens=-(-total // 10), row="_row")
+    assert "_row" not in out.columns
+    per = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 32)).count().collect()]
+    assert sum(per) == 4000 and max(per) < 2 * min(per)
+
+
+def test_exchange_gives_every_pair_of_lengths():
+    """The step's best gain equals that of all pairs tried one by one."""
+    r = np.random.default_rng(12)
+    for _ in range(60):
+        lengths = r.choice([1, 2, 3, 5, 8, 13], 70)
+        where = r.integers(0, 6, 70)
+        fill = np.bincount(where, weights=lengths, minlength=6).astype(np.int64)
+        size = int(fill.max()) + int(r.integers(0, 3))
+        victim, kept, held = int(fill.argmin()), where.copy(), fill.copy()
+        room = size - held
+        moves = [x for x in lengths[kept == victim] for b in range(6)
+                 if b != victim and 0 < held[b] < size and x <= room[b] and held[b] + x > held[victim]]
+        mine = np.flatnonzero(kept == victim)
+        gives = [lengths[i] for i in mine] + [lengths[i] + lengths[j] for k, i in enumerate(mine) for j in mine[k + 1:]]
+        gains = [x - lengths[o] for x in gives for o in np.flatnonzero(kept != victim)
+                 if 0 < x - lengths[o] <= room[kept[o]] and held[kept[o]] + x - lengths[o] > held[victim]]
+        done = packing._step(lengths, where, fill, size, victim, np.arange(70))
+        assert done == bool(moves or gains)
+        if done and not moves:
+            assert held[victim] - fill[victim] == max(gains)
+        assert (fill == np.bincount(where, weights=lengths, minlength=6)).all() and fill.max() <= size
