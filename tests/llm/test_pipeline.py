@@ -12,7 +12,7 @@ def test_registered():
     q = E.queries()
     assert {*catalog.queries(), "pipeline"} <= set(q)
     assert set(E.oracle_sql()) <= set(q) and "op8_license_digest" in E.oracle_sql()
-    assert [n.split("_")[0] for n in catalog.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in catalog.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_in_turn(spark):
