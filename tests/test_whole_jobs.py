@@ -1,4 +1,8 @@
 """Whole jobs and bounded tasks: what a query answers for and what one task holds."""
+import numpy as np
+import pandas as pd
+
+from plumbline.operators import knn as N
 from plumbline.plans import q_text
 
 
@@ -26,3 +30,20 @@ def test_entity_match_answers_for_entities_out_of_reach(spark, tmpdir_path):
     assert len(named) == 40 and max(r.match for r in named) == 1.0
     assert {r.camis for r in named if r.match == 1.0} == {8}
     assert all(r.req_id % 6 for r in rows)  # a blank query shares no gram
+
+
+def test_knn_hands_on_visits_in_small_frames():
+    """A batch of queries that reach every group is no single product or frame."""
+    r = np.random.default_rng(3)
+    pivots = N._unit(pd.Series(list(r.normal(size=(600, 4)))))
+    q = pd.DataFrame({"qid": np.arange(3000), "v": list(r.normal(size=(3000, 4))), "reached": np.full(3000, -2.0)})
+    seen = set()
+    for f in N._visits(pivots, dict.fromkeys(range(600), 3.2), 3, True)(iter([q])):
+        assert len(f) <= N.ROWS_AT_ONCE
+        before = len(seen)
+        seen.update(zip(f["qid"], f["grp"]))
+        assert len(seen) == before + len(f)
+    assert len(seen) == 3000 * 597  # all groups but the three of the first round
+    rows = pd.DataFrame({"tid": np.arange(5000), "v": list(r.normal(size=(5000, 4)))})
+    frames = list(N._grouped(pivots)(iter([rows])))
+    assert max(map(len, frames)) * 600 <= N.CELLS_AT_ONCE and sum(map(len, frames)) == 5000
