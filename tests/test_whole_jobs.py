@@ -1,8 +1,11 @@
 """Whole jobs and bounded tasks: what a query answers for and what one task holds."""
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 
 from plumbline.operators import knn as N
+from plumbline.operators import text as X
 from plumbline.plans import q_text
 
 
@@ -47,3 +50,19 @@ def test_knn_hands_on_visits_in_small_frames():
     rows = pd.DataFrame({"tid": np.arange(5000), "v": list(r.normal(size=(5000, 4)))})
     frames = list(N._grouped(pivots)(iter([rows])))
     assert max(map(len, frames)) * 600 <= N.CELLS_AT_ONCE and sum(map(len, frames)) == 5000
+
+
+def test_grams_are_counted_where_the_texts_are(spark, monkeypatch):
+    """Texts travel and not their grams, in tasks of bounded text; rows of one id are one document."""
+    monkeypatch.setattr(X, "CHARS_PER_TASK", 100)
+    docs = spark.createDataFrame([(i % 50, f"red house {i}") for i in range(60)] + [(None, "red"), (None, "red"), (7, None)], "id long, t string")
+    g = X.doc_grams(docs, "id", "t")
+    want = Counter()
+    for i, t in [(r.id, r.t) for r in docs.collect() if r.t]:
+        for w in t.split():
+            w = f" {w} "
+            want.update((i, w[a:a + n]) for n in (2, 3, 4) for a in range(len(w) - n + 1))
+    assert {(r["doc"], r.gram): r.tf for r in g.collect()} == want
+    plan = g._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+    assert X.text_tasks(docs, "t") > 5
