@@ -55,3 +55,33 @@ def test_plan_is_native(spark):
     from plumbline.operators import grid, propagate
     for module in (grid, propagate):
         assert "InPandas" not in inspect.getsource(module) and "InArrow" not in inspect.getsource(module)
+
+
+def test_boxes_equal_the_whole_grid(spark):
+    """The walk's surroundings hold the values of the whole grid, bit for bit, and are smaller than it."""
+    import random
+
+    from plumbline.operators import propagate as P
+    rng = random.Random(4)
+    gammas = [0.5, 0.65, 0.7, 0.75, 0.8, 0.85]
+    cells, setup = [], []
+    for q in range(24):
+        r, c, wide = rng.randint(0, 110), rng.randint(0, 112), rng.randint(0, 6)
+        setup.append((q, gammas[q % 6], q % 9, r, c))
+        if q % 5 == 0:
+            r, c = rng.randint(0, 110), rng.randint(0, 112)
+        found = {(min(110, max(0, r + rng.randint(-wide, wide))), min(112, max(0, c + rng.randint(-wide, wide)))) for _ in range(rng.randint(0, 20))}
+        cells += [(q, a, b, 1.0 if i == 0 else rng.random()) for i, (a, b) in enumerate(sorted(found))]
+    reward = spark.createDataFrame(cells, "req_id long, row int, col int, r double")
+    params = spark.createDataFrame(setup, "req_id long, gamma double, max_steps int, start_row int, start_col int")
+    whole = {r.req_id: np.array(r.v) for r in P.value_grids(reward, params).collect()}
+    boxes = P.value_boxes(reward, params).collect()
+    assert sorted(whole) == sorted(b.req_id for b in boxes) == list(range(24))
+    for b in boxes:
+        v = np.array(b.v)
+        assert v.shape == (b.height, b.width)
+        assert (v == whole[b.req_id][b.r0:b.r0 + b.height, b.c0:b.c0 + b.width]).all()
+    assert sum(b.height * b.width < 2000 for b in boxes) > 8
+    key = lambda x: (x.req_id, x.step, x.row, x.col, x.v, x.vmax)
+    near = sorted(map(key, G.plan_paths(reward, params).collect()))
+    assert near == sorted(key(x) for x in G.plan_paths(reward, params, heat=True).collect() if x.kind == "path")
