@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
-from plumbline.functions.columns import (blank_to_null, na_text_to_null, parse_date, title_case,
-                                         to_bigint_key, to_double, trim_all_space)
+from plumbline.functions.columns import clean_text, parse_date, title_case, to_bigint_key, to_double
 
 
 def rename_known(df: DataFrame, rename=K.COLUMN_RENAME) -> DataFrame:
@@ -31,7 +30,7 @@ def clean_raw(df: DataFrame, rename=K.COLUMN_RENAME, na_strings=K.NA_STRINGS,
     for src, dst in rename.items():
         if src not in df.columns:
             continue
-        s = blank_to_null(trim_all_space(na_text_to_null(F.col(f"`{src}`"), na_strings)))
+        s = clean_text(F.col(f"`{src}`"), na_strings)
         if dst in K.DATE_COLUMNS:
             v = parse_date(s)
             if dst == "inspection_date":
