@@ -238,3 +238,21 @@ def test_ranks_without_one_task_per_group(spark):
             mine = sorted((x for x in rows if group is None or x[1] == g), key=key)
             assert all(got[x[0]] == (i + 1, len(mine)) for i, x in enumerate(mine))
     assert P.ranked(df.where("id < 0"), order, ["g"]).count() == 0
+
+
+
+
+def test_scored_pairs_meet_whole_vectors(spark):
+    """A ranking's pairs meet vectors of one row each; no row for every gram of a pair travels."""
+    ent = spark.createDataFrame([(i, f"Cafe {i % 7}", "Thai", "Area", "ABC"[i % 3], 40.6 + i * 1e-4, -74.0, None) for i in range(40)],
+                                "camis long, dba string, cuisine string, boro string, latest_grade string, latitude double, longitude double, x string")
+    req = spark.createDataFrame([(1, 40.6, -74.0, "thai cafe", "none", 0.0, False), (2, 40.601, -74.0, "", "none", 0.5, True)],
+                                "req_id long, lat double, lng double, query string, preset string, importance double, danger_filter boolean")
+    safety = ent.select("camis", F.lit(2.0).alias("safety_score"))
+    ctx = SR.text_context(req, ent, with_labels=False)
+    scored = SR.direct_scored(G.with_preset(req), G.entity_cells(ent).join(safety, "camis"), ctx.match, 5)
+    assert "gram" not in scored._jdf.queryExecution().executedPlan().toString()
+    pairs = scored.select("req_id", "camis")
+    want = {(r.req_id, r.camis): r.match for r in MT.match_pairs(ctx.match, pairs).collect()}
+    got = {(r.req_id, r.camis): r.nlp_score for r in scored.collect()}
+    assert got == want and len({m for (q, _), m in got.items() if q == 1}) > 1 and all(m == 1.0 for (q, _), m in got.items() if q == 2)
