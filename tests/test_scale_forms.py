@@ -17,6 +17,7 @@ from plumbline.operators import search as SR
 from plumbline.operators import sparse as SP
 from plumbline.operators import text as X
 from plumbline.sources import files as S
+from tests.conftest import SF0001
 
 
 def vectors(spark, seed, n, hot=0.34):
@@ -256,3 +257,10 @@ def test_scored_pairs_meet_whole_vectors(spark):
     want = {(r.req_id, r.camis): r.match for r in MT.match_pairs(ctx.match, pairs).collect()}
     got = {(r.req_id, r.camis): r.nlp_score for r in scored.collect()}
     assert got == want and len({m for (q, _), m in got.items() if q == 1}) > 1 and all(m == 1.0 for (q, _), m in got.items() if q == 2)
+
+
+def test_tree_queries_build_the_entities_once(spark):
+    """The split, the fit and the scoring of a tree read entities that are written once."""
+    from plumbline.plans import q_model
+    df, _feats, _nodes, _classes = q_model._grade_tree(spark, SF0001)
+    assert len(df.columns) < 20 and "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
