@@ -24,7 +24,7 @@ def _folder(spark, name: str) -> str:
 
 def _raw_csv(spark, sf_dir) -> str:
     path = _folder(spark, "raw")
-    write_table(raw_inspection_text(spark, sf_dir).drop("rid"), path, "csv")
+    write_table(raw_inspection_text(spark, sf_dir).drop("rid"), path, "csv", compression="gzip")
     return path
 
 

@@ -19,9 +19,35 @@ from plumbline.functions import constants as K
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "PERMISSIVE"}
 
 
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
+#: Rows of a CSV file that is written, so that one task can read the file whole.
+CSV_FILE_ROWS = 200_000
+
+#: Endings of files that Spark reads in one piece whatever their size.
+ONE_PIECE = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
+
+
+def source_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files in the order of their names; contents are not read."""
+    rows = spark.read.format("binaryFile").load(path).select("_metadata.file_path", "_metadata.file_size").collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: r[0].encode())
+
+
+def range_bytes(spark: SparkSession) -> int:
+    """The size of the byte ranges that Spark cuts files into."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
+def file_numbers(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
+    """(_path, f): the files numbered in the order of their names, so that no row carries a
+    path; the list, which the driver holds already, is broadcast."""
+    return F.broadcast(spark.createDataFrame([(p, i) for i, (p, _size) in enumerate(files)], "_path string, f int"))
+
+
+def csv_records(spark: SparkSession, path: str, files: list[tuple[str, int]]) -> DataFrame:
     """(f, i, record): the records of quoted CSV files, every file read by as many
-    tasks as it has byte ranges.
+    tasks as it has byte ranges; ``f`` is the file's number.
 
     A line break ends a record unless an odd number of quotes lies before it in
     the file.  Quotes are counted per line; a range's own parity comes from the
@@ -32,9 +58,10 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     be balanced, as writers leave them.)
     """
     lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("block"), "value",
         F.monotonically_increasing_id().alias("at"),
         ((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2).alias("odd"))
+    lines = lines.join(file_numbers(spark, files), "_path").drop("_path")
     in_file = Window.partitionBy("f").orderBy("block")                # one row a range
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     parity = lines.groupBy("f", "block").agg(F.sum("odd").alias("odd")).select(
@@ -68,12 +95,21 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
 def read_raw_csv(spark: SparkSession, path: str, with_order: bool = True) -> DataFrame:
     """IO1: header row, all columns as strings, nothing inferred.
 
-    ``rid`` (file name, row position) keeps the source order used for "first
-    row wins" ties.  The first record of every file is its header.
+    ``rid`` (number of the file in name order, row position) keeps the source order
+    used for "first row wins" ties.  The first record of every file is its header.
+    Files that make one task each anyway are parsed where they are read and nothing
+    travels; if one is larger, all are read by byte ranges.
     """
     names = raw_header(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    rec = csv_records(spark, path)
+    files, most = source_files(spark, path), range_bytes(spark)
+    if all(size <= most or p.endswith(ONE_PIECE) for p, size in files):
+        df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).select(
+            "*", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_i"))
+        df = df.join(file_numbers(spark, files), "_path")
+        df = df.select(*[F.col(f"`{c}`") for c in names], F.struct("f", F.col("_i").alias("i")).alias("rid"))
+        return df if with_order else df.drop("rid")
+    rec = csv_records(spark, path, files)
     rec = rec.where(F.col("i") > 0)       # the header begins the file
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "emptyValue": "", "multiLine": "true"}
     df = rec.select(F.struct("f", "i").alias("rid"), F.from_csv("record", _ddl(schema), options).alias("c"))
@@ -138,14 +174,15 @@ def read_entity_table(spark: SparkSession, path: str, fmt: str = "parquet") -> D
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> None:
-    """IO3: sink; CSV gets a header, parquet keeps types."""
+                partition_by: list[str] | None = None, compression: str = "none") -> None:
+    """IO3: sink; CSV gets a header, files of bounded length and the given compression,
+    parquet keeps types."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
-                  ignoreTrailingWhiteSpace=False).csv(path)
+        w.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                  maxRecordsPerFile=CSV_FILE_ROWS, compression=compression).csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -241,6 +241,30 @@ def test_ranks_without_one_task_per_group(spark):
     assert P.ranked(df.where("id < 0"), order, ["g"]).count() == 0
 
 
+def test_small_csv_files_do_not_travel(spark, tmpdir_path):
+    """Files of one byte range are parsed where they are read, in the order of their names; packed ones too."""
+    rows = [(i, f'a "{i}", b\nc', None if i % 3 else f" {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "A int, B string, C string").repartition(3)
+    got = []
+    for kind in ("none", "gzip"):
+        S.write_table(df, f"{tmpdir_path}/{kind}", "csv", compression=kind)
+        back = S.read_raw_csv(spark, f"{tmpdir_path}/{kind}")
+        plan = back._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "Window" not in plan
+        got.append([tuple(r)[:3] for r in back.orderBy("rid").collect()])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the files were large
+    try:
+        packed = S.read_raw_csv(spark, f"{tmpdir_path}/gzip")
+        assert "hashpartitioning" not in packed._jdf.queryExecution().executedPlan().toString()
+        ranges = S.read_raw_csv(spark, f"{tmpdir_path}/none")
+        assert "Window" in ranges._jdf.queryExecution().executedPlan().toString()
+        got.append([tuple(r)[:3] for r in ranges.orderBy("rid").collect()])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[0] == got[1] == got[2]
+    assert sorted(got[0], key=lambda r: int(r[0])) == [(str(a), b, c) for a, b, c in rows]
 
 
 def test_scored_pairs_meet_whole_vectors(spark):
