@@ -87,6 +87,40 @@ def test_label_steps_equal_plain_steps(spark, monkeypatch):
         assert got[i]["top_probs"] == got[901]["top_probs"]
 
 
+def test_label_step_rows_are_a_tiles_grams(spark, monkeypatch):
+    """A step's rows are the grams of each tile, fewer than the entries; tiles, blocks
+    of labels and a repeated id change no sum."""
+    rows = [(i % 90, f"house {i % 7} road {i % 3}", f"l{i % 20:02d}") for i in range(91)]
+    train = spark.createDataFrame(rows, "id int, text string, y string")
+    one = {(r.gram, r.block): r.w for r in _weights(L.fit_label_classifier(train, "id", "text", "y", steps=2))}
+    monkeypatch.setattr(L, "TILE_LEAST", 100)
+    monkeypatch.setattr(L, "TILE_MOST", 300)
+    seen = []
+
+    def watched(packed, held, weights, k, steps=L.tile_gradients):
+        seen.append((packed.count(), held.count(), held.distinct().count()))
+        return steps(packed, held, weights, k)
+
+    monkeypatch.setattr(L, "tile_gradients", watched)
+    many = {(r.gram, r.block): r.w for r in _weights(L.fit_label_classifier(train, "id", "text", "y", steps=2))}
+    assert many == one and {b for _g, b in one} == {0, 1}
+    entries = X.doc_grams(train, "id", "text").count()
+    assert len(seen) == 2
+    for tiles, held, distinct in seen:
+        assert 5 < tiles <= 90 and held == distinct < entries
+
+
+def _weights(m):
+    return m["weights"].join(m["vocab"].select("idx", "gram"), "idx").collect()
+
+
+def test_tile_count_keeps_the_bounds():
+    assert L.tile_count(1000, 10, 50, 4) == 1
+    assert L.tile_count(1 << 40, 1 << 28, 1 << 20, 4) == (1 << 40) // L.TILE_MOST
+    assert L.tile_count(1 << 30, 1 << 20, 1 << 24, 64) == (1 << 30) // (L.TILE_WEIGHTS // 64)
+    assert L.tile_count(1 << 20, 1 << 20, 100, 1 << 10) == (1 << 30) // L.TILE_SCORES
+
+
 def test_label_steps_near_the_optimum():
     """30 steps against 3,000: the labels agree."""
     r = np.random.default_rng(5)
