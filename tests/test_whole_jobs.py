@@ -4,7 +4,9 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
+from plumbline.operators import grid as G
 from plumbline.operators import knn as N
+from plumbline.operators import propagate as P
 from plumbline.operators import text as X
 from plumbline.plans import q_text
 
@@ -66,3 +68,44 @@ def test_grams_are_counted_where_the_texts_are(spark, monkeypatch):
     plan = g._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
     assert X.text_tasks(docs, "t") > 5
+
+
+def shared_grids(spark):
+    """Two grids, seven requests; one far from all reward, one in an empty corner."""
+    r = np.random.default_rng(4)
+    cells = [("a", i, j, float(r.random())) for i in range(0, 60) for j in range(30, 90) if r.random() < 0.5] + [("b", 3, 4, 1.0), ("b", 109, 112, 0.2)]
+    asks = [(1, "a", 20, 50, 0.5), (2, "a", 110, 0, 0.25), (3, "a", 59, 90, 3.0), (4, "b", 3, 4, 0.25), (5, "b", 60, 60, 0.35), (6, "b", 100, 100, 1.0), (7, "a", 0, 0, 0.05)]
+    params = spark.createDataFrame([(q, i, j, s) for q, _g, i, j, s in asks], "req_id long, start_row int, start_col int, sigma_km double")
+    shared = spark.createDataFrame([(q, g) for q, g, *_ in asks], "req_id long, sig string")
+    return spark.createDataFrame(cells, "sig string, row int, col int, r double"), shared, params
+
+
+def test_requests_weigh_shared_grids_in_place(spark, monkeypatch):
+    """The rewards of weighing every cell and sharing by the largest, with no cell of a request moved."""
+    monkeypatch.setattr(G, "REQUESTS_A_GRID", 2)
+    grids, shared, params = shared_grids(spark)
+    out = G.request_rewards(grids, shared, params)
+    want = G.normalise_max(G.proximity(grids.join(shared, "sig"), params))
+    got = {(x.req_id, x.row, x.col): x.r for x in out.collect()}
+    want = {(x.req_id, x.row, x.col): x.r for x in want.collect() if round(x.r, 12) > 0}
+    assert set(want) <= set(got) and len({q for q, *_ in want}) >= 4
+    assert all(abs(got[k] - want.get(k, 0.0)) <= 1e-12 for k in got)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "Exchange" not in plan[:plan.index("Generate explode(t")]
+
+
+def test_heat_is_that_of_the_whole_grid(spark):
+    """Only the box around reward and walk is iterated; the values beyond it are those of all rounds on the whole grid."""
+    r = np.random.default_rng(6)
+    setup = {1: (0.85, 4, 20, 30), 2: (0.5, 2, 0, 0), 3: (0.7, 3, 110, 60), 4: (0.8, 3, 55, 112)}
+    cells = [(q, int(min(max(a + r.integers(-6, 7), 0), 110)), int(min(max(b + r.integers(-6, 7), 0), 112)), round(float(r.random()), 6)) for q, (_g, _s, a, b) in setup.items() for _ in range(25)]
+    reward = spark.createDataFrame([(q, i, j, x) for (q, i, j), x in {c[:3]: c[3] for c in cells}.items()], "req_id long, row int, col int, r double")
+    params = spark.createDataFrame([(q, *p) for q, p in setup.items()], "req_id long, gamma double, max_steps int, start_row int, start_col int")
+    whole = {x.req_id: np.array(x.v) for x in P.value_grids(reward, params).collect()}
+    boxes = P.value_boxes(reward, params, edges=True)
+    assert boxes.where("height * width < 1500").count() >= 2  # else nothing is shown
+    plan = G.plan_paths(reward, params, heat=True).where("kind = 'heat'").collect()
+    assert len(plan) == 4 * 56 * 57
+    for x in plan:
+        v = whole[x.req_id]
+        assert x.v == v[x.row, x.col] and x.vmin == v.min() and x.vmax == v.max()
