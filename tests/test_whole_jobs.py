@@ -109,3 +109,10 @@ def test_heat_is_that_of_the_whole_grid(spark):
     for x in plan:
         v = whole[x.req_id]
         assert x.v == v[x.row, x.col] and x.vmin == v.min() and x.vmax == v.max()
+
+
+def test_pairs_are_made_where_query_and_entity_meet(spark, tmpdir_path):
+    """All pairs are the output, so none of them is shuffled, sorted or grouped."""
+    plan = q_text.entity_match(spark, city(spark, tmpdir_path))._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    above = plan[:plan.index("Generate posexplode")]
+    assert "Exchange" not in above and "Sort" not in above and "Aggregate" not in above
